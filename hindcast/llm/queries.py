@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hindcast.llm.line_dedup import OP1_SQL, op1_line_dedup
 from hindcast.llm.ogg import op5_ogg
 from hindcast.llm.packing import op2_packing
+from hindcast.llm.tiling import op8_decontamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op5_ogg": op5_ogg,
+    "op8_decontamination": op8_decontamination,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL}
