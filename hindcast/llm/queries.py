@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hindcast.llm.jaccard import op6_jaccard
 from hindcast.llm.line_dedup import OP1_SQL, op1_line_dedup
 from hindcast.llm.ogg import op5_ogg
 from hindcast.llm.packing import op2_packing
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op5_ogg": op5_ogg,
+    "op6_jaccard": op6_jaccard,
     "op8_decontamination": op8_decontamination,
 }
 
