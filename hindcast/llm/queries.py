@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hindcast.llm.jaccard import op6_jaccard
+from hindcast.llm.licenses import op7_licenses
 from hindcast.llm.line_dedup import OP1_SQL, op1_line_dedup
 from hindcast.llm.ogg import op5_ogg
 from hindcast.llm.packing import op2_packing
+from hindcast.llm.pii import op10_pii
 from hindcast.llm.tiling import op8_decontamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -17,7 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op5_ogg": op5_ogg,
     "op6_jaccard": op6_jaccard,
+    "op7_licenses": op7_licenses,
     "op8_decontamination": op8_decontamination,
+    "op10_pii": op10_pii,
 }
 
 SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL}
