@@ -15,8 +15,11 @@ a text of any length is cut into as many pieces as it needs.
 
 from __future__ import annotations
 
+import json
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,15 +32,34 @@ from pyspark.sql import functions as F
 from hindcast.llm.common import durable, text_rows
 
 #: Encoded text runs kept by one Python worker before the cache is emptied.
-CACHE_RUNS = 300_000
+CACHE_RUNS = 500_000
 #: A blank and what follows it, or white space: the tokenizer never merges across these bounds.
 RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Characters that Python and the tokenizer class differently as white space.
 ODD = re.compile("[\x1c-\x1f\x85]")
 
 
+#: Fixed values of byte-level BPE: how texts are cut before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Runs on which a worker compares the fast encoder with the tokenizer itself.
+COMPARED = 256
+
+
+def byte_letters() -> dict[str, int]:
+    """The letter that byte-level vocabularies write for each byte: itself if it can be printed, else one from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
 class Ids:
-    """Token ids of texts as little-endian unsigned 32-bit bytes, from runs encoded once per worker."""
+    """Token ids of texts as little-endian unsigned 32-bit bytes, from runs encoded once per worker.
+
+    The ids are those of `tokenizers` for the vocabulary file at path.  For a
+    plain byte-level BPE the same vocabulary is given to tiktoken, which merges
+    short runs about three times as fast; each worker compares both on its
+    first runs and stays with `tokenizers` if they ever differ.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -45,8 +67,29 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.fast, self.compared = self.faster(path), False
+
+    @staticmethod
+    def faster(path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if spec["model"].get("type") != "BPE" or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or spec.get("normalizer"):
+            return None
+        letter = byte_letters()
+        special = {t["content"] for t in spec.get("added_tokens", ())}
+        ranks = {bytes(letter[c] for c in t): k for t, k in spec["model"]["vocab"].items() if t not in special}
+        return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.fast and not self.compared and texts:
+            some = texts[:COMPARED]
+            if [self.fast(t) for t in some] != [x.ids for x in self.tokenizer.encode_batch(some, add_special_tokens=False)]:
+                self.fast = None
+            self.compared = True
+        if self.fast and sys.byteorder == "little" and array("I").itemsize == 4:
+            return [array("I", self.fast(t)).tobytes() for t in texts]
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
