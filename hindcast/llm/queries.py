@@ -13,6 +13,7 @@ from hindcast.llm.ogg import op5_ogg
 from hindcast.llm.packing import op2_packing
 from hindcast.llm.pii import op10_pii
 from hindcast.llm.tiling import op8_decontamination
+from hindcast.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard": op6_jaccard,
     "op7_licenses": op7_licenses,
     "op8_decontamination": op8_decontamination,
+    "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
 }
 
