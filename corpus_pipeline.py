@@ -1,25 +1,76 @@
-"""Corpus pipeline: documents in, packed training sequences out."""
+"""Corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before
+kept.  All but the last return the columns of documents.  Rows with a null
+doc_id pass the stages that address documents by it unchanged.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from hindcast.llm import jaccard, line_dedup, quality, tiling
 from hindcast.llm.packing import pack_documents
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity or repeats exceed their language's limit go."""
+    found = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rejected = found.groupBy("doc_id").agg(F.bool_or("keep").alias("keep")).where("not keep").select("doc_id")
+    return docs.join(rejected, "doc_id", "left_anti")
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of runs of lines with 50 words or more go; so do documents that lose all they have."""
+    out = line_dedup.line_dedup(docs)
+    out = out.where((F.col("lines_removed") == 0) | F.col("text").rlike(r"\S"))
+    return out.withColumn("n_chars", F.when(F.col("lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 over five-word shingles the one with the smallest id stays."""
+    found = jaccard.jaccard_components(docs, n=5, percent=80)
+    gone = found.where("component_id <> doc_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that cover a benchmark item go."""
+    found = tiling.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the sequences of 2048 tokens that all kept documents are packed into."""
     import public_tokenizers
 
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("line dedup", repeated_lines),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("packing", packing),
+]
 
+#: The first, third and last stages have no SQL: they are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what each returns is written to the shared folder and read again."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-pipeline-")
+    folder = f"{base}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{k}")
+            docs = spark.read.parquet(f"{folder}/{k}")
     return docs

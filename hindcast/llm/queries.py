@@ -7,17 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hindcast.llm.jaccard import op6_jaccard
+from hindcast.llm.language import op4_language
 from hindcast.llm.licenses import op7_licenses
 from hindcast.llm.line_dedup import OP1_SQL, op1_line_dedup
 from hindcast.llm.ogg import op5_ogg
 from hindcast.llm.packing import op2_packing
 from hindcast.llm.pii import op10_pii
+from hindcast.llm.quality import op3_quality
 from hindcast.llm.tiling import op8_decontamination
 from hindcast.llm.toxicity import op9_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
+    "op3_quality": op3_quality,
+    "op4_language": op4_language,
     "op5_ogg": op5_ogg,
     "op6_jaccard": op6_jaccard,
     "op7_licenses": op7_licenses,
