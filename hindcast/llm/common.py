@@ -38,24 +38,27 @@ def fold(doc_id_column: str = "doc_id"):
     return F.crc32(F.col(doc_id_column).cast("string").cast("binary")) % 4
 
 
+class _Digests(dict):
+    """8-byte hashes of words, made when first asked for."""
+
+    def __init__(self, seed: int) -> None:
+        self.seed = seed
+
+    def __missing__(self, word: bytes) -> bytes:
+        h = self[word] = xxhash.xxh3_64_digest(word, self.seed)
+        return h
+
+
 class WordHashes:
     """64-bit hashes of byte words, cached per worker because words repeat."""
 
     def __init__(self, seed: int = 0) -> None:
-        self.seed, self.known = seed, {}
+        self.known = _Digests(seed)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known, seed = self.known, self.seed
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        out = []
-        add = out.append
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh3_64_intdigest(w, seed)
-            add(h)
-        return np.array(out, dtype=np.uint64)
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=np.uint64)
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)

@@ -5,7 +5,10 @@ distinct n-word shingles.  Under any one order of all shingles, two such sets
 share a shingle among the first n - ceil(t * n) + 1 of each (their prefixes).
 Two orders are used; a pair must share a prefix shingle under both before it is
 verified.  Both put frequent shingles last, as a count sketch of fixed size over
-all documents tells, and are random within a class of frequency.
+all documents tells: one goes by the count, the other by a coarse class of it,
+and each by another hash where those are equal.  What is left is checked by an
+upper bound on the intersection (smaller counts per bucket of hashes, added up),
+which costs a tenth of the bytes of the sets, and then on the sets themselves.
 
 Links are needed up to what they connect, so the join goes in two rounds.
 First each document is compared with one document of the groups (documents with
@@ -25,7 +28,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,8 +36,10 @@ from pyspark.sql import functions as F
 from hindcast.llm.common import WordHashes, components, durable, mix, shingles, text_rows
 
 #: Counters of the frequency sketch (4 bytes each), whatever the input's size.
-SKETCH = 1 << 18
-CHUNK = 1 << 12
+SKETCH = 1 << 20
+CHUNK = 1 << 14
+#: Buckets of the upper bound on an intersection.
+BUCKETS = 512
 #: Rows of (document, partner) that may be broadcast, 40 bytes each; more of them are shuffled.
 BROADCAST_ROWS = 1_000_000
 SECOND = np.uint64(0xA0761D6478BD642F)
@@ -54,7 +58,8 @@ def sets_of(texts: list[str], n: int, hashes_of: WordHashes) -> Iterator[np.ndar
     at = 0
     for ws in words:
         if len(ws) >= n:
-            yield np.unique(rolled[at : at + len(ws) - n + 1])
+            s = np.sort(rolled[at : at + len(ws) - n + 1])
+            yield s[np.append(True, s[1:] != s[:-1])]
         else:
             yield shingles(flat[at : at + len(ws)], n)
         at += len(ws)
@@ -72,41 +77,45 @@ def _over(docs: DataFrame, rows_of: Callable, schema: str, arrow: pa.Schema) ->
     return docs.mapInArrow(run, schema)
 
 
-def _sizes(docs: DataFrame, n: int) -> DataFrame:
-    """(doc, n, s1, s2): set size and a 128-bit signature of the set."""
+def _survey(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
+    """(doc, n, s1, s2): set size and 128-bit signature of each set; and the sketch.
 
-    def rows(ids, texts, hashes_of):
-        found = [(len(s), xxhash.xxh3_64_intdigest(s.tobytes(), 1), xxhash.xxh3_64_intdigest(s.tobytes(), 2)) for s in sets_of(texts, n, hashes_of)]
-        return [ids, [x[0] for x in found], *(np.array([x[k] for x in found], dtype=np.uint64).view(np.int64) for k in (1, 2))]
-
-    arrow = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())])
-    return _over(docs, rows, "doc long, n long, s1 long, s2 long", arrow)
-
-
-def _sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """How many documents hold a shingle of each of SKETCH buckets; partial sketches are added up chunk by chunk."""
+    The sketch counts, for each of SKETCH buckets, how many documents hold a
+    shingle of it.  Both come from one pass; partial sketches are added up by
+    chunks, and SKETCH counters in all reach the driver.
+    """
+    arrow = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes_of, counts = WordHashes(), np.zeros(SKETCH, dtype=np.int64)
+        hashes_of, counts = WordHashes(), np.zeros(SKETCH, dtype=np.int32)
         for b in text_rows(batches):
-            flat = np.concatenate([*sets_of(b.column(1).to_pylist(), n, hashes_of), np.zeros(0, np.uint64)])
-            counts += np.bincount((flat & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        chunks = counts.reshape(-1, CHUNK)
-        if counts.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(chunks)), pa.int32()), pa.array([c.tobytes() for c in chunks], pa.binary())], names=["chunk", "counts"])
-
-    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(CHUNK, dtype=np.int64)
-        for c in rows["counts"]:
-            total += np.frombuffer(c, dtype=np.int64)
-        return pd.DataFrame({"chunk": [key[0]], "counts": [total.tobytes()]})
-
-    schema = "chunk int, counts binary"
-    parts = docs.mapInArrow(run, schema).groupBy("chunk").applyInPandas(add, schema).toPandas()  # SKETCH counters in all
-    out = np.zeros((SKETCH // CHUNK, CHUNK), dtype=np.int64)
+            sets = list(sets_of(b.column(1).to_pylist(), n, hashes_of))
+            if len(flat := np.concatenate([*sets, np.zeros(0, np.uint64)])):
+                buckets, times = np.unique((flat & np.uint64(SKETCH - 1)).astype(np.int64), return_counts=True)
+                counts[buckets] += times.astype(np.int32)
+            signed = [pa.array(np.array([xxhash.xxh3_64_intdigest(s.tobytes(), k) for s in sets], dtype=np.uint64).view(np.int64)) for k in (1, 2)]
+            none = [pa.nulls(len(sets), t) for t in (pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), *signed, *none], schema=arrow)
+        chunks = [(k, c.tobytes()) for k, c in enumerate(counts.reshape(-1, CHUNK)) if c.any()]
+        if chunks:
+            none = [pa.nulls(len(chunks), pa.int64()) for _ in range(4)]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([c[0] for c in chunks], pa.int32()), pa.array([c[1] for c in chunks], pa.binary())], schema=arrow)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for b in batches:
+            for chunk, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                c = np.frombuffer(c, dtype=np.int32 if len(c) == 4 * CHUNK else np.int64)
+                totals[chunk] = totals.get(chunk, 0) + c.astype(np.int64)
+        if totals:
+            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())], names=["chunk", "counts"])
+
+    found = durable(docs.mapInArrow(run, "doc long, n long, s1 long, s2 long, chunk int, counts binary"))
+    parts = found.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk int, counts binary").toPandas()
+    sketch = np.zeros((SKETCH // CHUNK, CHUNK), dtype=np.int64)
     for chunk, counts in zip(parts["chunk"], parts["counts"]):
-        out[chunk] = np.frombuffer(counts, dtype=np.int64)
-    return out.ravel()
+        sketch[chunk] += np.frombuffer(counts, dtype=np.int64)
+    return found.where("chunk is null").select("doc", "n", "s1", "s2"), sketch.ravel()
 
 
 def frequency_class(sketch: np.ndarray) -> np.ndarray:
@@ -120,15 +129,27 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def prefixes(s: np.ndarray, classes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The set's first shingles under two orders: (class, hash) and (class, another hash)."""
+def prefixes(s: np.ndarray, sketch: np.ndarray, classes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The set's first shingles under two orders: (count, hash) and (class of counts, another hash)."""
     k = prefix_length(len(s), percent)
-    kind = classes[(s & np.uint64(SKETCH - 1)).astype(np.int64)]
-    return s[np.lexsort((mix(s), kind))[:k]], s[np.lexsort((mix(s ^ SECOND), kind))[:k]]
+    bucket = (s & np.uint64(SKETCH - 1)).astype(np.int64)
+    one = (sketch[bucket] << np.uint64(40)) | (mix(s) >> np.uint64(24))
+    two = (classes[bucket] << np.uint64(58)) | (mix(s ^ SECOND) >> np.uint64(6))
+    return s[np.argsort(one, kind="stable")[:k]], s[np.argsort(two, kind="stable")[:k]]
+
 
+def histogram(s: np.ndarray) -> np.ndarray:
+    return np.minimum(np.bincount((s >> np.uint64(50)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 65535).astype(np.uint16)
 
-def _verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity.
+
+def may_link(x: np.ndarray, y: np.ndarray, n: int, m: int, percent: int) -> bool:
+    """False only if sets of sizes n and m with these histograms can't be similar; full counters prove nothing."""
+    both = int(np.minimum(x, y).sum()) if max(x.max(), y.max()) < 65535 else min(n, m)
+    return 100 * both >= percent * (n + m - both)
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int, whole: bool) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity, or may reach it by their histograms if not whole.
 
     Each pair brings b's set to a's place.  Sorted by a with a's own set first,
     a task holds one set at a time however many partners it has; a's partners
@@ -146,7 +167,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFram
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes_of = WordHashes()
         for b in text_rows(batches, 128):
-            sets = [s.tobytes() for s in sets_of(b.column(1).to_pylist(), n, hashes_of)]
+            sets = [(s if whole else np.append(np.uint16([len(s) & 65535, len(s) >> 16]), histogram(s))).tobytes() for s in sets_of(b.column(1).to_pylist(), n, hashes_of)]
             out = [(t["a"], t["lot"], t["role"], doc, s) for doc, s, to in zip(b.column(0).to_pylist(), sets, b.column(2).to_pylist()) for t in to]
             for k in range(0, len(out), 512):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out[k : k + 512]), ROWS)], schema=ROWS)
@@ -154,18 +175,23 @@ def _verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFram
     ROWS = pa.schema([("a", pa.int64()), ("lot", pa.int32()), ("role", pa.int32()), ("b", pa.int64()), ("s", pa.binary())])
     LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    def similar(x: np.ndarray, y: np.ndarray) -> bool:
+        if not whole:
+            return may_link(x[2:], y[2:], *(int(v[0]) + (int(v[1]) << 16) for v in (x, y)), percent)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = None, []
         for batch in text_rows(batches, 1024):
             good = []
             for a, lot, role, b, s in zip(*(c.to_pylist() for c in batch.columns)):
-                s = np.frombuffer(s, dtype=np.uint64)
+                s = np.frombuffer(s, dtype=np.uint64 if whole else np.uint16)
                 if role == 0:
                     at, own = (a, lot), [*(own if at == (a, lot) else []), s]
                 elif at == (a, lot):
                     for mine in own:
-                        both = len(np.intersect1d(mine, s, assume_unique=True))
-                        if 100 * both >= percent * (len(mine) + len(s) - both):
+                        if similar(mine, s):
                             good.append((a, b))
             if good:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*good)], schema=LINKS)
@@ -178,11 +204,12 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     """One row per doc_id: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").where("doc_id is not null")
-    sizes = durable(_sizes(docs, n))
-    classes = frequency_class(_sketch(docs, n))
+    sizes, sketch = _survey(docs, n)
+    classes = frequency_class(sketch).astype(np.uint64)
+    sketch = np.minimum(sketch, (1 << 24) - 1).astype(np.uint64)
 
     def prefix_rows(ids, texts, hashes_of):
-        kept = [(d, len(s), *prefixes(s, classes, percent)) for d, s in zip(ids, sets_of(texts, n, hashes_of), strict=True) if len(s) > 1]
+        kept = [(d, len(s), *prefixes(s, sketch, classes, percent)) for d, s in zip(ids, sets_of(texts, n, hashes_of), strict=True) if len(s) > 1]
         return [[x[0] for x in kept], [x[1] for x in kept], [x[2].view(np.int64) for x in kept], [(x[3] >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in kept]]
 
     # Copies of a set stand for one node, the smallest doc_id; a set of one shingle links with its copies only.
@@ -213,6 +240,10 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
         out = pairs.join(a, "a").join(b, "b").where("na <> nb")
         return out.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct()
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        near = durable(_verify(filtered(pairs), docs, n, percent, whole=False))
+        return durable(_verify(near.distinct(), docs, n, percent, whole=True))
+
     stars = None
     for hub in ("low", "high"):
         star = rows.where(f"doc <> {hub}.doc").select("doc", F.col("n"), F.col(f"{hub}.doc").alias("hub"), F.col(f"{hub}.n").alias("m"))
@@ -220,7 +251,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
         star = star.groupBy("doc").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("b")).select(F.col("doc").alias("a"), "b")
         stars = star if stars is None else stars.union(star)
     tried = durable(as_nodes(stars))
-    links = durable(_verify(filtered(tried), docs, n, percent))
+    links = verified(tried)
 
     node_of = components(spark, links)
     part = nodes.where("doc = node").select("doc", "n").distinct().join(node_of.withColumnRenamed("id", "doc"), "doc", "left")
@@ -231,7 +262,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     x, y = (mixed.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("doc", "n", "part"))) for k in ("x", "y"))
     rest = x.join(y, "token").where((F.col("doc_x") < F.col("doc_y")) & (F.col("part_x") != F.col("part_y")) & similar_sizes("n_x", "n_y"))
     rest = rest.select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    links = links.union(durable(_verify(filtered(rest), docs, n, percent)))
+    links = links.union(verified(rest))
 
     linked = components(spark, links)
     out = sizes.groupBy("doc").agg(F.max("n").alias("n_shingles"))
