@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from hindcast.operators import aggregates, labels, ranking, splits, windows
 from hindcast.plans.registry import query
 
-cut = F.lit("1998-01-01").cast("date")
+
+def cut():
+    return F.lit("1998-01-01").cast("date")
+
 PA = ["game_id", "half_id", "pa_id"]
 _PA = """WITH pa AS (SELECT *, coalesce(sum(ends_pa) OVER (PARTITION BY game_id, half_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pa_id FROM {pitch}) """
 
@@ -56,7 +59,7 @@ def _(t):
 
 @query("base_rate", "SELECT truth, count(*) AS n, (sum(count(*)) OVER ())::BIGINT AS total, round(count(*) / sum(count(*)) OVER (), 6) AS p FROM {final} WHERE game_date < DATE '1998-01-01' GROUP BY 1")
 def _(t):
-    return aggregates.base_rate(t.final.where(F.col("game_date") < cut), "truth")
+    return aggregates.base_rate(t.final.where(F.col("game_date") < cut()), "truth")
 
 
 @query("conditional_rate", """WITH tr AS (SELECT * FROM {final} WHERE game_date < DATE '1998-01-01'), cl AS (SELECT DISTINCT truth FROM tr),
@@ -66,7 +69,7 @@ def _(t):
   FROM g CROSS JOIN cl LEFT JOIN f ON f.home_team = g.home_team AND f.away_team = g.away_team AND f.truth = cl.truth)
  SELECT home_team::BIGINT AS home_team, away_team::BIGINT AS away_team, truth, round(CASE WHEN t0 >= 24 THEN (n0 + 0.5) / (t0 + 1.5) ELSE (n1 + 0.5) / (t1 + 1.5) END, 6)::DOUBLE AS p, (CASE WHEN t0 >= 24 THEN 0 ELSE 1 END)::BIGINT AS level FROM x""")
 def _(t):
-    return aggregates.conditional_rate(t.final.where(F.col("game_date") < cut), "truth", [["home_team", "away_team"], ["home_team"]], 24, 0.5)
+    return aggregates.conditional_rate(t.final.where(F.col("game_date") < cut()), "truth", [["home_team", "away_team"], ["home_team"]], 24, 0.5)
 
 
 @query("joint_rate", "SELECT pitch_type::BIGINT AS pitch_type, pitch_result, count(*) AS n, (2 * grouping(pitch_type) + grouping(pitch_result))::BIGINT AS grouping FROM {pitch} GROUP BY GROUPING SETS ((pitch_type, pitch_result), (pitch_type), (pitch_result), ())")
@@ -110,12 +113,12 @@ _STRENGTH = "SELECT team::BIGINT AS team, count(*) AS games, round(avg(CASE WHEN
 
 @query("team_strength", _STRENGTH)
 def _(t):
-    return aggregates.team_strength(t.team_game.where("status = 'F'"), cut)
+    return aggregates.team_strength(t.team_game.where("status = 'F'"), cut())
 
 
 @query("schedule_difficulty", "WITH s AS (SELECT team, avg(CASE WHEN runs > allowed THEN 1.0 WHEN runs = allowed THEN 0.5 ELSE 0.0 END) AS w FROM {team_game} WHERE status = 'F' AND game_date < DATE '1998-01-01' GROUP BY 1) SELECT g.team::BIGINT AS team, count(*) AS games, round(avg(w), 6) AS difficulty FROM {team_game} g JOIN s ON s.team = g.opponent WHERE g.status = 'O' GROUP BY 1")
 def _(t):
-    return aggregates.schedule_difficulty(t.team_game.where("status = 'O'").select("team", "opponent"), aggregates.team_strength(t.team_game.where("status = 'F'"), cut))
+    return aggregates.schedule_difficulty(t.team_game.where("status = 'O'").select("team", "opponent"), aggregates.team_strength(t.team_game.where("status = 'F'"), cut()))
 
 
 @query("matchup_split", "SELECT player_id, role_id::BIGINT AS role_id, sum(hits)::BIGINT AS num, sum(exposure)::BIGINT AS den, round(sum(hits) / sum(exposure), 6) AS value, NULL::VARCHAR AS reason FROM {log} GROUP BY 1, 2")
@@ -300,24 +303,26 @@ def _(t):
 
 
 _SPLIT = "CASE WHEN game_date < DATE '1998-01-01' THEN 'train' WHEN game_date < DATE '2000-01-01' THEN 'validation' ELSE 'test' END"
-cuts = (cut, F.lit("2000-01-01").cast("date"))
+
+def cuts():
+    return cut(), F.lit("2000-01-01").cast("date")
 
 
 @query("time_split", f"SELECT game_id, {_SPLIT} AS split FROM {{game}}")
 def _(t):
-    return splits.time_split(t.game, "game_date", cuts).select("game_id", "split")
+    return splits.time_split(t.game, "game_date", cuts()).select("game_id", "split")
 
 
 @query("propagate_split", f"SELECT l_orderkey AS game_id, l_partkey, l_suppkey, {_SPLIT} AS split FROM {{lineitem}} JOIN {{game}} ON l_orderkey = game_id")
 def _(t):
     rows = t.lineitem.select(F.col("l_orderkey").alias("game_id"), "l_partkey", "l_suppkey")
-    return splits.propagate_split(rows, splits.time_split(t.game, "game_date", cuts))
+    return splits.propagate_split(rows, splits.time_split(t.game, "game_date", cuts()))
 
 
 @query("purge_overlap", f"SELECT game_id, {_SPLIT} AS split FROM {{game}} WHERE game_date >= DATE '1998-01-01' OR game_date + 28 <= DATE '1998-01-01'")
 def _(t):
-    rows = splits.time_split(t.game, "game_date", cuts).withColumn("label_end", F.date_add("game_date", 28))
-    return splits.purge_overlap(rows, cut).select("game_id", "split")
+    rows = splits.time_split(t.game, "game_date", cuts()).withColumn("label_end", F.date_add("game_date", 28))
+    return splits.purge_overlap(rows, cut()).select("game_id", "split")
 
 
 @query("rolling_origin", "WITH o AS (SELECT DATE '1997-01-01' AS origin UNION ALL SELECT DATE '1998-01-01' UNION ALL SELECT DATE '1999-01-01') SELECT origin, CASE WHEN game_date >= origin THEN 'eval' ELSE 'train' END AS role, count(*) AS n, round(avg(home_runs), 6) AS mean FROM {game} JOIN o ON game_date >= origin - 365 AND game_date < origin + 90 GROUP BY 1, 2")

@@ -10,7 +10,10 @@ from hindcast.plans.registry import query
 from hindcast.sources import lineage
 
 CUT = "DATE '1998-01-01'"
-cut = F.lit("1998-01-01").cast("date")
+
+def cut():
+    return F.lit("1998-01-01").cast("date")
+
 LINE = ["l_orderkey", "l_linenumber"]
 
 # Sources and lineage ---------------------------------------------------------------------------------------------
@@ -32,7 +35,7 @@ _VERSIONS = "l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_supp
 
 @query("version_as_of", f"SELECT {_VERSIONS} FROM {{lineitem}} WHERE l_shipdate <= TIMESTAMP '1998-01-01' QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1")
 def _(t):
-    return lineage.version_as_of(t.lineitem, LINE, "l_shipdate", cut, ["l_partkey", "l_suppkey"]).select(*LINE, "l_partkey", "l_suppkey")
+    return lineage.version_as_of(t.lineitem, LINE, "l_shipdate", cut(), ["l_partkey", "l_suppkey"]).select(*LINE, "l_partkey", "l_suppkey")
 
 
 @query("version_latest", f"SELECT {_VERSIONS} FROM {{lineitem}} QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1")
@@ -41,7 +44,7 @@ def _(t):
 
 
 def _versions(t):
-    a = lineage.version_as_of(t.lineitem, LINE, "l_shipdate", cut, ["l_partkey", "l_suppkey"])
+    a = lineage.version_as_of(t.lineitem, LINE, "l_shipdate", cut(), ["l_partkey", "l_suppkey"])
     return a, lineage.version_latest(t.lineitem, LINE, "l_shipdate", ["l_partkey", "l_suppkey"])
 
 
@@ -107,7 +110,7 @@ def _(t):
     ids = t.orders.where("o_orderkey % 10 = 3").select(F.col("o_orderkey").alias("sample_id"))
     samples = t.orders.select(F.col("o_orderkey").alias("sample_id"), F.col("o_custkey").alias("label"))
     parents = t.lineitem.select(F.col("l_orderkey").alias("sample_id"), F.col("l_partkey").alias("parent_id"), F.col("l_linenumber").alias("part_no"))
-    splits = t.orders.select(F.col("o_orderkey").alias("sample_id"), F.when(F.col("o_orderdate") < cut, "train").otherwise("test").alias("split"))
+    splits = t.orders.select(F.col("o_orderkey").alias("sample_id"), F.when(F.col("o_orderdate") < cut(), "train").otherwise("test").alias("split"))
     return lineage.reconstruct_sample(ids, samples, parents, splits)
 
 
@@ -116,7 +119,7 @@ def _(t):
 
 @query("gate_event_time", "SELECT game_id, game_date FROM {game} WHERE game_date < " + CUT)
 def _(t):
-    return gates.gate_event_time(t.game.select("game_id", "game_date"), "game_date", cut)
+    return gates.gate_event_time(t.game.select("game_id", "game_date"), "game_date", cut())
 
 
 _AVAIL = "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey "
@@ -142,15 +145,16 @@ def _(t):
 @query("gate_stacked", "SELECT game_id FROM {game} WHERE game_date < DATE '1998-01-01' AND game_date + CAST(game_id % 30 AS INT) < DATE '1998-01-01'")
 def _(t):
     preds = t.game.select("game_id", F.col("game_date").alias("train_end"), F.date_add("game_date", (F.col("game_id") % 30).cast("int")).alias("generated_at"))
-    return gates.gate_stacked(preds, cut).select("game_id")
+    return gates.gate_stacked(preds, cut()).select("game_id")
 
 
-_RULES = [("not final", F.col("status") == "F"), ("too late", F.col("game_date") < cut), ("same score", F.col("home_runs") != F.col("away_runs"))]
+def _rules():
+    return [("not final", F.col("status") == "F"), ("too late", F.col("game_date") < cut()), ("same score", F.col("home_runs") != F.col("away_runs"))]
 
 
 @query("split_reasons", """SELECT coalesce(reason, 'admitted') AS outcome, count(*) AS n FROM (SELECT CASE WHEN status <> 'F' THEN 'not final' WHEN game_date >= DATE '1998-01-01' THEN 'too late' WHEN home_runs = away_runs THEN 'same score' END AS reason FROM {game}) GROUP BY 1""")
 def _(t):
-    ok, bad = gates.split_reasons(t.game, _RULES)
+    ok, bad = gates.split_reasons(t.game, _rules())
     return ok.select(F.lit("admitted").alias("outcome")).union(bad.select("reason")).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -242,7 +246,7 @@ def _(t):
 
 @query("quarantine", "SELECT game_id, CASE WHEN status <> 'F' THEN 'not final' WHEN game_date >= DATE '1998-01-01' THEN 'too late' ELSE 'same score' END AS reason FROM {game} WHERE status <> 'F' OR game_date >= DATE '1998-01-01' OR home_runs = away_runs")
 def _(t):
-    return quality.quarantine(t.game, _RULES)[1].select("game_id", "reason")
+    return quality.quarantine(t.game, _rules())[1].select("game_id", "reason")
 
 
 @query("quality_report", "SELECT 'range' AS check_name, (SELECT count(*) FROM {lineitem} WHERE l_quantity NOT BETWEEN 2 AND 45) AS failures, (SELECT count(*) FROM {lineitem}) AS checked UNION ALL SELECT 'duplicates', (SELECT count(*) FROM (SELECT 1 FROM {lineitem} GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)), (SELECT count(*) FROM {lineitem})")

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from hindcast.operators import aggregates, baselines, estimators, ranking, scoring, season, splits, value
 from hindcast.plans.registry import query
 
-cut = F.lit("1998-01-01").cast("date")
+
+def cut():
+    return F.lit("1998-01-01").cast("date")
+
 KEY = ["game_id"]
 _JOINT = "(SELECT x.game_id, x.k AS h, y.k AS a, x.p * y.p AS p FROM {pmf} x JOIN {pmf2} y USING (game_id))"
 _CONF = "(SELECT f.truth, b.cls AS predicted, count(*) AS n FROM (SELECT * FROM {preds} QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY p DESC, cls) = 1) b JOIN {final} f USING (game_id) GROUP BY 1, 2)"
@@ -36,7 +39,7 @@ def base_rate_slice(t):
     """How good is the base-rate game forecast, by season?"""
     from hindcast.operators.labels import label_game
 
-    games = splits.time_split(label_game(t.game).withColumnRenamed("cls", "truth"), "game_date", (cut, cut))
+    games = splits.time_split(label_game(t.game).withColumnRenamed("cls", "truth"), "game_date", (cut(), cut()))
     test = games.where("split = 'test'")
     preds = baselines.base_rate_forecast(games.where("split = 'train'"), test, KEY, "truth")
     truth = test.select("game_id", "truth", "season")
@@ -323,8 +326,8 @@ def _pitch_rows(t):
 @query("fit_runs")
 def _(t):
     rows = _team_rows(t)
-    model = estimators.fit_runs(rows.where(F.col("game_date") < cut), ["is_home", "f1", "f2"])
-    return model.transform(rows.where(F.col("game_date") >= cut)).select("game_id", "side", "prediction")
+    model = estimators.fit_runs(rows.where(F.col("game_date") < cut()), ["is_home", "f1", "f2"])
+    return model.transform(rows.where(F.col("game_date") >= cut())).select("game_id", "side", "prediction")
 
 
 @query("fit_pa")
@@ -350,8 +353,8 @@ def _(t):
     from pyspark.ml.functions import vector_to_array
 
     rows = _team_rows(t)
-    model = estimators.fit_win(rows.where(F.col("game_date") < cut), ["is_home", "f1", "f2"])
-    return model.transform(rows.where(F.col("game_date") >= cut)).select("game_id", "side", vector_to_array("probability")[1].alias("p"))
+    model = estimators.fit_win(rows.where(F.col("game_date") < cut()), ["is_home", "f1", "f2"])
+    return model.transform(rows.where(F.col("game_date") >= cut())).select("game_id", "side", vector_to_array("probability")[1].alias("p"))
 
 
 @query("fit_pitch")
@@ -370,7 +373,7 @@ def _(t):
 @query("linear_contributions")
 def _(t):
     rows = _team_rows(t)
-    train = rows.where(F.col("game_date") < cut)
+    train = rows.where(F.col("game_date") < cut())
     names = ["is_home", "f1", "f2"]
     coefficients = estimators.fit_runs(train, names).stages[-1].coefficients.toArray().tolist()
     return estimators.linear_contributions(rows, coefficients, train.agg(*[F.avg(c).alias(c) for c in names]), names, ["game_id", "side"])
