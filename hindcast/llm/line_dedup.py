@@ -18,7 +18,7 @@ Defined results: null text stays null and has no lines; an empty or blank text
 stays as it is; rows with null doc_id are passed on unchanged and match
 nothing; equal rows count once and all get the same result; of equal runs in
 one document the first stays; an empty table gives no rows.  Columns beside
-doc_id and text are carried through; names used inside start with "__".
+doc_id and text are carried through, whatever their names.
 """
 
 from __future__ import annotations
@@ -80,17 +80,16 @@ def repeated_spans(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
 def line_dedup(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with lines_removed, spans_removed ("first-last" line numbers, comma-joined) and text without those lines."""
     spans = repeated_spans(docs, min_words=min_words)
-    joined = docs.withColumn("__version", F.xxhash64("text")).join(
-        spans.withColumnRenamed("__version", "__of"),
-        (F.col("doc_id") == F.col("__doc")) & (F.col("__version") == F.col("__of")), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("d"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("version"))
+    joined = rows.join(spans, (F.col("id") == F.col("__doc")) & (F.col("version") == F.col("__version")), "left")
     gone = F.coalesce("__spans", F.expr("array()").cast("array<struct<start:int,end:int>>"))
-    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.exists(gone, lambda s: i.between(s["start"], s["end"])))
+    kept = F.filter(F.split("d.text", "\n"), lambda _, i: ~F.exists(gone, lambda s: i.between(s["start"], s["end"])))
     n = F.aggregate(gone, F.lit(0), lambda n, s: n + s["end"] - s["start"] + 1)
     named = F.array_join(F.transform(gone, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
-    return joined.select(
-        *[c for c in docs.columns if c != "text"],
-        F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        n.cast("long").alias("lines_removed"), named.alias("spans_removed"))
+    done = joined.select("d", F.struct(
+        F.when(F.col("__spans").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        n.cast("long").alias("lines_removed"), named.alias("spans_removed")).alias("out"))
+    return done.select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns if c != "text"], "out.*")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

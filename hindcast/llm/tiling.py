@@ -11,7 +11,7 @@ The seeds of a document pass a bitmap of the benchmark's seeds (2^BITS bits,
 whatever the benchmark's size) before they are shuffled.
 
 Defined results: null or blank texts match nothing; an item shorter than
-`least` words is one seed of all its words; equal items are reported under each
+`least` words is one seed of all its words and found as such; equal items are reported under each
 item_id; equal rows of one doc_id are reported once; rows with a null id are
 left out, having nothing to report them by; an empty table gives no rows.
 """
@@ -96,8 +96,12 @@ def tiles(a: list, b: list, least: int = LEAST) -> list[tuple[int, int, int]]:
         n = max(least, n // 2)
 
 
-def _seed_rows(frame: DataFrame, id_column: str, least: int, bitmap: np.ndarray | None) -> DataFrame:
-    """(id, seed, times, words): distinct seeds of each text, those of the bitmap only if there is one."""
+def _seed_rows(frame: DataFrame, id_column: str, lengths: list[int], bitmap: np.ndarray | None) -> DataFrame:
+    """(id, seed, times, words): distinct seeds of each text.
+
+    Without a bitmap (for items) a text shorter than the one length is one seed;
+    with it (for documents) all runs of these lengths are taken that it holds.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes_of = WordHashes()
@@ -106,8 +110,10 @@ def _seed_rows(frame: DataFrame, id_column: str, least: int, bitmap: np.ndarray
             hashes = hashes_of([w.encode() for ws in words for w in ws])
             at, out = 0, []
             for doc, ws in zip(ids, words, strict=True):
-                seeds = shingles(hashes[at : at + len(ws)], least)
+                own = hashes[at : at + len(ws)]
                 at += len(ws)
+                seeds = [shingles(own, n) for n in lengths if bitmap is None or n <= len(ws)]
+                seeds = np.concatenate([*seeds, hashes[:0]])
                 if bitmap is not None:
                     seeds = seeds[bitmap[seeds & np.uint64(len(bitmap) - 1)]]
                 if len(seeds):
@@ -125,14 +131,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = LEAST, c
 
     tiles is an array of (length, item_at, doc_at), in words, longest first.
     """
-    seeds = durable(_seed_rows(benchmark, "item_id", least, None))
+    seeds = durable(_seed_rows(benchmark, "item_id", [least], None))
     bits = seeds.select(F.expr(f"seed & {(1 << BITS) - 1}").alias("bit")).distinct().toPandas()["bit"].to_numpy()
     bitmap = np.zeros(1 << BITS, dtype=bool)  # 1 MB at most, as are the distinct bits
     bitmap[bits] = True
-    hits = _seed_rows(docs, "doc_id", least, bitmap).select(F.col("id").alias("doc"), "seed").distinct()
+    short = [r["words"] for r in seeds.where(F.col("words") < least).select("words").distinct().collect()]
+    hits = _seed_rows(docs, "doc_id", [least, *sorted(short)], bitmap).select(F.col("id").alias("doc"), "seed").distinct()
     pairs = hits.join(seeds.withColumnRenamed("id", "item"), "seed").groupBy("doc", "item").agg(F.sum("times").alias("n"), F.max("words").alias("words"))
     # A tile of t words holds t - least + 1 of the item's seeds, so that many are needed for the coverage.
-    pairs = durable(pairs.where(F.col("n") * least >= F.lit(coverage) * F.col("words")).select("doc", "item"))
+    # An item shorter than that is one seed.
+    pairs = durable(pairs.where(F.col("n") * F.least(F.lit(least), F.col("words")) >= F.lit(coverage) * F.col("words")).select("doc", "item"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item"), F.col("text").alias("item_text")).dropDuplicates(["item", "item_text"])
     small = (lambda x: F.broadcast(x)) if pairs.count() <= BROADCAST_PAIRS else (lambda x: x)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").where("text is not null")
