@@ -45,6 +45,8 @@ def removed_lines(docs, least):
                 n += len(ls[j][1].split())
                 if n >= least:
                     runs.append((d, ls[i][0], ls[j][0], tuple(x for _, x in ls[i : j + 1])))
+                if n >= 3 * least:
+                    break  # longer runs are made of such ones
     for d, s, e, content in sorted(runs, key=lambda r: r[:3]):
         first = seen.setdefault(content, (d, s, e))
         if first[0] != d or s > first[2]:
