@@ -56,4 +56,4 @@ def round_score(mean: Column) -> Column:
 
 def outs_as_innings(outs: Column) -> Column:
     """Whole innings and thirds; never decimal arithmetic."""
-    return F.concat_ws(" ", F.expr("1") * F.floor(outs / 3).cast("long"), F.concat((outs % 3).cast("string"), F.lit("/3")))
+    return F.concat_ws(" ", F.floor(outs / 3).cast("long").cast("string"), F.concat((outs % 3).cast("string"), F.lit("/3")))

@@ -6,6 +6,7 @@ import sys
 import tempfile
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -44,7 +45,7 @@ def same():
         cols = sorted(a.columns)
 
         def value(x):
-            if x is None or x != x or str(x) in ("NaT", "<NA>"):
+            if pd.isna(x):
                 return "null"
             if hasattr(x, "isoformat"):
                 return x.isoformat()[:19].removesuffix("T00:00:00")
