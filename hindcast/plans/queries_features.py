@@ -65,9 +65,10 @@ def _(t):
 @query("conditional_rate", """WITH tr AS (SELECT * FROM {final} WHERE game_date < DATE '1998-01-01'), cl AS (SELECT DISTINCT truth FROM tr),
  g AS (SELECT DISTINCT home_team, away_team FROM tr), f AS (SELECT home_team, away_team, truth, count(*) AS n FROM tr GROUP BY ALL),
  x AS (SELECT g.home_team, g.away_team, cl.truth, coalesce(f.n, 0) AS n0, (SELECT sum(n) FROM f f2 WHERE f2.home_team = g.home_team AND f2.away_team = g.away_team) AS t0,
-  coalesce((SELECT sum(n) FROM f f3 WHERE f3.home_team = g.home_team AND f3.truth = cl.truth), 0) AS n1, (SELECT sum(n) FROM f f4 WHERE f4.home_team = g.home_team) AS t1
+  coalesce((SELECT sum(n) FROM f f3 WHERE f3.home_team = g.home_team AND f3.truth = cl.truth), 0) AS n1, (SELECT sum(n) FROM f f4 WHERE f4.home_team = g.home_team) AS t1,
+  coalesce((SELECT sum(n) FROM f f5 WHERE f5.truth = cl.truth), 0) AS n2, (SELECT sum(n) FROM f) AS t2
   FROM g CROSS JOIN cl LEFT JOIN f ON f.home_team = g.home_team AND f.away_team = g.away_team AND f.truth = cl.truth)
- SELECT home_team::BIGINT AS home_team, away_team::BIGINT AS away_team, truth, round(CASE WHEN t0 >= 24 THEN (n0 + 0.5) / (t0 + 1.5) ELSE (n1 + 0.5) / (t1 + 1.5) END, 6)::DOUBLE AS p, (CASE WHEN t0 >= 24 THEN 0 ELSE 1 END)::BIGINT AS level FROM x""")
+ SELECT home_team::BIGINT AS home_team, away_team::BIGINT AS away_team, truth, round(CASE WHEN t0 >= 24 THEN (n0 + 0.5) / (t0 + 1.5) WHEN t1 >= 24 THEN (n1 + 0.5) / (t1 + 1.5) ELSE (n2 + 0.5) / (t2 + 1.5) END, 6)::DOUBLE AS p, (CASE WHEN t0 >= 24 THEN 0 WHEN t1 >= 24 THEN 1 ELSE 2 END)::BIGINT AS level FROM x""")
 def _(t):
     return aggregates.conditional_rate(t.final.where(F.col("game_date") < cut()), "truth", [["home_team", "away_team"], ["home_team"]], 24, 0.5)
 
