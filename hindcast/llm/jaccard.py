@@ -14,7 +14,10 @@ Links are needed up to what they connect, so the join goes in two rounds.
 First each document is compared with one document of the groups (documents with
 one prefix shingle in common) it shares most with.  What that links is merged;
 after that only pairs across merged components can add anything, and all of
-those are compared.  Copies of one set are one node throughout.
+those are compared.  Copies of one set are one node throughout.  In a large
+family (many documents with one hub) nearly all would share the hub's shingles,
+so there the filter runs over what tells members from the hub: two members that
+are similar either both link with the hub, or share enough of those tokens.
 
 Sets are 64-bit hashes of shingles.  Defined results: without words or text a
 set is empty and links with nothing; with fewer than n words the whole sequence
@@ -42,6 +45,8 @@ CHUNK = 1 << 14
 BUCKETS = 512
 #: Rows of (document, partner) that may be broadcast, 40 bytes each; more of them are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Members from which a family of documents with one hub is compared by differences.
+LARGE = 64
 SECOND = np.uint64(0xA0761D6478BD642F)
 
 
@@ -148,11 +153,11 @@ def may_link(x: np.ndarray, y: np.ndarray, n: int, m: int, percent: int) -> bool
     return 100 * both >= percent * (n + m - both)
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int, whole: bool) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity, or may reach it by their histograms if not whole.
+def _side_by_side(pairs: DataFrame, docs: DataFrame, n: int, payload: Callable, judge: Callable, schema: str, arrow: pa.Schema) -> DataFrame:
+    """judge(a, b, what a has, what b has) -> rows, for pairs (a, b); payload turns a set into an array to carry.
 
-    Each pair brings b's set to a's place.  Sorted by a with a's own set first,
-    a task holds one set at a time however many partners it has; a's partners
+    Each pair brings b's array to a's place.  Sorted by a with a's own first, a
+    task holds one array at a time however many partners it has; a's partners
     are dealt out in lots of about 256 so that no task gets all of a hot one.
     """
     lots = F.greatest(F.lit(1), F.expr("ceil(m / 256)")).cast("int")
@@ -163,41 +168,78 @@ def _verify(pairs: DataFrame, docs: DataFrame, n: int, percent: int, whole: bool
     rows = rows.groupBy("doc").agg(F.collect_list("to").alias("to"))
     if pairs.count() <= BROADCAST_ROWS:
         rows = F.broadcast(rows)
+    carried = pa.schema([("a", pa.int64()), ("lot", pa.int32()), ("role", pa.int32()), ("b", pa.int64()), ("kind", pa.string()), ("s", pa.binary())])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes_of = WordHashes()
         for b in text_rows(batches, 128):
-            sets = [(s if whole else np.append(np.uint16([len(s) & 65535, len(s) >> 16]), histogram(s))).tobytes() for s in sets_of(b.column(1).to_pylist(), n, hashes_of)]
-            out = [(t["a"], t["lot"], t["role"], doc, s) for doc, s, to in zip(b.column(0).to_pylist(), sets, b.column(2).to_pylist()) for t in to]
+            sets = [payload(s) for s in sets_of(b.column(1).to_pylist(), n, hashes_of)]
+            out = [(t["a"], t["lot"], t["role"], doc, s.dtype.str, s.tobytes()) for doc, s, to in zip(b.column(0).to_pylist(), sets, b.column(2).to_pylist()) for t in to]
             for k in range(0, len(out), 512):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out[k : k + 512]), ROWS)], schema=ROWS)
-
-    ROWS = pa.schema([("a", pa.int64()), ("lot", pa.int32()), ("role", pa.int32()), ("b", pa.int64()), ("s", pa.binary())])
-    LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def similar(x: np.ndarray, y: np.ndarray) -> bool:
-        if not whole:
-            return may_link(x[2:], y[2:], *(int(v[0]) + (int(v[1]) << 16) for v in (x, y)), percent)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return 100 * both >= percent * (len(x) + len(y) - both)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out[k : k + 512]), carried)], schema=carried)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = None, []
-        for batch in text_rows(batches, 1024):
-            good = []
-            for a, lot, role, b, s in zip(*(c.to_pylist() for c in batch.columns)):
-                s = np.frombuffer(s, dtype=np.uint64 if whole else np.uint16)
+        for batch in text_rows(batches, 512):
+            found = []
+            for a, lot, role, b, kind, s in zip(*(c.to_pylist() for c in batch.columns)):
+                s = np.frombuffer(s, dtype=kind)
                 if role == 0:
                     at, own = (a, lot), [*(own if at == (a, lot) else []), s]
                 elif at == (a, lot):
-                    for mine in own:
-                        if similar(mine, s):
-                            good.append((a, b))
-            if good:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*good)], schema=LINKS)
+                    found += [row for mine in own for row in judge(a, b, mine, s)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*found), arrow)], schema=arrow)
+
+    sets = docs.join(rows, "doc").select("doc", "text", "to").mapInArrow(fetch, "a long, lot int, role int, b long, kind string, s binary")
+    return sets.repartition("a", "lot").sortWithinPartitions("a", "lot", "role", "b").mapInArrow(compare, schema)
+
+
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _possible(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs that their sizes and histograms don't rule out."""
+
+    def payload(s: np.ndarray) -> np.ndarray:
+        return np.append(np.uint16([len(s) & 65535, len(s) >> 16]), histogram(s))
+
+    def judge(a, b, x, y):
+        n_x, n_y = (int(v[0]) + (int(v[1]) << 16) for v in (x, y))
+        return [(a, b)] if may_link(x[2:], y[2:], n_x, n_y, percent) else []
+
+    return _side_by_side(pairs, docs, n, payload, judge, "a long, b long", LINKS)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs whose sets reach the similarity."""
 
-    sets = docs.join(rows, "doc").select("doc", "text", "to").mapInArrow(fetch, "a long, lot int, role int, b long, s binary")
-    return sets.repartition("a", "lot").sortWithinPartitions("a", "lot", "role", "b").mapInArrow(compare, "a long, b long")
+    def judge(a, b, x, y):
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return [(a, b)] if 100 * both >= percent * (len(x) + len(y) - both) else []
+
+    return _side_by_side(pairs, docs, n, lambda s: s, judge, "a long, b long", LINKS)
+
+
+def _differences(members: DataFrame, docs: DataFrame, n: int, sketch: np.ndarray) -> DataFrame:
+    """(a, b, n, d, token, left): how the set of b, n shingles, differs from a's, in d tokens, one row each.
+
+    A token is a shingle that b has and a lacks, or, marked, one that b lacks.
+    They are in a common order, rare ones first and lacking ones last; left is
+    the number of tokens from this one on.  Pairs below half similarity are left out.
+    """
+    arrow = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("d", pa.int64()), ("token", pa.int64()), ("left", pa.int64())])
+
+    def judge(a, b, x, y):
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        if 2 * both < len(x) + len(y) - both:
+            return []
+        more, less = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+        more = more[np.lexsort((more, sketch[(more & np.uint64(SKETCH - 1)).astype(np.int64)]))]
+        tokens = np.concatenate([more, mix(np.sort(less) ^ SECOND)]).view(np.int64).tolist()
+        return [(a, b, len(y), len(tokens), t, len(tokens) - k) for k, t in enumerate(tokens)]
+
+    return _side_by_side(members, docs, n, lambda s: s, judge, "a long, b long, n long, d long, token long, left long", arrow)
 
 
 def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
@@ -241,27 +283,50 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
         return out.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
-        near = durable(_verify(filtered(pairs), docs, n, percent, whole=False))
-        return durable(_verify(near.distinct(), docs, n, percent, whole=True))
+        near = durable(_possible(filtered(pairs), docs, n, percent))
+        return durable(_verified(near.distinct(), docs, n, percent))
 
-    stars = None
+    hubs = {}
     for hub in ("low", "high"):
         star = rows.where(f"doc <> {hub}.doc").select("doc", F.col("n"), F.col(f"{hub}.doc").alias("hub"), F.col(f"{hub}.n").alias("m"))
         star = star.where(similar_sizes("n", "m")).groupBy("doc", "hub").agg(F.count(F.lit(1)).alias("shared"))
         star = star.groupBy("doc").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("b")).select(F.col("doc").alias("a"), "b")
-        stars = star if stars is None else stars.union(star)
-    tried = durable(as_nodes(stars))
+        hubs[hub] = durable(star)
+    tried = durable(as_nodes(hubs["low"].union(hubs["high"])))
     links = verified(tried)
 
+    # Large families: nodes whose likest hub is the same.  Their members are compared by how they differ from it.
+    best = hubs["low"].select(F.col("a").alias("doc"), F.col("b").alias("hub")).join(nodes.where("doc = node").select("doc").distinct(), "doc", "left_semi")
+    large = best.groupBy("hub").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > LARGE)
+    best = best.join(large.select(F.col("hub").alias("doc")), "doc", "left_anti")  # a hub is a member of its own family
+    members = best.join(large.select("hub"), "hub", "left_semi").select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+    differs = durable(_differences(members, docs, n, sketch))
+    family = differs.select(F.col("b").alias("doc"), F.col("a").alias("family")).distinct().union(
+        differs.select(F.col("a").alias("doc"), F.col("a").alias("family")).distinct())
+
     node_of = components(spark, links)
-    part = nodes.where("doc = node").select("doc", "n").distinct().join(node_of.withColumnRenamed("id", "doc"), "doc", "left")
-    part = part.select("doc", F.coalesce("component", "doc").alias("part"))
+    part = nodes.where("doc = node").select("doc").distinct().join(node_of.withColumnRenamed("id", "doc"), "doc", "left").join(family, "doc", "left")
+    part = durable(part.select("doc", F.coalesce("component", "doc").alias("part"), F.coalesce("family", "doc").alias("family")))
     mixed = rows.select("token", "doc", "n").join(part, "doc")
-    mixed = mixed.withColumn("least", F.min("part").over(group)).withColumn("most", F.max("part").over(group)).where("least <> most")
-    mixed = durable(mixed.select("token", "doc", "n", "part"))
-    x, y = (mixed.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("doc", "n", "part"))) for k in ("x", "y"))
-    rest = x.join(y, "token").where((F.col("doc_x") < F.col("doc_y")) & (F.col("part_x") != F.col("part_y")) & similar_sizes("n_x", "n_y"))
-    rest = rest.select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    for c in ("part", "family"):
+        mixed = mixed.withColumn("least", F.min(c).over(group)).withColumn("most", F.max(c).over(group)).where("least <> most")
+    mixed = durable(mixed.select("token", "doc", "n", "part", "family"))
+
+    def sides(df: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+        return tuple(df.select(*on, *(F.col(c).alias(f"{c}_{k}") for c in df.columns if c not in on)) for k in ("x", "y"))
+
+    x, y = sides(mixed, ["token"])
+    rest = x.join(y, "token").where((F.col("doc_x") < F.col("doc_y")) & (F.col("part_x") != F.col("part_y")) & (F.col("family_x") != F.col("family_y")) & similar_sizes("n_x", "n_y"))
+    rest = rest.select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b")).distinct()
+
+    # With f = d - n * (1 - t) / (1 + t), two members are similar just if they share (f_x + f_y) / 2 difference tokens.
+    # If that is no more than none, both link with the hub, which has been seen to; else they share a first token in the
+    # common order, and from there on both have as many left.
+    x, y = sides(differs.select(F.col("a").alias("hub"), "token", F.col("b").alias("doc"), "n", "left", (F.col("d") * (100 + percent) - F.col("n") * (100 - percent)).alias("f")).join(part.select("doc", "part"), "doc"), ["hub", "token"])
+    need = F.col("f_x") + F.col("f_y")
+    inside = x.join(y, ["hub", "token"]).where((F.col("doc_x") < F.col("doc_y")) & (F.col("part_x") != F.col("part_y")) & (need > 0)
+                                               & (F.least("left_x", "left_y") * 2 * (100 + percent) >= need) & similar_sizes("n_x", "n_y"))
+    rest = rest.union(inside.select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))).distinct().join(tried, ["a", "b"], "left_anti")
     links = links.union(verified(rest))
 
     linked = components(spark, links)
@@ -273,3 +338,13 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=4, percent=85)
+
+
+OP6_SQL = r"""WITH RECURSIVE t AS (SELECT DISTINCT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM t, unnest(range(1, greatest(2, len(w) - 2))) u(i) WHERE len(w) > 0),
+n AS (SELECT t.doc_id, count(g) AS n FROM t LEFT JOIN s USING (doc_id) GROUP BY 1),
+e AS (SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, nx.n, ny.n HAVING 100 * count(*) >= 85 * (nx.n + ny.n - count(*))),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT n.doc_id, n.n AS n_shingles, min(c) AS component_id FROM n JOIN r ON r.doc_id = n.doc_id GROUP BY 1, 2
+"""

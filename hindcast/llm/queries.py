@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hindcast.llm.jaccard import op6_jaccard
+from hindcast.llm.jaccard import OP6_SQL, op6_jaccard
 from hindcast.llm.language import op4_language
 from hindcast.llm.licenses import op7_licenses
 from hindcast.llm.line_dedup import OP1_SQL, op1_line_dedup
@@ -30,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
 }
 
-SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL}
+SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op6_jaccard": OP6_SQL}
