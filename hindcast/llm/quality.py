@@ -1,6 +1,8 @@
-"""Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
+"""Quality classifier: perplexities under two interpolated modified Kneser-Ney models.
 
-The model is over symbols of a fixed alphabet of SYMBOLS kinds (small letters,
+One model is over pairs of subword pieces (see pieces): it grows with the
+trusted text, tells the order of words, and spells out every script.  The other
+is over symbols of a fixed alphabet of SYMBOLS kinds (small letters,
 accents by their letter, capitals as one kind, digits, blanks, the usual
 punctuation, the rest), in n-grams of ORDER.  It is trained on all trusted text.
 N-gram counts are summed in shards by n-gram; continuation counts, discounts
@@ -9,9 +11,11 @@ tables.  The table of probabilities has SYMBOLS ** ORDER entries whatever the
 corpus is (16 MB), so it is broadcast, and scoring a text is a table lookup per
 symbol, without a shuffle of texts or of their n-grams.
 
-A text is rejected if its perplexity, or the share of its symbols that repeats
-what stood shortly before, is above a quantile of the trusted texts of its
-language by more than a margin.  The margin widens for short texts, whose
+A text is rejected if either perplexity, or the share of its symbols that
+repeats what stood shortly before, is above a quantile of the trusted texts of its
+language by more than a margin, or if the bits that the piece before saves fall
+below the lower quantile: that figure falls when words stand in wrong order,
+whatever the words are.  The margin widens for short texts, whose
 figures scatter, with the root of their length.
 
 Defined results: null or empty text has perplexity null and is rejected; a null
@@ -32,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hindcast.llm import pieces
 from hindcast.llm.common import durable, text_rows
 
 ORDER = 4
@@ -40,6 +45,8 @@ PUNCTUATION = ".,;:!?'\"()-/"
 SYMBOLS = 3 + 26 + 3 + len(PUNCTUATION) + 1
 QUANTILE = 0.99
 MARGIN = 1.15
+#: Bits a piece that the gain from order scatters by, times the root of the number of pieces; bits below the quantile that are let pass.
+SCATTER, SHORT_OF = 2.0, 0.05
 #: Ids of trusted documents that may be broadcast (8 bytes each); more of them are shuffled.
 BROADCAST_IDS = 2_000_000
 
@@ -161,26 +168,40 @@ def perplexities(docs: DataFrame, model: np.ndarray | None) -> DataFrame:
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
-    """doc_id, text, lang of docs with perplexity, repeats, threshold and keep."""
+    """doc_id and lang of docs with perplexity, repeats, threshold, piece_perplexity, piece_threshold and keep."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
     trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long")).distinct()
     docs = docs.select(F.col("doc_id").cast("long"), "text", "lang")
     trusted = durable(trusted)
-    ids = F.broadcast(trusted) if trusted.count() <= BROADCAST_IDS else trusted
+    n_trusted = trusted.count()
+    ids = F.broadcast(trusted) if n_trusted <= BROADCAST_IDS else trusted
     model = fit(docs.join(ids, "doc_id", "left_semi"))
-    good = perplexities(docs, model)
+    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text"))
+    with_flag = trusted.withColumn("trusted", F.lit(True))
+    with_flag = F.broadcast(with_flag) if n_trusted <= BROADCAST_IDS else with_flag
+    flagged = keyed.join(with_flag, "doc_id", "left").fillna(False, ["trusted"])
+    known = pieces.fit(keyed.join(ids, "doc_id", "left_semi"), path)
+    priced = pieces.bits(flagged, known, path) if known else keyed.select("key", F.lit(0.0).alias("bits"), F.lit(0.0).alias("alone"), F.lit(0).alias("pieces")).where("false")
+    good = perplexities(keyed, model).join(priced, "key", "left").withColumn("piece_perplexity", F.pow(F.lit(2.0), F.col("bits") / F.col("pieces")))
+    good = good.withColumn("order_gain", (F.col("alone") - F.col("bits")) / F.col("pieces"))
+    good = good.withColumn("widened", F.col("order_gain") + SCATTER / F.sqrt("pieces"))
     good = durable(good)
-    q = F.percentile_approx("perplexity", quantile, 10_000).alias("p"), F.percentile_approx("repeats", quantile, 10_000).alias("r")
+    q = F.percentile_approx("perplexity", quantile, 10_000).alias("p"), F.percentile_approx("repeats", quantile, 10_000).alias("r"), F.percentile_approx("piece_perplexity", quantile, 10_000).alias("w"), F.percentile_approx("widened", 1 - quantile, 10_000).alias("g")
     scored = good.join(trusted, "doc_id", "left_semi")
     per_lang = scored.groupBy("lang").agg(*q).where("lang is not null")
-    overall = scored.agg(*(x.alias(n) for x, n in zip(q, ("all_p", "all_r"))))
+    overall = scored.agg(*(x.alias(n) for x, n in zip(q, ("all_p", "all_r", "all_w", "all_g"))))
     out = good.join(F.broadcast(per_lang), "lang", "left").crossJoin(F.broadcast(overall))  # a row per language; one row
     limit, again = F.coalesce("p", "all_p") * margin, F.coalesce("r", "all_r") * margin
     slack = 3 / F.sqrt(F.greatest("n_symbols", F.lit(1)))
     limit, again = limit * (1 + slack), again * (1 + 2 * slack)
-    keep = F.when(limit.isNull(), True).otherwise(F.coalesce((F.col("perplexity") <= limit) & (F.col("repeats") <= again), F.lit(False)))
-    return out.select("doc_id", "lang", "perplexity", "repeats", limit.alias("threshold"), keep.alias("keep"))
+    order = F.coalesce("w", "all_w") * margin * (1 + 3 / F.sqrt(F.greatest("pieces", F.lit(1))))
+    keep = F.when(limit.isNull(), True).otherwise(F.coalesce((F.col("perplexity") <= limit) & (F.col("repeats") <= again) & F.coalesce((F.col("piece_perplexity") <= order) & (F.col("widened") >= F.coalesce("g", "all_g") - SHORT_OF), F.lit(True)), F.lit(False)))
+    return out.select("doc_id", "lang", "perplexity", "repeats", limit.alias("threshold"), "piece_perplexity", order.alias("piece_threshold"), "order_gain", keep.alias("keep"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return found.select("doc_id", F.round("perplexity", 4).alias("perplexity"), F.round("repeats", 4).alias("repeats"), F.round("threshold", 4).alias("threshold"), "keep")
+    return found.select("doc_id", F.round("perplexity", 4).alias("perplexity"), F.round("repeats", 4).alias("repeats"), F.round("threshold", 4).alias("threshold"),
+                        F.round("piece_perplexity", 4).alias("piece_perplexity"), F.round("piece_threshold", 4).alias("piece_threshold"), F.round("order_gain", 4).alias("order_gain"), "keep")
