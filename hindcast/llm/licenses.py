@@ -1,26 +1,27 @@
-"""License scans: a positional index of rare licence words.
+"""License scans: a positional index of licence words, entered by key phrases.
 
 Templates are short public licence notices cut into words.  Of each file the
 licence words (template words that are not function words) are kept with their
-places; their document frequencies over all files give an IDF.  The file's
-`rare` words of highest IDF are looked up in the template postings; each hit
-proposes where a template would have to begin.  There all licence words of the
-file are intersected with the template's postings by relative position, and the
-template counts if all licence words of its mandatory key phrase stand at their
-places (function words between them are not looked at) and the IDF share of matched words is high enough.  The base phrases are looked up
-by all their words, so none of their places depends on rarity.
+places; their document frequencies over all files give an IDF.  Each template
+is proposed at every place where its mandatory key phrase stands word for word,
+function words included: the scan looks the phrase up by its anchor, its first
+licence word.  There all licence words of the file are intersected with the
+template's postings by relative position, and the template counts if the IDF
+share of matched words is high enough.  What is proposed depends on neither the
+other licences of a file nor other files.  Base phrases are looked up by all
+their words.
 
 Only licence words leave the scan, so no text is shuffled.  All of it is
 DataFrame functions.
 
 Defined results: null text counts as empty: no words, no labels, score 0; a null
-doc_id is kept; repeated rows each give a row; ties among words of equal IDF go
-by the word; an empty table gives no rows; other columns are not looked at.
+doc_id is kept; repeated rows each give a row; an empty table gives no
+rows; other columns are not looked at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindcast.llm.common import durable
@@ -77,7 +78,20 @@ def postings(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS p(template, label, word, place, mandatory, base)")
 
 
-def scan_licenses(docs: DataFrame, *, rare: int = 8, share: float = 0.6) -> DataFrame:
+def _begun(hit: Column) -> Column:
+    """(template, begin) of each template whose whole key phrase stands in the column words with its anchor at the hit."""
+    found = []
+    for k, (_, text, key) in enumerate(TEMPLATES, len(BASE)):
+        words, must = text.split(), key.split()
+        at = next(i for i in range(len(words)) if words[i : i + len(must)] == must)
+        anchor = next(i for i, w in enumerate(must) if w not in FUNCTION_WORDS)
+        first = hit["at"] - anchor
+        stands = F.slice("words", F.greatest(first, F.lit(0)) + 1, F.lit(len(must))) == F.array(*map(F.lit, must))
+        found.append(F.when((hit["word"] == must[anchor]) & (first >= 0) & stands, F.struct(F.lit(k).alias("template"), (first - at).alias("begin"))))
+    return F.array_compact(F.array(*found))
+
+
+def scan_licenses(docs: DataFrame, *, share: float = 0.6) -> DataFrame:
     """One row per row of docs: doc_id, n_words, base_places, base_labels, labels (arrays) and score.
 
     score is the largest IDF share of an accepted template, 1 for a base phrase alone, 0 without labels.
@@ -89,7 +103,8 @@ def scan_licenses(docs: DataFrame, *, rare: int = 8, share: float = 0.6) -> Data
     hit = F.transform("words", lambda w, i: F.when(w.isin(vocabulary), F.struct(i.alias("at"), w.alias("word"))))
     files = durable(
         docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("row"), words.alias("words"))
-        .select("doc_id", "row", F.size("words").cast("long").alias("n_words"), F.filter(hit, lambda h: h.isNotNull()).alias("hits")))
+        .select("doc_id", "row", F.size("words").cast("long").alias("n_words"), "words", F.filter(hit, lambda h: h.isNotNull()).alias("hits"))
+        .withColumn("begun", F.flatten(F.transform("hits", _begun))).drop("words"))
     hits = durable(files.select("row", F.explode("hits").alias("h")).select("row", "h.at", "h.word"))
 
     n = files.agg(F.count(F.lit(1)).alias("n"))
@@ -97,10 +112,7 @@ def scan_licenses(docs: DataFrame, *, rare: int = 8, share: float = 0.6) -> Data
     idf = idf.select("word", F.log((F.col("n") + 1) / (F.col("df") + 0.5)).alias("idf"))
     index = index.join(idf, "word", "left").fillna(0.0, ["idf"])  # a row per template word, a few hundred
 
-    ranked = Window.partitionBy("row").orderBy(F.desc("idf"), "word")
-    seeds = hits.select("row", "word").distinct().join(F.broadcast(idf), "word").withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= rare)
-    looked = hits.join(seeds.select("row", "word"), ["row", "word"]).join(F.broadcast(index.where("not base")), "word")
-    begins = looked.select("row", "template", (F.col("at") - F.col("place")).alias("begin")).distinct()
+    begins = files.select("row", F.explode("begun").alias("b")).select("row", "b.template", "b.begin").distinct()
 
     def matched(postings: DataFrame) -> DataFrame:
         found = hits.join(F.broadcast(postings), "word").withColumn("begin", F.col("at") - F.col("place"))

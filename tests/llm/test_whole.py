@@ -8,7 +8,7 @@ import random
 import numpy as np
 import pytest
 
-from hindcast.llm import pieces, quality
+from hindcast.llm import licenses, pieces, quality
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -59,3 +59,14 @@ def test_quality_tells_word_order(spark):
     out = {r["doc_id"]: r for r in quality.judge(some, trusted).collect()}
     assert sum(out[2 * 10**9 + k]["keep"] for k in range(40)) == 0
     assert sum(out[10**9 + k]["keep"] for k in range(100)) >= 97 and sum(out[10**9 + k]["keep"] for k in range(100, 120)) >= 19
+
+
+def test_licenses_of_one_file_do_not_hide_each_other(spark):
+    bsd, apache = (next(t for n, t, _ in licenses.TEMPLATES if n == name) for name in ("bsd", "apache-2.0"))
+    near = bsd.replace("redistribution and use in", "redistribution or use of")
+    every = ". ".join(t for _, t, _ in licenses.TEMPLATES)
+    texts = [f"{bsd}. {apache}", near, every, *[apache] * 20, "no words of that kind"]
+    rows = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], DOCS)
+    out = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(rows).collect()}
+    assert out[0] == ["apache-2.0", "bsd"] and out[1] == [] and out[3] == ["apache-2.0"] and out[23] == []
+    assert set(out[2]) >= {n for n, _, _ in licenses.TEMPLATES}
