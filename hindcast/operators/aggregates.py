@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,12 +53,19 @@ def base_rate(train: DataFrame, y: str) -> DataFrame:
     return counts.crossJoin(counts.agg(F.sum("n").alias("total"))).withColumn("p", F.col("n") / F.col("total"))  # one row per class
 
 
+def _join_with_nulls(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Equality join in which null equals null; the columns of on come from the left."""
+    named = right.withColumnsRenamed({c: f"__{c}" for c in on})
+    return left.join(named, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on]), how).drop(*[f"__{c}" for c in on])
+
+
 def conditional_rate(train: DataFrame, y: str, levels: Sequence[Sequence[str]], min_n: int, alpha: float) -> DataFrame:
     """Class frequencies for each finest condition, with additive smoothing.
 
     levels goes from finest to coarsest; a cell with fewer than min_n rows backs
     off to the next coarser one, at last to all rows.  One fine aggregate is
-    made; the coarser levels are sums of it.
+    made; the coarser levels are sums of it.  A null condition or class is a
+    value of its own.
     """
     fine = train.groupBy(*levels[0], y).agg(n_rows())
     classes = fine.select(y).distinct()
@@ -67,7 +75,8 @@ def conditional_rate(train: DataFrame, y: str, levels: Sequence[Sequence[str]],
     for i, cols in enumerate([*levels, []]):
         cell = fine.groupBy(*cols, y).agg(F.sum("n").alias(f"n{i}"))
         size = fine.groupBy(*cols).agg(F.sum("n").alias(f"t{i}"))
-        grid = (grid.join(cell, [*cols, y], "left").join(size, list(cols)) if cols else grid.join(cell, y, "left").crossJoin(size))
+        grid = _join_with_nulls(grid, cell, [*cols, y], "left")
+        grid = _join_with_nulls(grid, size, cols, "inner") if cols else grid.crossJoin(size)  # one row
         value = (F.coalesce(f"n{i}", F.lit(0)) + alpha) / (F.col(f"t{i}") + alpha * F.col("k"))
         enough = F.col(f"t{i}") >= min_n if cols else F.lit(True)
         p = F.when(enough, value) if p is None else p.when(enough, value)

@@ -89,9 +89,13 @@ def qc_counts(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def qc_no_overlap(actual: DataFrame, remaining: DataFrame, key: str, ends: str, begins: str) -> DataFrame:
-    """Keys whose actual part doesn't end exactly where the remaining part begins: 'overlap' or 'gap'."""
-    both = actual.join(remaining, key)
-    return both.withColumn("problem", F.when(F.col(ends) > F.col(begins), "overlap").when(F.col(ends) < F.col(begins), "gap")).where("problem is not null")
+    """Keys whose actual part doesn't end exactly where the remaining part begins: 'overlap' or 'gap'.
+
+    A key that has only one of the parts is a gap.
+    """
+    both = actual.join(remaining, key, "full")
+    problem = F.when(F.col(ends) > F.col(begins), "overlap").when(~F.col(ends).eqNullSafe(F.col(begins)) | F.col(ends).isNull(), "gap")
+    return both.withColumn("problem", problem).where("problem is not null")
 
 
 def qc_probability(df: DataFrame, key: Sequence[str], p: str = "p", tolerance: float = 1e-9) -> DataFrame:

@@ -21,8 +21,13 @@ def log_loss(preds: DataFrame, truth: DataFrame, key: Sequence[str], by: Sequenc
 
 
 def brier_multi(preds: DataFrame, truth: DataFrame, key: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Squared error summed over classes, then the mean over samples."""
-    per = preds.join(truth, list(key)).groupBy(*key, *by).agg(F.sum(one_hot_sq(F.col("p"), F.col("cls"), F.col("truth"))).alias("s"))
+    """Squared error summed over classes, then the mean over samples.
+
+    Every sample of truth counts, as for log_loss: a class without a forecast has probability 0.
+    """
+    both = truth.select(*key, *by, "truth").join(preds.select(*key, "cls", "p"), list(key), "left")
+    missed = F.when(F.coalesce(F.bool_or(F.col("cls") == F.col("truth")), F.lit(False)), 0.0).otherwise(1.0)
+    per = both.groupBy(*key, *by).agg((F.coalesce(F.sum(one_hot_sq(F.col("p"), F.col("cls"), F.col("truth"))), F.lit(0.0)) + missed).alias("s"))
     return per.groupBy(*by).agg(n_rows(), F.avg("s").alias("brier"))
 
 
@@ -102,11 +107,18 @@ def location_error(preds: DataFrame, truth: DataFrame, key: Sequence[str]) -> Da
                     F.avg(valid.cast("double")).alias("valid_share"), F.count_if(~valid).alias("excluded"))
 
 
-def lineup_hits(pred: DataFrame, actual: DataFrame, game: str, player: str, slot: str) -> DataFrame:
-    """Per game: players who play, players in the right slot, and whether slot 1 (the starter) is right."""
-    both = pred.join(actual.withColumnRenamed(slot, "actual_slot"), [game, player])
-    same = F.col(slot) == F.col("actual_slot")
-    return both.groupBy(game).agg(n_rows("roster_hits"), F.count_if(same).alias("slot_hits"), F.max((same & (F.col(slot) == 1)).cast("int")).cast("long").alias("starter_hit"))
+def lineup_hits(pred: DataFrame, actual: DataFrame, game: str, player: str, slot: str, position: str, starter: str) -> DataFrame:
+    """Per game of the actual lineups: players, those forecast, in the right slot, at the right position, and whether the starter is right.
+
+    The starter is who stands at the position named so.  Games without any hit,
+    or without a forecast, count with zeros; games without a lineup don't.
+    """
+    guess = pred.select(game, player, F.col(slot).alias("__slot"), F.col(position).alias("__position"))
+    both = actual.select(game, player, slot, position).join(guess, [game, player], "left")
+    same, at = F.col(slot) == F.col("__slot"), F.col(position) == F.col("__position")
+    return both.groupBy(game).agg(
+        n_rows("players"), F.count_if(F.col("__slot").isNotNull() | F.col("__position").isNotNull()).alias("roster_hits"), F.count_if(same).alias("slot_hits"),
+        F.count_if(at).alias("position_hits"), F.coalesce(F.max((at & (F.col(position) == starter)).cast("int")), F.lit(0)).cast("long").alias("starter_hit"))
 
 
 def candidate_hit_at_k(ranked: DataFrame, actual: DataFrame, key: Sequence[str], what: str, k: int) -> DataFrame:

@@ -39,9 +39,9 @@ def _(t):
     return aggregates.season_to_date(t.log, "day", F.lit("2024-01-20").cast("date"), ["player_id"], ["hits", "exposure"])
 
 
-@query("ratio", "SELECT player_id, sum(hits)::BIGINT AS num, sum(outs)::BIGINT AS den, round(sum(hits) / nullif(sum(outs), 0), 6) AS value, CASE WHEN sum(outs) = 0 THEN 'zero denominator' END AS reason FROM {log} WHERE event_id % 3 = 0 GROUP BY 1")
+@query("ratio", "SELECT player_id, day, sum(hits)::BIGINT AS num, sum(outs)::BIGINT AS den, round(sum(hits) / nullif(sum(outs), 0), 6) AS value, CASE WHEN sum(outs) = 0 THEN 'zero denominator' END AS reason FROM {log} GROUP BY 1, 2")
 def _(t):
-    return aggregates.ratio(t.log.where("event_id % 3 = 0"), ["player_id"], "hits", "outs")
+    return aggregates.ratio(t.log, ["player_id", "day"], "hits", "outs")
 
 
 @query("outs_to_innings", "SELECT player_id, sum(outs)::BIGINT AS outs, (sum(outs) // 3)::BIGINT AS innings, (sum(outs) % 3)::BIGINT AS thirds FROM {log} GROUP BY 1")
@@ -49,10 +49,10 @@ def _(t):
     return aggregates.outs_to_innings(t.log, ["player_id"])
 
 
-@query("season_projection", "WITH a AS (SELECT player_id, sum(hits) AS h, sum(exposure) AS e FROM {log} WHERE day < DATE '2024-01-20' AND player_id % 7 <> 1 GROUP BY 1), r AS (SELECT player_id, sum(hits) * 0.5 AS h, sum(exposure) * 0.5 AS e FROM {log} WHERE day >= DATE '2024-01-20' GROUP BY 1) SELECT player_id, round(coalesce(a.h, 0) + coalesce(r.h, 0), 6)::DOUBLE AS hits, round(coalesce(a.e, 0) + coalesce(r.e, 0), 6)::DOUBLE AS exposure, round((coalesce(a.h, 0) + coalesce(r.h, 0)) / (coalesce(a.e, 0) + coalesce(r.e, 0)), 6) AS value FROM a FULL JOIN r USING (player_id)")
+@query("season_projection", "WITH a AS (SELECT player_id, sum(hits) AS h, sum(exposure) AS e FROM {log} WHERE day < DATE '2024-01-02' GROUP BY 1), r AS (SELECT player_id, sum(hits) * 0.5 AS h, sum(exposure) * 0.5 AS e FROM {log} WHERE day >= DATE '2024-01-02' GROUP BY 1) SELECT player_id, round(coalesce(a.h, 0) + coalesce(r.h, 0), 6)::DOUBLE AS hits, round(coalesce(a.e, 0) + coalesce(r.e, 0), 6)::DOUBLE AS exposure, round((coalesce(a.h, 0) + coalesce(r.h, 0)) / (coalesce(a.e, 0) + coalesce(r.e, 0)), 6) AS value FROM a FULL JOIN r USING (player_id)")
 def _(t):
-    d = F.lit("2024-01-20").cast("date")
-    actual = aggregates.season_to_date(t.log.where("player_id % 7 <> 1"), "day", d, ["player_id"], ["hits", "exposure"])
+    d = F.lit("2024-01-02").cast("date")
+    actual = aggregates.season_to_date(t.log, "day", d, ["player_id"], ["hits", "exposure"])
     rest = t.log.where(F.col("day") >= d).groupBy("player_id").agg((F.sum("hits") * 0.5).alias("hits"), (F.sum("exposure") * 0.5).alias("exposure"))
     return aggregates.season_projection(actual, rest, "player_id", "hits", "exposure")
 
@@ -73,6 +73,19 @@ def _(t):
     return aggregates.conditional_rate(t.final.where(F.col("game_date") < cut()), "truth", [["home_team", "away_team"], ["home_team"]], 24, 0.5)
 
 
+@query("conditional_rate_missing", """WITH tr AS (SELECT home_team, nullif(away_team, 3) AS away_team, CASE WHEN game_id % 9 <> 0 THEN truth END AS truth FROM {final} WHERE game_date < DATE '1998-01-01'), cl AS (SELECT DISTINCT truth FROM tr),
+ g AS (SELECT DISTINCT home_team, away_team FROM tr), x AS (SELECT g.home_team, g.away_team, cl.truth,
+  (SELECT count(*) FROM tr WHERE tr.home_team = g.home_team AND tr.away_team IS NOT DISTINCT FROM g.away_team AND tr.truth IS NOT DISTINCT FROM cl.truth) AS n0,
+  (SELECT count(*) FROM tr WHERE tr.home_team = g.home_team AND tr.away_team IS NOT DISTINCT FROM g.away_team) AS t0,
+  (SELECT count(*) FROM tr WHERE tr.away_team IS NOT DISTINCT FROM g.away_team AND tr.truth IS NOT DISTINCT FROM cl.truth) AS n1, (SELECT count(*) FROM tr WHERE tr.away_team IS NOT DISTINCT FROM g.away_team) AS t1,
+  (SELECT count(*) FROM tr WHERE tr.truth IS NOT DISTINCT FROM cl.truth) AS n2, (SELECT count(*) FROM tr) AS t2 FROM g CROSS JOIN cl)
+ SELECT home_team::BIGINT AS home_team, away_team::BIGINT AS away_team, truth, round(CASE WHEN t0 >= 24 THEN (n0 + 0.5) / (t0 + 2) WHEN t1 >= 24 THEN (n1 + 0.5) / (t1 + 2) ELSE (n2 + 0.5) / (t2 + 2) END, 6)::DOUBLE AS p, (CASE WHEN t0 >= 24 THEN 0 WHEN t1 >= 24 THEN 1 ELSE 2 END)::BIGINT AS level FROM x""")
+def _(t):
+    """Unknown opponents and results stay conditions and a class of their own."""
+    rows = t.final.where(F.col("game_date") < cut()).select("home_team", F.nullif(F.col("away_team"), F.lit(3)).alias("away_team"), F.when(F.col("game_id") % 9 != 0, F.col("truth")).alias("truth"))
+    return aggregates.conditional_rate(rows, "truth", [["home_team", "away_team"], ["away_team"]], 24, 0.5)
+
+
 @query("joint_rate", "SELECT pitch_type::BIGINT AS pitch_type, pitch_result, count(*) AS n, (2 * grouping(pitch_type) + grouping(pitch_result))::BIGINT AS grouping FROM {pitch} GROUP BY GROUPING SETS ((pitch_type, pitch_result), (pitch_type), (pitch_result), ())")
 def _(t):
     return aggregates.joint_rate(t.pitch, "pitch_type", "pitch_result")
@@ -264,14 +277,14 @@ def _days(t):
     return t.log.select("day").distinct().withColumn("ok", F.dayofmonth("day") != 17)
 
 
-@query("label_state", """WITH p AS (SELECT DISTINCT player_id FROM {log} WHERE event_id % 40 = 0), m AS (SELECT * FROM {mondays} UNION ALL SELECT DATE '2024-02-05'),
+@query("label_state", """WITH p AS (SELECT DISTINCT player_id FROM {log}), m AS (SELECT * FROM {mondays} UNION ALL SELECT DATE '2024-02-05'),
  s AS (SELECT player_id, anchor, sum(hits) AS h FROM {log} JOIN m ON day >= anchor AND day < anchor + 7 GROUP BY 1, 2),
  x AS (SELECT p.player_id, m.anchor, coalesce(s.h, 0)::BIGINT AS h, CASE WHEN m.anchor >= DATE '2024-02-01' THEN 'out of scope' WHEN m.anchor + 7 > DATE '2024-01-31' THEN 'undetermined' WHEN m.anchor = DATE '2024-01-15' THEN 'unobserved' WHEN coalesce(s.h, 0) = 0 THEN 'confirmed zero' ELSE 'confirmed' END AS state
   FROM p CROSS JOIN m LEFT JOIN s ON s.player_id = p.player_id AND s.anchor = m.anchor)
  SELECT player_id, anchor, state, CASE WHEN starts_with(state, 'confirmed') THEN h END AS hits FROM x""")
 def _(t):
     anchors = t.mondays.union(t.spark.sql("SELECT DATE '2024-02-05'"))
-    panel = t.log.where("event_id % 40 = 0").select("player_id").distinct().crossJoin(anchors)
+    panel = t.log.select("player_id").distinct().crossJoin(anchors)
     sums = aggregates.horizon_counts(t.log, "ts", 7, ["player_id"], ["hits"])
     complete = labels.horizon_complete(_days(t), 7, "day", "ok")
     day = lambda x: F.lit(x).cast("date")
@@ -295,11 +308,11 @@ def _(t):
     return labels.partial_mask(s.unpivot(["player_id", "anchor"], ["hits", "outs"], "output", "y"), ["player_id", "anchor"], "output", ["hits", "outs"], "complete")
 
 
-@query("overlap_report", "WITH a AS (SELECT DISTINCT player_id, CAST(date_trunc('week', day) AS DATE) AS anchor FROM {log} WHERE event_id % 5 = 0) SELECT x.player_id, count(DISTINCT x.anchor) AS anchors, count(y.anchor) AS pairs FROM a x LEFT JOIN a y ON x.player_id = y.player_id AND y.anchor > x.anchor AND y.anchor < x.anchor + 28 GROUP BY 1")
+@query("overlap_report", "WITH a AS (SELECT DISTINCT player_id, CAST(date_trunc('week', day) AS DATE) AS anchor FROM {log}) SELECT x.player_id, count(DISTINCT x.anchor) AS anchors, count(y.anchor) AS pairs FROM a x LEFT JOIN a y ON x.player_id = y.player_id AND y.anchor > x.anchor AND y.anchor < x.anchor + 28 GROUP BY 1")
 def _(t):
     from hindcast.functions.scalars import monday_anchor
 
-    rows = t.log.where("event_id % 5 = 0").select("player_id", monday_anchor(F.col("ts")).alias("anchor"))
+    rows = t.log.select("player_id", monday_anchor(F.col("ts")).alias("anchor"))
     return labels.overlap_report(rows, ["player_id"], 28)
 
 
@@ -343,14 +356,14 @@ def _(t):
     return splits.apply_impute(t.pitch.select("event_id", "plate_x"), fitted)
 
 
-@query("fit_scale", "SELECT round(avg(value), 6) AS value_mean, round(stddev_samp(value), 6) AS value_dev FROM {events} WHERE event_id % 2 = 0")
+@query("fit_scale", "SELECT round(avg(value), 6) AS value_mean, round(stddev_samp(value), 6) AS value_dev FROM {events} WHERE ts < TIMESTAMP '2024-01-20'")
 def _(t):
-    return splits.fit_scale(t.events.where("event_id % 2 = 0"), ["value"])
+    return splits.fit_scale(t.events.where("ts < '2024-01-20'"), ["value"])
 
 
-@query("apply_scale", "SELECT event_id, round((value - (SELECT avg(value) FROM {events} WHERE event_id % 2 = 0)) / (SELECT stddev_samp(value) FROM {events} WHERE event_id % 2 = 0), 6) AS value FROM {events}")
+@query("apply_scale", "SELECT event_id, round((value - (SELECT avg(value) FROM {events} WHERE ts < TIMESTAMP '2024-01-20')) / (SELECT stddev_samp(value) FROM {events} WHERE ts < TIMESTAMP '2024-01-20'), 6) AS value FROM {events}")
 def _(t):
-    fitted = splits.fit_scale(t.events.where("event_id % 2 = 0"), ["value"])
+    fitted = splits.fit_scale(t.events.where("ts < '2024-01-20'"), ["value"])
     return splits.apply_scale(t.events.select("event_id", "value"), fitted, ["value"])
 
 

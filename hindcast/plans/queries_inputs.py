@@ -105,9 +105,9 @@ def _(t):
 
 
 @query("reconstruct_sample", """SELECT o_orderkey AS sample_id, o_custkey AS label, l_partkey AS parent_id, l_linenumber::BIGINT AS part_no, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'train' ELSE 'test' END AS split
- FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey WHERE o_orderkey % 10 = 3""")
+ FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey""")
 def _(t):
-    ids = t.orders.where("o_orderkey % 10 = 3").select(F.col("o_orderkey").alias("sample_id"))
+    ids = t.orders.select(F.col("o_orderkey").alias("sample_id"))
     samples = t.orders.select(F.col("o_orderkey").alias("sample_id"), F.col("o_custkey").alias("label"))
     parents = t.lineitem.select(F.col("l_orderkey").alias("sample_id"), F.col("l_partkey").alias("parent_id"), F.col("l_linenumber").alias("part_no"))
     splits = t.orders.select(F.col("o_orderkey").alias("sample_id"), F.when(F.col("o_orderdate") < cut(), "train").otherwise("test").alias("split"))
@@ -267,7 +267,7 @@ def _(t):
     return quality.qc_counts(df, [("abs", "exposure"), ("hits", "abs")]).select("event_id")
 
 
-@query("qc_no_overlap", "WITH p AS (SELECT player_id, max(day) AS last FROM {log} WHERE day < DATE '2024-01-15' GROUP BY 1), r AS (SELECT player_id, min(day) AS first FROM {log} WHERE day >= DATE '2024-01-15' GROUP BY 1) SELECT player_id, CASE WHEN last + 1 > first THEN 'overlap' ELSE 'gap' END AS problem FROM p JOIN r USING (player_id) WHERE last + 1 <> first")
+@query("qc_no_overlap", "WITH p AS (SELECT player_id, max(day) AS last FROM {log} WHERE day < DATE '2024-01-15' GROUP BY 1), r AS (SELECT player_id, min(day) AS first FROM {log} WHERE day >= DATE '2024-01-15' GROUP BY 1) SELECT player_id, CASE WHEN last + 1 > first THEN 'overlap' ELSE 'gap' END AS problem FROM p FULL JOIN r USING (player_id) WHERE last + 1 IS DISTINCT FROM first")
 def _(t):
     a = t.log.where("day < '2024-01-15'").groupBy("player_id").agg(F.date_add(F.max("day"), 1).alias("ends"))
     r = t.log.where("day >= '2024-01-15'").groupBy("player_id").agg(F.min("day").alias("begins"))

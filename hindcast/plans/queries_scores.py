@@ -56,6 +56,14 @@ def _(t):
     return scoring.brier_multi(t.preds, _truth(t, "season"), KEY, ["season"])
 
 
+@query("brier_multi_missing", """WITH p AS (SELECT * FROM {preds} WHERE game_id % 6 <> 0 AND NOT (game_id % 5 = 0 AND cls = 'D')), x AS (SELECT f.game_id, f.season, f.truth, sum(power(p - CASE WHEN cls = truth THEN 1 ELSE 0 END, 2)) AS s, count(*) FILTER (cls = truth) AS hit
+ FROM {final} f LEFT JOIN p ON p.game_id = f.game_id GROUP BY 1, 2, 3) SELECT season::BIGINT AS season, count(*) AS n, round(avg(coalesce(s, 0) + CASE WHEN hit > 0 THEN 0 ELSE 1 END), 6) AS brier FROM x GROUP BY 1""")
+def _(t):
+    """Games without a forecast, or without one of the true class, count as log_loss counts them."""
+    preds = t.preds.where("game_id % 6 <> 0 and not (game_id % 5 = 0 and cls = 'D')")
+    return scoring.brier_multi(preds, _truth(t, "season"), KEY, ["season"])
+
+
 @query("joint_and_marginal_loss", f"SELECT 'joint' AS part, count(*) AS n, round(avg(-ln(p)), 6) AS log_loss FROM {_JOINT} j JOIN {{final}} f ON j.game_id = f.game_id AND j.h = f.home_runs AND j.a = f.away_runs UNION ALL SELECT 'h', count(*), round(avg(-ln(p)), 6) FROM {{pmf}} j JOIN {{final}} f ON j.game_id = f.game_id AND j.k = f.home_runs UNION ALL SELECT 'a', count(*), round(avg(-ln(p)), 6) FROM {{pmf2}} j JOIN {{final}} f ON j.game_id = f.game_id AND j.k = f.away_runs")
 def _(t):
     return scoring.joint_and_marginal_loss(_joint(t), t.final.select("game_id", F.col("home_runs").alias("h"), F.col("away_runs").alias("a")), KEY, "h", "a")
@@ -126,11 +134,16 @@ def _(t):
     return scoring.location_error(t.pitch.select("event_id", F.lit(50.0).alias("x_hat"), F.lit(25.0).alias("z_hat")), truth, ["event_id"])
 
 
-@query("lineup_hits", "WITH a AS (SELECT l_orderkey AS game, l_partkey AS player, min(l_linenumber) AS slot FROM {lineitem} GROUP BY 1, 2), p AS (SELECT game, player, CASE WHEN player % 3 = 0 THEN slot ELSE slot % 4 + 1 END AS s FROM a WHERE player % 5 <> 0) SELECT game, count(*) AS roster_hits, count(*) FILTER (s = slot) AS slot_hits, max(CASE WHEN s = slot AND s = 1 THEN 1 ELSE 0 END)::BIGINT AS starter_hit FROM p JOIN a USING (game, player) GROUP BY 1")
+_LINEUP = "(SELECT l_orderkey AS game, l_partkey AS player, min(l_linenumber) AS slot, min(CASE WHEN l_linenumber = 1 THEN 'P' WHEN l_suppkey % 2 = 0 THEN 'IF' ELSE 'OF' END) AS pos FROM {lineitem} GROUP BY 1, 2)"
+
+
+@query("lineup_hits", f"WITH a AS {_LINEUP}, p AS (SELECT game, player, CASE WHEN player % 3 = 0 THEN slot ELSE slot % 4 + 1 END AS s, CASE WHEN player % 4 = 0 THEN 'IF' ELSE pos END AS q FROM a WHERE player % 5 > 1) SELECT a.game, count(*) AS players, count(p.player) AS roster_hits, count(*) FILTER (s = slot) AS slot_hits, count(*) FILTER (q = pos) AS position_hits, coalesce(max(CASE WHEN q = pos AND pos = 'P' THEN 1 END), 0)::BIGINT AS starter_hit FROM a LEFT JOIN p ON p.game = a.game AND p.player = a.player GROUP BY 1")
 def _(t):
-    actual = t.lineitem.groupBy(F.col("l_orderkey").alias("game"), F.col("l_partkey").alias("player")).agg(F.min("l_linenumber").alias("slot"))
-    pred = actual.where("player % 5 <> 0").withColumn("slot", F.when(F.col("player") % 3 == 0, F.col("slot")).otherwise(F.col("slot") % 4 + 1))
-    return scoring.lineup_hits(pred, actual, "game", "player", "slot")
+    position = F.when(F.col("l_linenumber") == 1, "P").when(F.col("l_suppkey") % 2 == 0, "IF").otherwise("OF")
+    actual = t.lineitem.groupBy(F.col("l_orderkey").alias("game"), F.col("l_partkey").alias("player")).agg(F.min("l_linenumber").alias("slot"), F.min(position).alias("pos"))
+    pred = actual.where("player % 5 > 1").withColumn("slot", F.when(F.col("player") % 3 == 0, F.col("slot")).otherwise(F.col("slot") % 4 + 1))
+    pred = pred.withColumn("pos", F.when(F.col("player") % 4 == 0, "IF").otherwise(F.col("pos")))
+    return scoring.lineup_hits(pred, actual, "game", "player", "slot", "pos", "P")
 
 
 @query("candidate_hit_at_k", "WITH r AS (SELECT game_id, batter, row_number() OVER (PARTITION BY game_id ORDER BY count(*) DESC, batter) AS rank FROM {pitch} WHERE half_id < DATE '2024-01-15' GROUP BY 1, 2), a AS (SELECT DISTINCT game_id, batter FROM {pitch} WHERE half_id = DATE '2024-01-15') SELECT count(*) AS n, round(avg(CASE WHEN rank <= 2 THEN 1.0 ELSE 0.0 END), 6) AS hit_rate FROM a LEFT JOIN r USING (game_id, batter)")
@@ -273,12 +286,12 @@ def _(t):
     return season.expected_wins(actual, t.team_game.where("status = 'O'").select("team", (0.4 + (F.col("game_id") % 3) * 0.1).alias("p")))
 
 
-_LEFT = "(SELECT season, team, count(*) AS games_left FROM {team_game} WHERE status = 'P' AND game_id % 25 = 0 GROUP BY 1, 2)"
+_LEFT = "(SELECT season, team, count(*) AS games_left FROM {team_game} WHERE status = 'P' GROUP BY 1, 2)"
 
 
 @query("lock_status", f"WITH t AS (SELECT r.season, r.team, r.wins, r.wins + coalesce(games_left, 0) AS best FROM {{ranked}} r LEFT JOIN {_LEFT} l ON l.season = r.season AND l.team = r.team), c AS (SELECT a.season, a.team, count(*) FILTER (b.best >= a.wins) AS can_reach, count(*) FILTER (b.wins > a.best) AS beyond FROM t a JOIN t b ON a.season = b.season AND a.team <> b.team GROUP BY 1, 2) SELECT season::BIGINT AS season, team::BIGINT AS team, can_reach, beyond, CASE WHEN can_reach < 4 THEN 'clinched' WHEN beyond >= 4 THEN 'eliminated' ELSE 'open' END AS status FROM c")
 def _(t):
-    left = t.team_game.where("status = 'P' and game_id % 25 = 0").groupBy("season", "team").agg(F.count(F.lit(1)).alias("games_left"))
+    left = t.team_game.where("status = 'P'").groupBy("season", "team").agg(F.count(F.lit(1)).alias("games_left"))
     return season.lock_status(t.ranked.select("season", "team", "wins"), left, 4)
 
 
