@@ -377,7 +377,13 @@ def _(t):
     return estimators.class_probabilities(joint, rows.where("half_id >= '2024-01-15'"), ["event_id"])
 
 
-@query("calibrate_isotonic")
+_ISO = "SELECT game_id, p, season, CASE WHEN truth = 'H' THEN 1.0 ELSE 0.0 END AS y FROM {preds} JOIN {final} USING (game_id) WHERE cls = 'H'"
+
+
+@query("calibrate_isotonic", f"""WITH r AS ({_ISO}), tr AS (SELECT p, count(*) AS w, sum(y) AS s FROM r WHERE season < 1998 GROUP BY p),
+ seg AS (SELECT a.p AS lo, b.p AS hi, (SELECT sum(s) / sum(w) FROM tr c WHERE c.p BETWEEN a.p AND b.p) AS m FROM tr a JOIN tr b ON a.p <= b.p),
+ least AS (SELECT tr.p, lo, min(m) AS m FROM tr JOIN seg ON lo <= tr.p AND hi >= tr.p GROUP BY 1, 2), iso AS (SELECT p, max(m) AS calibrated FROM least GROUP BY 1)
+ SELECT game_id, round(p, 6) AS p, round(calibrated, 6) AS calibrated FROM r JOIN iso USING (p) WHERE season >= 1998""")
 def _(t):
     rows = t.preds.where("cls = 'H'").join(t.final, "game_id").select("game_id", "p", "season", (F.col("truth") == "H").alias("y"))
     return estimators.calibrate_isotonic(rows.where("season < 1998"), rows.where("season >= 1998")).select("game_id", "p", "calibrated")
@@ -390,3 +396,90 @@ def _(t):
     names = ["is_home", "f1", "f2"]
     coefficients = estimators.fit_runs(train, names).stages[-1].coefficients.toArray().tolist()
     return estimators.linear_contributions(rows, coefficients, train.agg(*[F.avg(c).alias(c) for c in names]), names, ["game_id", "side"])
+
+
+_SIDES = "(SELECT *, CASE WHEN side = 'home' THEN 1.0 ELSE 0.0 END AS is_home, CAST(team % 5 AS DOUBLE) AS f1, CAST(opponent % 4 AS DOUBLE) AS f2 FROM {team_game} WHERE status = 'F')"
+_SLOPES = " UNION ALL ".join(f"SELECT game_id, side, '{c}' AS feature, (SELECT regr_slope(runs, {c}) FROM tr) * ({c} - (SELECT avg({c}) FROM tr)) AS contribution FROM r" for c in ("is_home", "f1", "f2"))
+
+
+def _slope_contributions(t):
+    rows, names = _team_rows(t), ["is_home", "f1", "f2"]
+    train = rows.where(F.col("game_date") < cut())
+    slopes = list(train.agg(*[F.regr_slope("runs", c) for c in names]).first())
+    return estimators.linear_contributions(rows, slopes, train.agg(*[F.avg(c).alias(c) for c in names]), names, ["game_id", "side"])
+
+
+@query("linear_contributions_slopes", f"WITH r AS {_SIDES}, tr AS (SELECT * FROM r WHERE game_date < DATE '1998-01-01'), c AS ({_SLOPES}) SELECT game_id, side, feature, round(contribution, 6) AS contribution FROM c")
+def _(t):
+    """Contributions under one-feature slopes, which SQL knows too."""
+    return _slope_contributions(t)
+
+
+@query("mean_contributions", f"WITH r AS {_SIDES}, tr AS (SELECT * FROM r WHERE game_date < DATE '1998-01-01'), c AS ({_SLOPES}) SELECT feature, round(avg(abs(contribution)), 6) AS mean_abs FROM c GROUP BY 1")
+def _(t):
+    return estimators.mean_contributions(_slope_contributions(t))
+
+
+@query("fit_runs_by_side", f"WITH r AS {_SIDES} SELECT game_id, side, round((SELECT avg(runs) FROM r x WHERE x.side = r.side AND x.game_date < DATE '1998-01-01'), 3) AS prediction FROM r WHERE game_date >= DATE '1998-01-01'")
+def _(t):
+    """With the side alone, a Poisson model gives each side's mean."""
+    rows = _team_rows(t)
+    model = estimators.fit_runs(rows.where(F.col("game_date") < cut()), ["is_home"])
+    return model.transform(rows.where(F.col("game_date") >= cut())).select("game_id", "side", F.round("prediction", 3).alias("prediction"))
+
+
+# Each estimator beside the baseline of its problem, on the samples both cover ------------------------------------
+
+
+def _beside(model, base, truth, key):
+    """mae and rmse of both, on the same rows."""
+    both = truth.join(model.select(*key), key, "left_semi").join(base.select(*key), key, "left_semi")
+    rows = [scoring.mae_rmse(p, both, key, []).select(F.lit(n).alias("candidate"), "n", "mae", "rmse") for n, p in (("model", model), ("baseline", base))]
+    return rows[0].unionByName(rows[1])
+
+
+@query("fit_runs_against_baseline")
+def _(t):
+    rows = _team_rows(t)
+    train, test = rows.where(F.col("game_date") < cut()), rows.where(F.col("game_date") >= cut())
+    model = estimators.fit_runs(train, ["is_home", "f1", "f2"]).transform(test).select("game_id", "side", F.col("prediction").alias("y_hat"))
+    base = test.select("game_id", "side").crossJoin(F.broadcast(aggregates.point_baseline(train, "runs").select(F.col("mean").alias("y_hat"))))  # one row
+    return _beside(model, base, test.select("game_id", "side", F.col("runs").alias("y")), ["game_id", "side"])
+
+
+@query("fit_player_against_baseline")
+def _(t):
+    rows = _player_rows(t).where("role = 'batter'")
+    train, test, key = rows.where("anchor < '2024-01-22'"), rows.where("anchor >= '2024-01-22'"), ["player_id", "anchor", "stat"]
+    model = estimators.fit_player(train, "batter", ["is_hits", "is_outs", "f1"]).transform(test).select(*key, F.col("prediction").alias("y_hat"))
+    base = test.select(*key).join(aggregates.point_baseline(train, "y", ["stat"]).select("stat", F.col("mean").alias("y_hat")), "stat")
+    return _beside(model, base, test.select(*key, "y"), key)
+
+
+@query("fit_win_against_baseline")
+def _(t):
+    from pyspark.ml.functions import vector_to_array
+
+    rows, key = _team_rows(t).withColumn("truth", F.col("won").cast("int").cast("string")), ["game_id", "side"]
+    train, test = rows.where(F.col("game_date") < cut()), rows.where(F.col("game_date") >= cut())
+    p = estimators.fit_win(train, ["is_home", "f1", "f2"]).transform(test).select(*key, F.posexplode(vector_to_array("probability")).alias("cls", "p"))
+    model = p.select(*key, F.col("cls").cast("string").alias("cls"), "p")
+    return scoring.compare_candidates({"model": model, "baseline": baselines.base_rate_forecast(train, test, key, "truth")}, test.select(*key, "truth"), key)
+
+
+def _classes_against_baseline(t, label, fitted):
+    rows = _pitch_rows(t)
+    train, test = rows.where("half_id < '2024-01-15'"), rows.where("half_id >= '2024-01-15'")
+    model = estimators.class_probabilities(fitted(train), test, ["event_id"])
+    truth = test.select("event_id", F.col(label).alias("truth"))
+    return scoring.compare_candidates({"model": model, "baseline": baselines.base_rate_forecast(train, test, ["event_id"], label)}, truth, ["event_id"])
+
+
+@query("fit_pa_against_baseline")
+def _(t):
+    return _classes_against_baseline(t, "cls", lambda train: estimators.fit_pa(train, ["f1", "f2"]))
+
+
+@query("fit_pitch_against_baseline")
+def _(t):
+    return _classes_against_baseline(t, "joint", lambda train: estimators.fit_pitch(train, ["f1", "f2"])[0])

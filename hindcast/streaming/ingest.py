@@ -3,29 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindcast.sources.lineage import _exists
 
+#: Parts of the landed table; the directory names tell them apart, so reading one touches no other's files.
+PARTS = 64
+
 
 def ingest_incremental(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema: str, keys: Sequence[str], fmt: str = "parquet") -> None:
     """Takes up new files only and resumes after a failure.
 
     A row whose key and content have landed is not landed again, so a replayed
     batch adds nothing; a correction (same key, other content) lands as another
-    row.  Each batch is written once under its number.
+    row.  Each batch is written once under its number and the stream's id, so a
+    new checkpoint never overwrites what an older one has landed.  Captures are
+    partitioned by a hash of the key, and a batch is compared with the parts it
+    has rows for only.
     """
     names = [x.split()[0] for x in schema.split(",")]
+    stream = spark.readStream.schema(schema).format(fmt).load(in_dir)
 
     def land(batch: DataFrame, number: int) -> None:
         content = F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)
-        rows = batch.withColumn("content", content).dropDuplicates([*keys, "content"])
+        part = F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int")
+        rows = batch.withColumns({"content": content, "part": part}).dropDuplicates([*keys, "content"])
+        capture = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId') or 'capture'}-{number}"
         if _exists(spark, out_dir):
-            old = spark.read.option("recursiveFileLookup", "true").parquet(out_dir).where(F.col("batch") != number)
-            rows = rows.join(old.select(*keys, "content"), [*keys, "content"], "left_anti")
-        rows.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out_dir}/capture-{number}")
+            touched = [r["part"] for r in rows.select("part").distinct().collect()]  # PARTS at most
+            old = spark.read.parquet(out_dir).where(F.col("part").isin(touched) & (F.col("capture") != capture))
+            rows = rows.join(old.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("content").alias("__content")),
+                             reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in [*keys, "content"]]), "left_anti")
+        rows.withColumn("batch", F.lit(number)).write.mode("overwrite").partitionBy("part").parquet(f"{out_dir}/capture={capture}")
 
-    stream = spark.readStream.schema(schema).format(fmt).load(in_dir)
     stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(land).start().awaitTermination()

@@ -42,8 +42,8 @@ def test_ingest_resumes_and_keeps_corrections(spark, tmp_path):
     def land(name, rows):
         spark.createDataFrame(rows, "k int, v string").coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
 
-    def run():
-        ingest_incremental(spark, f"{tmp_path}/in/*", f"{tmp_path}/out", f"{tmp_path}/ckpt", "k int, v string", ["k"])
+    def run(checkpoint="ckpt"):
+        ingest_incremental(spark, f"{tmp_path}/in/*", f"{tmp_path}/out", f"{tmp_path}/{checkpoint}", "k int, v string", ["k"])
         return spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out").collect()
 
     land("a", [(1, "x"), (1, "x"), (2, None)])
@@ -51,6 +51,8 @@ def test_ingest_resumes_and_keeps_corrections(spark, tmp_path):
     land("b", [(1, "x"), (1, "corrected"), (3, "z")])
     assert len(run()) == 4
     assert len(run()) == 4
+    land("c", [(None, "n"), (1, "again")])
+    assert len(run("other")) == 6  # a new checkpoint replays all files: nothing is lost or landed twice
 
 
 def test_saved_model_scores_without_refit(spark, tmp_path):
