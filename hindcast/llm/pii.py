@@ -1,12 +1,16 @@
 """PII: base patterns, and bootstrapped contextual extraction.
 
 E-mail addresses, IP addresses, card and phone numbers are found by fixed
-patterns.  They seed a bootstrap: the words left and right of an identifier are
-its lexical patterns; a pattern is believed as far as the identifiers it
-surrounds are, an identifier (a run of letters, digits, "_" and "-" with a
-digit) as far as its patterns are (noisy or), seeds are certain.  Spark scores
-this graph of patterns and instances for a few rounds; identifiers that trusted
-patterns surround are reported as kind "id" unless a base span overlaps them.
+patterns.  They seed a bootstrap, together with values that stand assigned to the
+name of a secret (`password=...`) and access keys of a documented form.  The one to
+three words left of an identifier, those right of it, and its form (kinds of
+characters, length) are its lexical patterns.  Spark scores the graph of patterns
+and distinct values in rounds: a pattern is believed as far as the values it
+surrounds are, seeds or values found in a round before; only patterns with enough
+such values and a belief of `sure` count, and a value is believed by its best left,
+right and form pattern (noisy or).  So a value found by one context can bring in
+the next context.  What reaches `trust` is reported at all its places as kind "id"
+unless a base span overlaps it.  Copies of a document are no further evidence.
 
 All of it is DataFrame functions.  A match's place comes from the lengths of the
 pieces between the matches, so one expression gives all places in a text.  The
@@ -14,8 +18,7 @@ patterns use possessive repeats, which neither recurse nor backtrack on long
 runs.
 
 Defined results: null text counts as empty and has no spans; a null doc_id is
-kept; repeated rows each give a row (and count as evidence once each); patterns
-that tie share their score; an empty table gives no rows; other columns are not
+kept; repeated rows each give a row; the patterns of a value that tie count alike; an empty table gives no rows; other columns are not
 looked at.
 """
 
@@ -35,8 +38,13 @@ KINDS = [
     ("phone", r"\+[0-9]", r"\+[0-9][ ().0-9-]+[0-9]"),
 ]
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
-CANDIDATE = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{8,}+"
-NEAR = 32
+#: Runs of at least five letters, digits, "_" and "-" with a digit.
+CANDIDATE = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{5,}+"
+#: Seeds among the candidates, by what stands before them and by their documented form.
+ASSIGNED = r"(?i)(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_ -]?key|access[_ -]?key)[\"']?\s?[=:]\s?[\"']?$"
+FORM = r"^AKIA[0-9A-Z]{16}$"
+#: Characters looked at on each side, and words of them in a pattern.
+NEAR, WORDS = 64, 3
 
 
 def _luhn(digits: Column) -> Column:
@@ -75,43 +83,82 @@ def _spans(text: Column, kind: str, test: str, pattern: str) -> Column:
     return F.when(text.rlike(test), found).otherwise(F.expr("array()").cast(SPAN))
 
 
-def _context(text: Column, start: Column, end: Column) -> Column:
-    """The word before (with a blank if one stands between) and the word after."""
-    before = F.substring(text, F.greatest(F.lit(1), start - NEAR + 1), F.least(start, F.lit(NEAR)))
-    left, right = F.regexp_extract(before, r"(\S*\s?)\s*$", 1), F.regexp_extract(F.substring(text, end + 1, F.lit(NEAR)), r"^\s*(\S*)", 1)
-    return F.array(F.concat(F.lit("L "), F.lower(left)), F.concat(F.lit("R "), F.lower(right)))
+def _form(value: Column) -> Column:
+    """Kinds of characters and length (exact for digits, else by doublings)."""
+    size = F.length(value)
+    kinds = [(r"^[0-9]+$", "digits", size), (r"^[0-9a-f]+$", "hex", None), (r"^[0-9a-z]+$", "lower", None), (r"^[0-9A-Z]+$", "upper", None), (r"^[0-9a-zA-Z]+$", "mixed", None)]
+    out = F.concat(F.lit("other:"), F.floor(F.log2(size)).cast("string"))
+    for pattern, name, exact in reversed(kinds):
+        out = F.when(value.rlike(pattern), F.concat(F.lit(f"{name}:"), (F.floor(F.log2(size)) if exact is None else exact).cast("string"))).otherwise(out)
+    return out
 
 
-def find_pii(docs: DataFrame, *, rounds: int = 3, trust: float = 0.5, support: int = 3) -> DataFrame:
-    """One row per row of docs: doc_id, email, ip, card, phone, id: arrays of (start, end).
+def _words(side: str, words: Column, cut: Column, gap: Column) -> list[Column]:
+    """Patterns of the first one to WORDS words; a word that the limit of NEAR may have cut is not used."""
+    out = []
+    for k in range(1, WORDS + 1):
+        whole = F.when(cut, F.size(words) > k).otherwise(F.size(words) >= k) & (words[0] != "")
+        out.append(F.when(whole, F.concat(F.lit(side), gap, F.array_join(F.slice(words, 1, k), " "))))
+    return out
 
-    A pattern needs `support` seeds round it to be believed at all; an
-    identifier is reported from a score of `trust` on.
+
+def _patterns(before: Column, after: Column, form: Column, cut: Column) -> Column:
+    """The lexical patterns of a span, each with its kind, L, R or F, first; words left of it come nearest first."""
+    trimmed = lambda s: F.split(F.regexp_replace(F.lower(s), r"^\s+|\s+$", ""), r"\s+")
+    gap = lambda s, at: F.when(s.rlike(at), " ").otherwise("")
+    left = _words("L", F.reverse(trimmed(before)), cut, gap(before, r"\s$"))
+    right = _words("R", trimmed(after), F.length(after) == NEAR, gap(after, r"^\s"))
+    return F.array_compact(F.array(F.concat(F.lit("F"), form), *left, *right))
+
+
+def score_values(graph: DataFrame, *, rounds: int = 4, trust: float = 0.6, support: int = 3, sure: float = 0.5) -> DataFrame:
+    """(value, score) of graph (value, seed, pattern), distinct rows: values that reach trust; seeds have 1.
+
+    In each round a pattern's belief is the sum of the scores of its values over their number plus one, if
+    that sum is `support` and the belief `sure` at least; else none.
     """
+    seeds = durable(graph.where("seed").select("value").distinct().withColumn("score", F.lit(1.0)))
+    scores = seeds
+    for _ in range(rounds):
+        belief = graph.join(scores, "value", "left").groupBy("pattern").agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("mass"), F.count(F.lit(1)).alias("n"))
+        belief = belief.withColumn("belief", F.col("mass") / (F.col("n") + 1)).where((F.col("mass") >= support) & (F.col("belief") >= sure)).select("pattern", "belief")
+        best = graph.where("not seed").join(belief, "pattern").groupBy("value")
+        best = best.agg(*[F.coalesce(F.max(F.when(F.col("pattern").startswith(k), F.col("belief"))), F.lit(0.0)).alias(k) for k in "LRF"])
+        found = best.select("value", (1 - (1 - F.col("L")) * (1 - F.col("R")) * (1 - F.col("F"))).alias("score")).where(F.col("score") >= trust)
+        scores = durable(seeds.union(found.join(seeds, "value", "left_anti")))
+    return scores
+
+
+def find_pii(docs: DataFrame, *, rounds: int = 4, trust: float = 0.6, support: int = 3, sure: float = 0.5) -> DataFrame:
+    """One row per row of docs: doc_id, email, ip, card, phone, id: arrays of (start, end)."""
     text = F.col("text")
     base = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).select(
         "doc_id", F.monotonically_increasing_id().alias("row"), "text",
         *[_spans(text, *k).alias(k[0]) for k in KINDS], _spans(text, "id", "[0-9]", CANDIDATE).alias("candidates"))
     known = F.concat(*[k[0] for k in KINDS])
     overlap = lambda c: F.exists(known, lambda k: (k["start"] < c["end"]) & (c["start"] < k["end"]))
-    item = lambda seed: lambda s: F.struct(s["start"], s["end"], F.lit(seed).alias("seed"), _context(text, s["start"], s["end"]).alias("patterns"))
+
+    def item(certain: bool):
+        def of(s: Column) -> Column:
+            value = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+            before = F.substring(text, F.greatest(F.lit(1), s["start"] - NEAR + 1), F.least(s["start"], F.lit(NEAR)))
+            seed = F.lit(True) if certain else before.rlike(ASSIGNED) | value.rlike(FORM)
+            after = F.substring(text, s["end"] + 1, F.lit(NEAR))
+            return F.struct(s["start"], s["end"], F.lit(certain).alias("base"), seed.alias("seed"), F.xxhash64(value).alias("value"), _form(value).alias("form"), before.alias("before"), after.alias("after"))
+
+        return of
+
     base = durable(
         base.withColumn("candidates", F.filter("candidates", lambda c: ~overlap(c)))
         .withColumn("items", F.concat(F.transform(known, item(True)), F.transform("candidates", item(False))))
         .drop("text", "candidates"))
-
-    graph = base.select("row", F.explode("items").alias("i")).select("row", "i.start", "i.end", "i.seed", F.explode("i.patterns").alias("pattern"))
-    graph = durable(graph)
-    scores, key = graph.select("row", "start", "end", F.col("seed").cast("double").alias("score")).distinct(), ["row", "start", "end"]
-    for _ in range(rounds):
-        edges = graph.join(scores, key)
-        belief = edges.groupBy("pattern").agg(
-            (F.sum("score") / (F.count(F.lit(1)) + 1)).alias("belief"), F.count_if("seed").alias("seeds"))
-        belief = belief.where(F.col("seeds") >= support).select("pattern", "belief")
-        doubt = F.exp(F.sum(F.log(1 - F.coalesce("belief", F.lit(0.0)))))
-        scores = durable(graph.join(belief, "pattern", "left").groupBy(key).agg(
-            F.when(F.bool_or("seed"), 1.0).otherwise(1 - doubt).alias("score")))
-    found = scores.join(graph.where("not seed").select(key).distinct(), key).where(F.col("score") >= trust)
+    items = base.select("row", F.explode("items").alias("i")).select("row", "i.*")
+    graph = items.select("value", "seed", F.explode(_patterns(F.col("before"), F.col("after"), F.col("form"), F.col("start") > NEAR)).alias("pattern"))
+    graph = graph.groupBy("value", "pattern").agg(F.bool_or("seed").alias("seed"))
+    certain = graph.groupBy("value").agg(F.bool_or("seed").alias("seed"))  # a seed at one place is one at all
+    graph = durable(graph.drop("seed").join(certain, "value"))
+    scores = score_values(graph, rounds=rounds, trust=trust, support=support, sure=sure)
+    found = items.where("not base").select("row", "start", "end", "value").join(scores.select("value"), "value", "left_semi")
     found = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("id"))
     out = base.select("row", "doc_id", *[k[0] for k in KINDS]).join(found, "row", "left")
     return out.select("doc_id", *[k[0] for k in KINDS], F.coalesce("id", F.expr("array()").cast(SPAN)).alias("id"))
@@ -128,4 +175,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kinds = [k[0] for k in KINDS]
     return found.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in kinds],
-                        F.sha2(named(*kinds), 256).alias("base_sha256"), named(*kinds, "id").alias("spans"))
+                        F.sha2(named(*kinds), 256).alias("base_sha256"), named(*kinds, "id").alias("spans"),
+                        F.size("id").cast("long").alias("n_id"), sum((F.size(k) for k in [*kinds, "id"]), F.lit(0)).cast("long").alias("n_spans"))
