@@ -1,7 +1,9 @@
 """Toxicity: distance-weighted votes of the nearest labelled examples.
 
 Documents are TF-IDF vectors over terms (words and their beginnings) that tell
-toxic from other labelled documents.  The k nearest examples by cosine are found
+toxic from other labelled documents: those that lean to toxic ones by a likelihood
+ratio that chance would give less than once among all terms seen.  IDF is over all
+documents.  The k nearest examples by cosine are found
 exactly in a block-max index: examples stand in blocks, each term's largest
 weight in each block bounds what a block can score, and blocks are read from the
 highest bound down until no bound beats the k-th best.  The votes are weighted
@@ -10,8 +12,8 @@ into calibrated scores.
 
 The examples are a bounded sample of the labelled rows (`most_examples` of each
 class, by a hash of the id); each class counts with the weight that the sample
-took from it.  The index holds at most 2 * most_examples * most_terms weights of
-4 bytes in theory, a few per example in fact, and is broadcast.
+took from it.  The index holds their telling terms, a few per example, and is
+broadcast.
 
 Defined results: null or empty texts, and texts without any telling term, score
 the calibrated rate of such examples; without labels of both classes all score
@@ -154,7 +156,7 @@ def _examples(docs: DataFrame, labels: DataFrame, most_examples: int) -> tuple[D
     return rows.select("doc_id", "text", F.col("toxic").cast("int")), weights
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, most_examples: int = 10_000, most_terms: int = 2_000, k: int = 15) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, *, most_examples: int = 10_000, k: int = 15) -> dict:
     """The model: index, prior, and the calibrated rates of vote bins and of examples without telling terms."""
     examples, class_weight = _examples(docs, labels, most_examples)
     examples = durable(examples)
@@ -186,10 +188,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, most_examples: int = 10_000, most
     plain = lambda a, e: F.when(a > 0, a * F.log(a / e)).otherwise(0.0)
     t, n = F.col("t"), F.col("n")
     gain = 2 * (plain(t, n * share) + plain(n - t, n * (1 - share)))
-    telling = counts.where((t >= 5) & (t > n * min(0.95, 2 * share))).withColumn("gain", gain).where("gain > 20")
-    telling = telling.orderBy(F.desc("gain"), "term").limit(most_terms).toPandas()
-    codes = telling["term"].to_numpy(np.int64)
-    idf = np.log((N + 1) / telling["n"].to_numpy(np.float64))
+    counts = durable(counts)
+    chance = 2 * np.log(max(2, counts.count()))
+    codes = np.sort(counts.where(t > n * min(0.95, 2 * share)).where(gain > chance).select("term").toPandas()["term"].to_numpy(np.int64))  # terms of the sample
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, seen = Terms(codes), np.zeros(len(codes) + 1, dtype=np.int64)
+        for b in text_rows(batches):
+            for text in b.column(0).to_pylist():
+                seen[[*terms(text), len(codes)]] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen), pa.int64()), pa.array(seen[seen > 0])], names=["place", "n"])
+
+    spans = docs.select("text").mapInArrow(frequencies, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    seen = np.zeros(len(codes) + 1)
+    seen[spans["place"].to_numpy(np.int64)] = spans["n"].to_numpy()
+    idf = np.log((seen[-1] + 1) / np.maximum(seen[:-1], 1))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms(codes)
