@@ -9,10 +9,12 @@ It is enough to look at the runs that can't be shortened: from each line the
 shortest run forward, and to each line the shortest run backward (extending a
 match by a line on either side is matching the next such run).  Of each run the
 line with the least hash is its fingerprint; two equal runs choose the same one,
-so a fingerprint chosen at one place only rules out all runs around it.  Runs
-whose fingerprint repeats are joined on their line hashes with their first
-place, and overlapping matches are merged into spans before they are cut out.
-Only hashes and places are shuffled, and each text once, to its spans.
+so a fingerprint chosen at one place only rules out all runs around it.  Places
+of repeated fingerprints are joined with the first place of theirs whose run is
+the same both ways, by a hash of its lines; so a fingerprint that stands in very
+many documents never meets itself pair by pair.  Overlapping matches are merged
+into spans before they are cut out.  Only hashes and places are shuffled, and
+each text once, to its spans.  Repeats with fewer words than `min_words` stay.
 
 Defined results: null text stays null and has no lines; an empty or blank text
 stays as it is; rows with null doc_id are passed on unchanged and match
@@ -64,11 +66,11 @@ def repeated_spans(docs: DataFrame, *, min_words: int = MIN_WORDS) -> DataFrame:
     """(__doc, __version, spans): disjoint [start, end] line spans, from 0, that repeat earlier runs."""
     runs = durable(_runs(docs, min_words))
     shared = runs.select("fp", *DOC, "at").distinct().groupBy("fp").count().where("count > 1").select("fp")
-    runs = runs.join(shared, "fp", "left_semi")
-    place = F.struct("__doc", "__version", "start", "end")
-    first = runs.groupBy("k1", "k2").agg(F.min(place).alias("p"))
+    runs, same = runs.join(shared, "fp", "left_semi"), ["fp", "k1", "k2"]
+    # Only runs that stand twice at least are looked up; written first, so that the join can split a hot one.
+    first = durable(runs.groupBy(same).agg(F.min(F.struct("__doc", "__version", "start", "end")).alias("p"), F.count(F.lit(1)).alias("places")).where("places > 1").drop("places"))
     other = (F.col("__doc") != F.col("p.__doc")) | (F.col("__version") != F.col("p.__version"))
-    later = runs.join(first, ["k1", "k2"]).where(other | (F.col("start") > F.col("p.end"))).select(*DOC, "start", "end")
+    later = runs.join(first, same).where(other | (F.col("start") > F.col("p.end"))).select(*DOC, "start", "end")
     order = Window.partitionBy(*DOC).orderBy("start", "end")
     seen = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     later = later.withColumn("opens", F.coalesce((F.col("start") > seen).cast("int"), F.lit(1)))
