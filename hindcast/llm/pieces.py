@@ -4,12 +4,14 @@ Texts are cut into pieces by a byte-level BPE vocabulary of fewer than PIECES
 pieces, so every script is spelt out.  What the corpus adds are pairs of pieces:
 their number grows with the corpus and is bounded by nothing but PIECES ** 2.
 
-A task sums the pairs of LOT pieces at a time and deals them by pair to BUCKETS
-buckets, as sorted arrays.  A bucket holds all places of its pairs, so it counts
-a pair over all trusted text exactly and prices it at once: texts, pairs and
-counts never return to the documents, only sums per document do, lot by lot.  Figures of
-single pieces (continuations, context sums, back-off weights) are PIECES long
-whatever the corpus is, and are broadcast.
+A task sums the pairs of LOT pieces at a time and deals them by pair to buckets,
+as sorted arrays; there are as many buckets as the text has BUCKET_BYTES.  A bucket
+holds all places of its pairs, so it counts a pair over all trusted text exactly and
+prices it at once: texts, pairs and counts never return to the documents, only sums
+per document do, lot by lot.  Figures of single pieces (continuations, context sums,
+back-off weights) are PIECES long whatever the corpus is, and are broadcast.  So are
+the counts of hot pairs, each at least one in HOT of all pairs of trusted text, so
+there are HOT at most: they are priced where they are met, and no bucket gets one.
 
 A trusted document is scored without its own pairs: its count of a pair is taken
 from the pair's count and context sum, and a pair only it has is no continuation.
@@ -23,20 +25,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hindcast.llm.common import text_rows
-from hindcast.llm.packing import Ids
+from hindcast.llm.common import durable, text_rows
+from hindcast.llm.packing import Ids, same_ids
 
 #: Above all ids of the vocabulary; the last begins a text.
 PIECES = 1 << 16
-BUCKETS = 48
+#: Above all codes of figures of pieces.
+PAIR = 1 << 40
+#: Buckets at least, and bytes of text that each further one is for.
+BUCKETS, BUCKET_BYTES = 48, 1 << 25
+HOT = 1 << 16
 #: Pieces, and documents, whose pairs are summed at once by a task.
 LOT, LOT_DOCS = 3_000_000, 60_000
 SUMS = pa.schema([("lot", pa.int64()), ("keys", pa.list_(pa.int64())), ("pieces", pa.list_(pa.int32())), ("sums", pa.binary())])
-PARTS = "bucket int, lot long, keys array<long>, pieces array<int>, trusted binary, pairs binary, docs binary, times binary"
+PARTS = "bucket int, lot long, keys array<long>, pieces array<int>, trusted binary, pairs binary, docs binary, times binary, sums binary"
 
 
 def pairs_of(ids: bytes) -> np.ndarray:
@@ -45,8 +51,13 @@ def pairs_of(ids: bytes) -> np.ndarray:
     return np.concatenate([np.full(1, PIECES - 1, np.uint32), s[:-1]])[: len(s)] << np.uint32(16) | s
 
 
-def bucket_of(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs * np.uint32(0x9E3779B1)) >> np.uint32(16)) % np.uint32(BUCKETS)
+def bucket_of(pairs: np.ndarray, buckets: int) -> np.ndarray:
+    return (((pairs * np.uint32(0x9E3779B1)).astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def buckets_for(docs: DataFrame) -> int:
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(BUCKETS, -(-size // BUCKET_BYTES))
 
 
 def _packed(a: np.ndarray) -> bytes:
@@ -61,12 +72,19 @@ def _unpacked(b: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def deal(docs: DataFrame, path: str, *, merged: bool = False) -> DataFrame:
+def _document_sums(model: dict, pairs: np.ndarray, counts: np.ndarray, own: np.ndarray, docs: np.ndarray, times: np.ndarray) -> bytes:
+    """The packed bits of each document's pairs: after the piece before, and by themselves."""
+    size = int(docs.max()) + 1 if len(docs) else 0
+    return _packed(np.concatenate([np.bincount(docs, x * times, size) for x in costs(model, pairs, counts, own)]).astype(np.float32))
+
+
+def deal(docs: DataFrame, path: str, buckets: int, *, merged: bool = False, shared: Broadcast | None = None) -> DataFrame:
     """PARTS of docs (key, text, trusted): the pairs of a lot that fall into a bucket, with documents and counts.
 
-    A row without pairs holds the lot's keys and numbers of pieces.  If merged,
-    a lot is taken as one document.
+    A row without pairs holds the lot's keys, numbers of pieces and, if a model
+    is shared, what hot pairs come to.  If merged, a lot is taken as one document.
     """
+    fast = same_ids(path)
 
     def lot(number: int, keys: list[int], trusted: list[bool], pairs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32 | number
@@ -74,15 +92,25 @@ def deal(docs: DataFrame, path: str, *, merged: bool = False) -> DataFrame:
             keys, trusted, pairs = keys[:1], trusted[:1], [np.concatenate(pairs)]
         code = np.concatenate(pairs).astype(np.uint64) << np.uint64(16) | np.repeat(np.arange(len(keys), dtype=np.uint64), [len(p) for p in pairs])
         code, times = np.unique(code, return_counts=True)
-        pair = (code >> np.uint64(16)).astype(np.uint32)
-        bucket, doc = bucket_of(pair), code.astype(np.uint16)
-        flags = np.packbits(np.array(trusted, dtype=bool)).tobytes()
-        none = _packed(np.zeros(0, np.uint32))
-        rows: list[tuple] = [] if merged else [(number % BUCKETS, number, keys, [len(p) for p in pairs], flags, none, none, none)]
-        for b in np.unique(bucket).tolist():
-            at = np.flatnonzero(bucket == b)
+        pair, doc = (code >> np.uint64(16)).astype(np.uint32), code.astype(np.uint16)
+        flags, rows = np.packbits(np.array(trusted, dtype=bool)).tobytes(), []
+        if not merged:
+            sums = None
+            if shared:
+                hot, counts = shared.value["hot"], shared.value["hot_counts"]
+                at = np.minimum(np.searchsorted(hot, pair), max(0, len(hot) - 1))
+                met = hot[at] == pair if len(hot) else np.zeros(len(pair), dtype=bool)
+                own = np.where(np.array(trusted, dtype=bool)[doc[met]], times[met], 0)
+                sums = _document_sums(shared.value, pair[met], counts[at[met]], own, doc[met], times[met])
+                pair, doc, times = pair[~met], doc[~met], times[~met]
+            rows.append((number % buckets, number, keys, [len(p) for p in pairs], flags, None, None, None, sums))
+        bucket = bucket_of(pair, buckets)
+        order = np.argsort(bucket, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            if not len(at):
+                continue
             some = pair[at]
-            rows.append((b, number, None, None, flags, _packed(np.diff(some, prepend=np.uint32(0))), _packed(doc[at]), _packed(times[at].astype(np.uint32))))
+            rows.append((int(bucket[at[0]]), number, None, None, flags, _packed(np.diff(some, prepend=np.uint32(0))), _packed(doc[at]), _packed(times[at].astype(np.uint32)), None))
             if len(rows) == 8:
                 yield batch(rows)
                 rows = []
@@ -90,11 +118,11 @@ def deal(docs: DataFrame, path: str, *, merged: bool = False) -> DataFrame:
             yield batch(rows)
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 4)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "lot", "keys", "pieces", "trusted", "pairs", "docs", "times"])
+        kinds = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 5)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "lot", "keys", "pieces", "trusted", "pairs", "docs", "times", "sums"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, number, keys, trusted, pairs, n = Ids(path), 0, [], [], [], 0
+        ids, number, keys, trusted, pairs, n = Ids(path, fast), 0, [], [], [], 0
         for b in text_rows(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
             for key, good, found in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), ids(texts)):
@@ -140,8 +168,8 @@ def discounts(tallies: list[int]) -> np.ndarray:
     return np.array([0.0, *(min(k, max(0.05, k - (k + 1) * y * b / a)) if a else 0.5 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))])
 
 
-def fit(trusted: DataFrame, path: str) -> dict | None:
-    """Discounts, and per piece: context sum, back-off weight and continuations; None without trusted text."""
+def fit(trusted: DataFrame, path: str, buckets: int) -> dict | None:
+    """Discounts, hot pairs, and per piece: context sum, back-off weight and continuations; None without trusted text."""
 
     def figures(table: pa.Table) -> pa.Table:
         pairs, counts = _counted(table)
@@ -150,13 +178,16 @@ def fit(trusted: DataFrame, path: str) -> dict | None:
         piece, kind, total = (np.concatenate(x) for x in zip(*out))
         code, at = np.unique(piece.astype(np.int64) * 8 + kind, return_inverse=True)
         n = np.bincount(at, minlength=len(code)).astype(np.int64)
-        return pa.table({"code": code, "n": n, "total": np.bincount(at, total, len(code)).astype(np.int64)})
+        often = counts * HOT >= counts.sum()  # holds for hot pairs, and for some others
+        return pa.table({"code": np.concatenate([code, pairs[often].astype(np.int64) + PAIR]), "n": np.concatenate([n, np.zeros(often.sum(), np.int64)]),
+                         "total": np.concatenate([np.bincount(at, total, len(code)).astype(np.int64), counts[often]])})
 
-    dealt = deal(trusted.withColumn("trusted", F.lit(True)), path, merged=True).groupBy("bucket")
-    found = dealt.applyInArrow(figures, "code long, n long, total long").groupBy("code").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-    found = found.toPandas()  # 5 * PIECES rows at most
+    dealt = deal(trusted.withColumn("trusted", F.lit(True)), path, buckets, merged=True).groupBy("bucket")
+    figured = durable(dealt.applyInArrow(figures, "code long, n long, total long"))
+    found = figured.where(F.col("code") < PAIR).groupBy("code").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).toPandas()  # 5 * PIECES rows at most
     if found.empty:
         return None
+    hot = figured.where((F.col("code") >= PAIR) & (F.col("total") * HOT >= int(found["total"].sum()))).orderBy("code").toPandas()  # HOT rows at most
     code, n, total = (found[c].to_numpy(np.int64) for c in ("code", "n", "total"))
     piece, kind = code // 8, code % 8
     of = lambda k: np.bincount(piece[kind == k], n[kind == k], PIECES)
@@ -165,7 +196,7 @@ def fit(trusted: DataFrame, path: str) -> dict | None:
     context = kind > 0
     sums = np.bincount(piece[context], total[context], PIECES)
     held = kinds[1] * d[1] + kinds[2] * d[2] + (kinds[3] + kinds[4]) * d[3]
-    return {"d": d, "sums": sums, "held": held, "follows": kinds[0], "d1": discounts([int((kinds[0] == k).sum()) for k in (1, 2, 3, 4)])}
+    return {"hot": (hot["code"].to_numpy(np.int64) - PAIR).astype(np.uint32), "hot_counts": hot["total"].to_numpy(np.int64), "d": d, "sums": sums, "held": held, "follows": kinds[0], "d1": discounts([int((kinds[0] == k).sum()) for k in (1, 2, 3, 4)])}
 
 
 def costs(model: dict, pairs: np.ndarray, counts: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +216,7 @@ def costs(model: dict, pairs: np.ndarray, counts: np.ndarray, own: np.ndarray) -
     return -np.log2(p), -np.log2(low)
 
 
-def bits(docs: DataFrame, model: dict, path: str) -> DataFrame:
+def bits(docs: DataFrame, model: dict, path: str, buckets: int) -> DataFrame:
     """(key, bits, alone, pieces) of docs (key, text, trusted) with text: what all pieces take after the piece before, and by themselves, and their number.
 
     Documents of one key are the same text; their sums are added up on both sides.
@@ -195,26 +226,25 @@ def bits(docs: DataFrame, model: dict, path: str) -> DataFrame:
     def price(table: pa.Table) -> pa.Table:
         known, counts = _counted(table)
         heads = table.filter(pc.is_valid(table.column("keys")))
-        out = [pa.table({"lot": heads.column("lot"), "keys": heads.column("keys"), "pieces": heads.column("pieces"), "sums": pa.nulls(heads.num_rows, pa.binary())})]
+        out = [pa.table({"lot": heads.column("lot"), "keys": heads.column("keys"), "pieces": heads.column("pieces"), "sums": heads.column("sums")})]
         for r, pairs, good, doc, times in _parts(table):
             at = np.minimum(np.searchsorted(known, pairs), max(0, len(known) - 1))
             count = np.where(known[at] == pairs, counts[at], 0) if len(known) else np.zeros(len(pairs), np.int64)
-            cost, alone = costs(shared.value, pairs, count, np.where(good, times, 0))
-            sums = np.concatenate([np.bincount(doc, x * times, 1 << 16)[: int(doc.max()) + 1] for x in (cost, alone)]).astype(np.float32)
+            sums = _document_sums(shared.value, pairs, count, np.where(good, times, 0), doc, times)
             out.append(pa.table({"lot": pa.array([table.column("lot")[r].as_py()], pa.int64()), "keys": pa.nulls(1, pa.list_(pa.int64())),
-                                 "pieces": pa.nulls(1, pa.list_(pa.int32())), "sums": pa.array([_packed(sums)], pa.binary())}))
+                                 "pieces": pa.nulls(1, pa.list_(pa.int32())), "sums": pa.array([sums], pa.binary())}))
         return pa.concat_tables([t.cast(SUMS) for t in out])
 
     def total(table: pa.Table) -> pa.Table:
         keys, n, sums = [], [], np.zeros((2, 1 << 16))
         for k, p, s in zip(table.column("keys").to_pylist(), table.column("pieces").to_pylist(), table.column("sums").to_pylist()):
-            if s is None:
+            if k is not None:
                 keys, n = k, p
-            else:
+            if s is not None:
                 part = _unpacked(s, "f4").reshape(2, -1)
                 sums[:, : part.shape[1]] += part
         return pa.table({"key": pa.array(keys, pa.int64()), "bits": sums[0, : len(keys)], "alone": sums[1, : len(keys)], "pieces": pa.array(n, pa.int64())})
 
-    priced = deal(docs, path).groupBy("bucket").applyInArrow(price, "lot long, keys array<long>, pieces array<int>, sums binary")
+    priced = deal(docs, path, buckets, shared=shared).groupBy("bucket").applyInArrow(price, "lot long, keys array<long>, pieces array<int>, sums binary")
     each = priced.groupBy("lot").applyInArrow(total, "key long, bits double, alone double, pieces long")
     return each.groupBy("key").agg(F.sum("bits").alias("bits"), F.sum("alone").alias("alone"), F.sum("pieces").alias("pieces"))

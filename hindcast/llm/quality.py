@@ -182,8 +182,9 @@ def judge(docs: DataFrame, labels: DataFrame, *, quantile: float = QUANTILE, mar
     with_flag = trusted.withColumn("trusted", F.lit(True))
     with_flag = F.broadcast(with_flag) if n_trusted <= BROADCAST_IDS else with_flag
     flagged = keyed.join(with_flag, "doc_id", "left").fillna(False, ["trusted"])
-    known = pieces.fit(keyed.join(ids, "doc_id", "left_semi"), path)
-    priced = pieces.bits(flagged, known, path) if known else keyed.select("key", F.lit(0.0).alias("bits"), F.lit(0.0).alias("alone"), F.lit(0).alias("pieces")).where("false")
+    buckets = pieces.buckets_for(docs)
+    known = pieces.fit(keyed.join(ids, "doc_id", "left_semi"), path, buckets)
+    priced = pieces.bits(flagged, known, path, buckets) if known else keyed.select("key", F.lit(0.0).alias("bits"), F.lit(0.0).alias("alone"), F.lit(0).alias("pieces")).where("false")
     good = perplexities(keyed, model).join(priced, "key", "left").withColumn("piece_perplexity", F.pow(F.lit(2.0), F.col("bits") / F.col("pieces")))
     good = good.withColumn("order_gain", (F.col("alone") - F.col("bits")) / F.col("pieces"))
     good = good.withColumn("widened", F.col("order_gain") + SCATTER / F.sqrt("pieces"))
