@@ -10,14 +10,20 @@ and each by another hash where those are equal.  What is left is checked by an
 upper bound on the intersection (smaller counts per bucket of hashes, added up),
 which costs a tenth of the bytes of the sets, and then on the sets themselves.
 
-Links are needed up to what they connect, so the join goes in two rounds.
-First each document is compared with one document of the groups (documents with
-one prefix shingle in common) it shares most with.  What that links is merged;
-after that only pairs across merged components can add anything, and all of
-those are compared.  Copies of one set are one node throughout.  In a large
-family (many documents with one hub) nearly all would share the hub's shingles,
-so there the filter runs over what tells members from the hub: two members that
-are similar either both link with the hub, or share enough of those tokens.
+Links are needed up to what they connect, so the join goes in two rounds, over
+one document of each set (copies of a set are one node throughout).
+First each document is compared with its hub, of those it shares prefix shingles
+with the one that shares most with others, and with its root, where following hubs
+ends; the documents of one root are a family, and in a family one more is chosen by
+the differences from the root.  What
+that links is merged; after that only pairs across merged components can add
+anything, and all of those are compared.  Across families they come from shared
+prefix shingles.  In a family nearly all would share the root's shingles, so there
+the filter runs over what tells members from the root: two members that are
+similar either both link with the root, or share enough of those tokens.
+
+A document with many partners, on either side of a pair, has them dealt out in
+lots; hot shingles are split by adaptive joins, which have no group to gather.
 
 Sets are 64-bit hashes of shingles.  Defined results: without words or text a
 set is empty and links with nothing; with fewer than n words the whole sequence
@@ -45,8 +51,14 @@ CHUNK = 1 << 14
 BUCKETS = 512
 #: Rows of (document, partner) that may be broadcast, 40 bytes each; more of them are shuffled.
 BROADCAST_ROWS = 1_000_000
-#: Members from which a family of documents with one hub is compared by differences.
-LARGE = 64
+#: Partners that a document is compared with in one place, about.
+LOT = 1 << 14
+#: Ids of copies that may be broadcast (8 bytes each); more of them are shuffled.
+BROADCAST_IDS = 2_000_000
+#: Times that the way to the root is doubled: 2 ** JUMPS hubs at most are followed.
+JUMPS = 3
+#: Similarity with the root from which a document is compared inside the family.
+NEAR = 0.2
 SECOND = np.uint64(0xA0761D6478BD642F)
 
 
@@ -134,13 +146,14 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def prefixes(s: np.ndarray, sketch: np.ndarray, classes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The set's first shingles under two orders: (count, hash) and (class of counts, another hash)."""
+def prefixes(s: np.ndarray, sketch: np.ndarray, classes: np.ndarray, percent: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """How much the set's first shingles are shared, and these under two orders: (count, hash) and (class of counts, another hash)."""
     k = prefix_length(len(s), percent)
     bucket = (s & np.uint64(SKETCH - 1)).astype(np.int64)
-    one = (sketch[bucket] << np.uint64(40)) | (mix(s) >> np.uint64(24))
-    two = (classes[bucket] << np.uint64(58)) | (mix(s ^ SECOND) >> np.uint64(6))
-    return s[np.argsort(one, kind="stable")[:k]], s[np.argsort(two, kind="stable")[:k]]
+    counts = sketch[bucket].astype(np.uint64)
+    one = np.argsort((counts << np.uint64(40)) | (mix(s) >> np.uint64(24)), kind="stable")[:k]
+    two = (classes[bucket].astype(np.uint64) << np.uint64(58)) | (mix(s ^ SECOND) >> np.uint64(6))
+    return int(counts[one].sum()), s[one], s[np.argsort(two, kind="stable")[:k]]
 
 
 def histogram(s: np.ndarray) -> np.ndarray:
@@ -157,26 +170,32 @@ def _side_by_side(pairs: DataFrame, docs: DataFrame, n: int, payload: Callable,
     """judge(a, b, what a has, what b has) -> rows, for pairs (a, b); payload turns a set into an array to carry.
 
     Each pair brings b's array to a's place.  Sorted by a with a's own first, a
-    task holds one array at a time however many partners it has; a's partners
-    are dealt out in lots of about 256 so that no task gets all of a hot one.
+    task holds one array at a time however many partners it has.
     """
-    lots = F.greatest(F.lit(1), F.expr("ceil(m / 256)")).cast("int")
-    pairs = pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m")), "a").select("a", "b", F.pmod(F.xxhash64("b"), lots).cast("int").alias("lot"))
     pairs = durable(pairs)
-    rows = pairs.select(F.col("b").alias("doc"), F.struct("a", "lot", F.lit(1).alias("role")).alias("to")).union(
-        pairs.select("a", "lot").distinct().select(F.col("a").alias("doc"), F.struct("a", "lot", F.lit(0).alias("role")).alias("to")))
-    rows = rows.groupBy("doc").agg(F.collect_list("to").alias("to"))
-    if pairs.count() <= BROADCAST_ROWS:
+    total = pairs.count()
+    lots = F.lit(1 + total // LOT)  # what a document has of all pairs is dealt to that many places
+    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), lots).cast("int").alias("lot_a"), F.pmod(F.xxhash64("a"), lots).cast("int").alias("lot_b"))
+    rows = pairs.select(F.col("b").alias("doc"), F.col("lot_b").alias("part"), F.struct("a", F.col("lot_a").alias("lot"), F.lit(1).alias("role")).alias("to")).union(
+        pairs.select("a", "lot_a").distinct().select(F.col("a").alias("doc"), F.col("lot_a").alias("part"), F.struct("a", F.col("lot_a").alias("lot"), F.lit(0).alias("role")).alias("to")))
+    rows = rows.groupBy("doc", "part").agg(F.collect_list("to").alias("to"))  # about LOT at most
+    if total <= BROADCAST_ROWS:
         rows = F.broadcast(rows)
     carried = pa.schema([("a", pa.int64()), ("lot", pa.int32()), ("role", pa.int32()), ("b", pa.int64()), ("kind", pa.string()), ("s", pa.binary())])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes_of = WordHashes()
         for b in text_rows(batches, 128):
-            sets = [payload(s) for s in sets_of(b.column(1).to_pylist(), n, hashes_of)]
-            out = [(t["a"], t["lot"], t["role"], doc, s.dtype.str, s.tobytes()) for doc, s, to in zip(b.column(0).to_pylist(), sets, b.column(2).to_pylist()) for t in to]
-            for k in range(0, len(out), 512):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out[k : k + 512]), carried)], schema=carried)
+            out = []
+            for doc, s, to in zip(b.column(0).to_pylist(), sets_of(b.column(1).to_pylist(), n, hashes_of), b.column(2).to_pylist()):
+                s = payload(s)
+                kind, s = s.dtype.str, s.tobytes()
+                out += [(t["a"], t["lot"], t["role"], doc, kind, s) for t in to]
+                if len(out) >= 512:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), carried)], schema=carried)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), carried)], schema=carried)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = None, []
@@ -221,25 +240,41 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
     return _side_by_side(pairs, docs, n, lambda s: s, judge, "a long, b long", LINKS)
 
 
-def _differences(members: DataFrame, docs: DataFrame, n: int, sketch: np.ndarray) -> DataFrame:
-    """(a, b, n, d, token, left): how the set of b, n shingles, differs from a's, in d tokens, one row each.
+def _members(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b, n, linked, tokens): how the set of b, n shingles, differs from its root a's, and if both are similar.
 
-    A token is a shingle that b has and a lacks, or, marked, one that b lacks.
-    They are in a common order, rare ones first and lacking ones last; left is
-    the number of tokens from this one on.  Pairs below half similarity are left out.
+    A token is a shingle that b has and a lacks, or, marked, one that b lacks;
+    tokens are null where less than NEAR is in common.
     """
-    arrow = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("d", pa.int64()), ("token", pa.int64()), ("left", pa.int64())])
+    arrow = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("linked", pa.bool_()), ("tokens", pa.list_(pa.int64()))])
 
     def judge(a, b, x, y):
         both = len(np.intersect1d(x, y, assume_unique=True))
-        if 2 * both < len(x) + len(y) - both:
-            return []
-        more, less = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
-        more = more[np.lexsort((more, sketch[(more & np.uint64(SKETCH - 1)).astype(np.int64)]))]
-        tokens = np.concatenate([more, mix(np.sort(less) ^ SECOND)]).view(np.int64).tolist()
-        return [(a, b, len(y), len(tokens), t, len(tokens) - k) for k, t in enumerate(tokens)]
+        union, tokens = len(x) + len(y) - both, None
+        if both >= NEAR * union:
+            more, less = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+            tokens = np.concatenate([more, mix(less ^ SECOND)]).view(np.int64).tolist()
+        return [(a, b, len(y), 100 * both >= percent * union, tokens)]
 
-    return _side_by_side(members, docs, n, lambda s: s, judge, "a long, b long, n long, d long, token long, left long", arrow)
+    return _side_by_side(pairs, docs, n, lambda s: s, judge, "a long, b long, n long, linked boolean, tokens array<long>", arrow)
+
+
+def _differences(near: DataFrame, percent: int) -> DataFrame:
+    """(hub, doc, n, d, linked, token, left, f) of the difference tokens of members, rarest of the family first, that a similar member may share the first of.
+
+    Sets X and Y with dx and dy differences from one root, o of them in common,
+    differ in dx + dy - 2 o places; they are similar just if that is at most
+    c (|X| + |Y|), c = (1 - t) / (1 + t), t = percent / 100.  With f = d - c n that is
+    o >= (fx + fy) / 2; and as o <= dy and t |Y| <= |X|, o >= fx - c |X| / t at least.
+    f comes times 100 + percent; left is the number of tokens from this one on.
+    """
+    rows = near.select(F.col("a").alias("hub"), F.col("b").alias("doc"), "n", "linked", F.size("tokens").alias("d"), F.explode("tokens").alias("token"))
+    counts = rows.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("m"))
+    rows = rows.join(counts, ["hub", "token"])
+    rows = rows.withColumn("k", F.row_number().over(Window.partitionBy("hub", "doc").orderBy("m", "token")))
+    rows = rows.withColumn("f", F.col("d") * (100 + percent) - F.col("n") * (100 - percent)).withColumn("left", F.col("d") - F.col("k") + 1)
+    enough = F.col("left") * (100 + percent) * percent >= F.col("f") * percent - F.col("n") * (100 - percent) * 100
+    return rows.where("m > 1").where(enough).select("hub", "doc", "n", "d", "linked", "token", "left", "f")
 
 
 def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
@@ -247,70 +282,75 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").where("doc_id is not null")
     sizes, sketch = _survey(docs, n)
-    classes = frequency_class(sketch).astype(np.uint64)
-    sketch = np.minimum(sketch, (1 << 24) - 1).astype(np.uint64)
+    shared_sketch = spark.sparkContext.broadcast((np.minimum(sketch, (1 << 24) - 1).astype(np.uint32), frequency_class(sketch)))
 
     def prefix_rows(ids, texts, hashes_of):
-        kept = [(d, len(s), *prefixes(s, sketch, classes, percent)) for d, s in zip(ids, sets_of(texts, n, hashes_of), strict=True) if len(s) > 1]
-        return [[x[0] for x in kept], [x[1] for x in kept], [x[2].view(np.int64) for x in kept], [(x[3] >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in kept]]
+        kept = [(d, len(s), *prefixes(s, *shared_sketch.value, percent)) for d, s in zip(ids, sets_of(texts, n, hashes_of), strict=True) if len(s) > 1]
+        return [[x[0] for x in kept], [x[1] for x in kept], [x[2] for x in kept], [x[3].view(np.int64) for x in kept], [(x[4] >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in kept]]
 
     # Copies of a set stand for one node, the smallest doc_id; a set of one shingle links with its copies only.
     first = sizes.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("node"))
-    nodes = durable(sizes.where("n > 0").join(first, ["n", "s1", "s2"]).select("doc", "node", "n").distinct())
-    arrow = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("p1", pa.list_(pa.int64())), ("p2", pa.list_(pa.int32()))])
-    sets = durable(_over(docs, prefix_rows, "doc long, n long, p1 array<long>, p2 array<int>", arrow))
-    second = sets.select("doc", "n", "p2")
-
-    group = Window.partitionBy("token")
-    rows = sets.select("doc", "n", F.explode("p1").alias("token"))
-    me = F.struct("doc", "n")
-    rows = rows.withColumn("low", F.min(me).over(group)).withColumn("high", F.max(me).over(group)).where("low.doc <> high.doc")
-    rows = durable(rows)
+    nodes = durable(sizes.where("n > 0").join(first, ["n", "s1", "s2"]).select("doc", "node").distinct())
+    only = nodes.where("doc = node").select("doc")
+    copies = durable(nodes.groupBy("doc").agg(F.bool_or(F.col("doc") == F.col("node")).alias("own")).where("not own").select("doc"))
+    few = copies.count() <= BROADCAST_IDS
+    arrow = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("w", pa.int64()), ("p1", pa.list_(pa.int64())), ("p2", pa.list_(pa.int32()))])
+    sets = _over(docs.join(F.broadcast(copies), "doc", "left_anti") if few else docs, prefix_rows, "doc long, n long, w long, p1 array<long>, p2 array<int>", arrow)
+    sets = durable(sets if few else sets.join(copies, "doc", "left_anti"))
+
+    # A doc_id with several texts is one node: the nodes of its texts are linked.
+    texts = nodes.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a <> most").join(nodes, "doc")
+    links = texts.select("a", F.col("node").alias("b")).where("a <> b")
+
+    tokens = sets.select("doc", F.explode("p1").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
+    rows = durable(tokens.join(shared, "token").join(sets.select("doc", "n", "w").distinct(), "doc"))
 
     def similar_sizes(x: str, y: str):
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
 
-    def filtered(pairs: DataFrame) -> DataFrame:
-        """Of distinct pairs (a, b), those that share a prefix shingle under the second order too."""
-        a = second.select(F.col("doc").alias("a"), F.col("p2").alias("pa")).dropDuplicates(["a"])
-        b = second.select(F.col("doc").alias("b"), F.col("p2").alias("pb")).dropDuplicates(["b"])
-        return pairs.join(a, "a").join(b, "b").where(F.arrays_overlap("pa", "pb")).select("a", "b")
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def as_nodes(pairs: DataFrame) -> DataFrame:
-        """Copies in pairs give way to their nodes."""
-        a, b = (nodes.select(F.col("doc").alias(x), F.col("node").alias(y)) for x, y in (("a", "na"), ("b", "nb")))
-        out = pairs.join(a, "a").join(b, "b").where("na <> nb")
-        return out.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct()
+    def filtered(pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b), those that share a prefix shingle under the second order too."""
+        a, b = (sets.select(F.col("doc").alias(x), F.col("p2").alias(f"p{x}")) for x in ("a", "b"))
+        return pairs.join(a, "a").join(b, "b").where(F.arrays_overlap("pa", "pb")).select("a", "b").distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
-        near = durable(_possible(filtered(pairs), docs, n, percent))
-        return durable(_verified(near.distinct(), docs, n, percent))
-
-    hubs = {}
-    for hub in ("low", "high"):
-        star = rows.where(f"doc <> {hub}.doc").select("doc", F.col("n"), F.col(f"{hub}.doc").alias("hub"), F.col(f"{hub}.n").alias("m"))
-        star = star.where(similar_sizes("n", "m")).groupBy("doc", "hub").agg(F.count(F.lit(1)).alias("shared"))
-        star = star.groupBy("doc").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("b")).select(F.col("doc").alias("a"), "b")
-        hubs[hub] = durable(star)
-    tried = durable(as_nodes(hubs["low"].union(hubs["high"])))
-    links = verified(tried)
-
-    # Large families: nodes whose likest hub is the same.  Their members are compared by how they differ from it.
-    best = hubs["low"].select(F.col("a").alias("doc"), F.col("b").alias("hub")).join(nodes.where("doc = node").select("doc").distinct(), "doc", "left_semi")
-    large = best.groupBy("hub").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > LARGE)
-    best = best.join(large.select(F.col("hub").alias("doc")), "doc", "left_anti")  # a hub is a member of its own family
-    members = best.join(large.select("hub"), "hub", "left_semi").select(F.col("hub").alias("a"), F.col("doc").alias("b"))
-    differs = durable(_differences(members, docs, n, sketch))
-    family = differs.select(F.col("b").alias("doc"), F.col("a").alias("family")).distinct().union(
-        differs.select(F.col("a").alias("doc"), F.col("a").alias("family")).distinct())
-
-    node_of = components(spark, links)
-    part = nodes.where("doc = node").select("doc").distinct().join(node_of.withColumnRenamed("id", "doc"), "doc", "left").join(family, "doc", "left")
+        return durable(_verified(_possible(filtered(pairs), docs, n, percent).distinct(), docs, n, percent))
+
+    # The hub of a prefix shingle is the document whose shingles are shared most; a document's hub is the one of most of its shingles.
+    top = rows.groupBy("token").agg(F.max(F.struct("w", "doc")).alias("hub"))
+    hubs = rows.join(top, "token").where("doc <> hub.doc").groupBy("doc", F.col("hub.doc").alias("hub")).agg(F.count(F.lit(1)).alias("shared"), F.max("hub.w").alias("w"))
+    hubs = durable(hubs.groupBy("doc").agg(F.max_by("hub", F.struct("shared", "w", "hub")).alias("b")).select(F.col("doc").alias("a"), "b"))
+
+    # A hub's shingles are shared more than those of what it is the hub of, so the way from hub to hub ends, at the root of a family.
+    roots = hubs
+    for _ in range(JUMPS):
+        roots = durable(roots.join(roots.select(F.col("a").alias("b"), F.col("b").alias("further")), "b", "left").select("a", F.coalesce("further", "b").alias("b")))
+    pairs = roots.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))
+    members = durable(_members(pairs, docs, n, percent))
+    near = members.where("tokens is not null")
+    family = near.select(F.col("b").alias("doc"), F.col("a").alias("family")).union(near.select(F.col("a").alias("doc"), F.col("a").alias("family"))).distinct()
+    differs = durable(_differences(near, percent))
+
+    # Inside a family, what does not link with the root is compared with the document nearest to the root that it shares most differences with.
+    nearest = differs.groupBy("hub", "token").agg(F.min(F.struct("d", "doc")).alias("rep"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    inner = differs.where("not linked").join(nearest.select("hub", "token", F.col("rep.doc").alias("rep")), ["hub", "token"]).where("doc <> rep")
+    inner = inner.groupBy("doc", "rep").agg(F.count(F.lit(1)).alias("shared")).groupBy("doc").agg(F.max_by("rep", F.struct("shared", -F.col("rep"))).alias("b"))
+    stars = inner.select(F.col("doc").alias("a"), "b").union(hubs.select("a", "b"))
+    tried = ordered(members.select("a", "b"))
+    stars = durable(ordered(stars).join(tried, ["a", "b"], "left_anti"))
+    tried = durable(tried.union(stars))
+    links = durable(links.union(members.where("linked").select("a", "b")).union(verified(stars)))
+
+    part = only.join(components(spark, links).withColumnRenamed("id", "doc"), "doc", "left").join(family, "doc", "left")
     part = durable(part.select("doc", F.coalesce("component", "doc").alias("part"), F.coalesce("family", "doc").alias("family")))
-    mixed = rows.select("token", "doc", "n").join(part, "doc")
-    for c in ("part", "family"):
-        mixed = mixed.withColumn("least", F.min(c).over(group)).withColumn("most", F.max(c).over(group)).where("least <> most")
-    mixed = durable(mixed.select("token", "doc", "n", "part", "family"))
+
+    mixed = durable(rows.drop("w").join(part, "doc"))
+    several = mixed.groupBy("token").agg(*[f(c).alias(f"{k}_{c}") for c in ("part", "family") for k, f in (("least", F.min), ("most", F.max))])
+    mixed = mixed.join(several.where("least_part <> most_part and least_family <> most_family").select("token"), "token", "left_semi")
 
     def sides(df: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
         return tuple(df.select(*on, *(F.col(c).alias(f"{c}_{k}") for c in df.columns if c not in on)) for k in ("x", "y"))
@@ -319,17 +359,14 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     rest = x.join(y, "token").where((F.col("doc_x") < F.col("doc_y")) & (F.col("part_x") != F.col("part_y")) & (F.col("family_x") != F.col("family_y")) & similar_sizes("n_x", "n_y"))
     rest = rest.select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b")).distinct()
 
-    # With f = d - n * (1 - t) / (1 + t), two members are similar just if they share (f_x + f_y) / 2 difference tokens.
-    # If that is no more than none, both link with the hub, which has been seen to; else they share a first token in the
-    # common order, and from there on both have as many left.
-    x, y = sides(differs.select(F.col("a").alias("hub"), "token", F.col("b").alias("doc"), "n", "left", (F.col("d") * (100 + percent) - F.col("n") * (100 - percent)).alias("f")).join(part.select("doc", "part"), "doc"), ["hub", "token"])
+    # Members that need share no difference both link with the root, which has been seen to; else they share a first token
+    # in the common order, and from there on both have as many left as they need to share.
+    x, y = sides(differs.select("hub", "token", "doc", "n", "left", "f").join(part.select("doc", "part"), "doc"), ["hub", "token"])
     need = F.col("f_x") + F.col("f_y")
     inside = x.join(y, ["hub", "token"]).where((F.col("doc_x") < F.col("doc_y")) & (F.col("part_x") != F.col("part_y")) & (need > 0)
                                                & (F.least("left_x", "left_y") * 2 * (100 + percent) >= need) & similar_sizes("n_x", "n_y"))
     rest = rest.union(inside.select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))).distinct().join(tried, ["a", "b"], "left_anti")
-    links = links.union(verified(rest))
-
-    linked = components(spark, links)
+    linked = components(spark, part.select(F.col("doc").alias("a"), F.col("part").alias("b")).union(verified(rest)))
     out = sizes.groupBy("doc").agg(F.max("n").alias("n_shingles"))
     smallest = nodes.join(linked, nodes["node"] == linked["id"], "left").select("doc", F.coalesce("component", "node").alias("c"))
     smallest = smallest.groupBy("doc").agg(F.min("c").alias("c"))

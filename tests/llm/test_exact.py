@@ -92,12 +92,57 @@ def tokenizer():
 def test_ids_equal_the_tokenizer(tokenizer):
     import public_tokenizers
 
-    texts = ["", " a  b\n\n c ", "don't  STOP\t\n", "x" * 3000, "Ünïcode 一二三 ½ ٣ é", "a\x1cb\x85c d  e", "<|endoftext|> a", "🙂🙂 ok", "\n \n\n  x", "a​b 'll's"]
-    ids = packing.Ids(public_tokenizers.path("byte_bpe_50k.json"))
-    assert ids.fast is not None
+    texts = ["", " a  b\n\n c ", "don't  STOP\t\n", "x" * 3000, "Ünïcode 一二三 ½ ٣ é", "a\x1cb\x85c d  e", "<|endoftext|> a", "🙂🙂 ok", "\n \n\n  x", "a​b 'll's", "\ue000 a\U000e0fff b"]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.same_ids(path) and not packing.same_ids(public_tokenizers.path("word_bpe_49k.json"))
+    ids = packing.Ids(path, True)
     assert [np.frombuffer(x, "<u4").tolist() for x in ids(texts)] == [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_merges_that_ranks_would_not_follow():
+    letters = {x: k for k, x in enumerate("abc")}
+    assert packing.canonical_merges(letters | {"ab": 3, "abc": 4}, [("a", "b"), ("ab", "c")])
+    assert not packing.canonical_merges(letters | {"bc": 3, "ab": 4, "abc": 5}, [("b", "c"), ("a", "b"), ("ab", "c")])  # abc ends as a bc
+    assert not packing.canonical_merges(letters | {"ab": 4, "abc": 3}, [("a", "b"), ("ab", "c")])  # ids fall
+    assert not packing.canonical_merges(letters | {"ab": 3}, [("a", "b"), ("a", "b")])
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_windows_against_brute_force(seed):
+    """Best fit into the open windows, the fullest filled and emitted when none fits."""
+    rng, size, most = random.Random(seed), 16, 4
+    lengths = [rng.randrange(1, 40) for _ in range(60)]
+    got = []
+    windows = packing.Windows(size, most, lambda pieces: got.append([(d, s, len(i) // 4) for d, s, i, _ in pieces]))
+    for d, n in enumerate(lengths):
+        windows.add(d, n, 0, bytes(4 * n))
+    space, held, emitted, order = [], [], [], 0  # free space and pieces of the open windows, in order of opening
+    for d, n in enumerate(lengths):
+        at = 0
+        while n - at >= size:
+            emitted.append([(d, at, size)])
+            at += size
+        while at < n:
+            left = n - at
+            fits = [k for k in range(len(space)) if space[k] >= left]
+            if fits:
+                k, take = min(fits, key=lambda k: space[k]), left
+            elif len(space) < most:
+                space.append(size)
+                held.append([])
+                k, take = len(space) - 1, left
+            else:
+                k = min(range(len(space)), key=lambda k: space[k])
+                take = space[k]
+            held[k].append((d, at, take))
+            space[k] -= take
+            at += take
+            if not space[k]:
+                emitted.append(held.pop(k))
+                space.pop(k)
+    assert got == emitted and sorted(size - w[0] for w in windows.open) == sorted(space)
+
+
 def test_packing_loses_nothing(spark, tokenizer):
     import public_tokenizers
 
@@ -297,7 +342,7 @@ def test_licenses(spark):
 
 # PII -------------------------------------------------------------------------------------------------------------
 
-PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+".replace("\\x20-", " \\-"), "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
 def luhn(digits):
@@ -344,6 +389,57 @@ def test_pii_learns_contexts(spark):
     assert out[45]["id"] == []
 
 
+def test_pii_second_hop(spark):
+    """Identifiers found by the context of e-mails bring in their own second context, and that one others of another form."""
+    texts = [f"reach me at: user{k}@mail.example.com today" for k in range(20)]
+    texts += [f"reach me at: QX{k}7731AB today" for k in range(9)] + [f"then badge number QX{k}7731AB was seen" for k in range(9)]
+    texts += ["then badge number 54t7 was none", "then badge number n-403-9b-c was none"]
+    texts += ["lab 77 shows run12345 here"]
+    out = {r["doc_id"]: r for r in pii.find_pii(table(spark, texts)).collect()}
+    found = [[texts[k][s["start"] : s["end"]] for s in out[k]["id"]] for k in range(len(texts))]
+    assert found[:20] == [[]] * 20 and found[20:29] == found[29:38] == [[f"QX{k}7731AB"] for k in range(9)]
+    assert found[38:] == [[], ["n-403-9b-c"], []]
+
+
+def brute_scores(graph, rounds, trust, support, sure):
+    seeds = {v for v, seed, _ in graph if seed}
+    scores = dict.fromkeys(seeds, 1.0)
+    around = collections.defaultdict(set)
+    for v, _, p in graph:
+        around[p].add(v)
+    for _ in range(rounds):
+        belief = {p: sum(scores.get(v, 0) for v in vs) / (len(vs) + 1) for p, vs in around.items() if sum(scores.get(v, 0) for v in vs) >= support}
+        new = dict.fromkeys(seeds, 1.0)
+        for v in {v for v, _, _ in graph} - seeds:
+            doubt = 1.0
+            for kind in "LRF":
+                doubt *= 1 - max((belief[p] for p in around if p[0] == kind and v in around[p] and belief.get(p, 0) >= sure), default=0)
+            if 1 - doubt >= trust:
+                new[v] = 1 - doubt
+        scores = new
+    return scores
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pii_rounds_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    certain = set(range(12))
+    graph = sorted({(v, v in certain, rng.choice("LRF") + str(min(rng.randrange(14), rng.randrange(14)))) for v in range(60) for _ in range(rng.randrange(1, 5))})
+    rows = spark.createDataFrame(graph, "value long, seed boolean, pattern string")
+    for rounds in (1, 3):
+        got = {r["value"]: r["score"] for r in pii.score_values(rows, rounds=rounds, trust=0.4, support=2, sure=0.2).collect()}
+        assert got == pytest.approx(brute_scores(graph, rounds, 0.4, 2, 0.2))
+    assert len(got) > len(certain)
+
+
+def test_pii_seeds_and_copies(spark):
+    key = "AKIA" + "Q7" * 8
+    texts = ['set token = "24be64439e3e49cf" now', f"use {key} there", "odd ab12cd34 thing"] + ["mail a1@b.cc odd ab12cd34 thing"] * 30
+    out = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["id"]] for r in pii.find_pii(table(spark, texts)).where(f"doc_id < {len(texts)}").collect()}
+    assert out[0] == ["24be64439e3e49cf"] and out[1] == [key] and out[2] == out[3] == []
+    assert pii.find_pii(table(spark, texts).where("false")).count() == 0
+
+
 def test_digest_of_pii(spark, small):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     for r in pii.op10_pii(spark, small).collect():

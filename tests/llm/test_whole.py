@@ -19,8 +19,11 @@ def test_piece_costs_against_brute_force(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     texts = ["the cat sat on the mat", "the cat sat on a hat, the cat", "Привет, мир! Привет", "on the mat sat the dog"]
     rows = spark.createDataFrame([(k, t, k < 3) for k, t in enumerate(texts)], "key long, text string, trusted boolean")
-    model = pieces.fit(rows.where("trusted"), path)
-    got = {r["key"]: (r["bits"], r["pieces"]) for r in pieces.bits(rows, model, path).collect()}
+    model = pieces.fit(rows.where("trusted"), path, 5)
+    assert len(model["hot"]) > 0
+    got = {r["key"]: (r["bits"], r["pieces"]) for r in pieces.bits(rows, model, path, 5).collect()}
+    cold = model | {"hot": model["hot"][::2], "hot_counts": model["hot_counts"][::2]}  # what isn't hot goes by its bucket
+    assert {r["key"]: (pytest.approx(r["bits"], rel=1e-6), r["pieces"]) for r in pieces.bits(rows, cold, path, 3).collect()} == got
     found = [pieces.pairs_of(x).tolist() for x in pieces.Ids(path)(texts)]
     counts = collections.Counter(p for f in found[:3] for p in f)
     tally = lambda c: pieces.discounts([sum(n == k for n in c.values()) for k in (1, 2, 3, 4)])
