@@ -84,7 +84,7 @@ def deal(docs: DataFrame, path: str, buckets: int, *, merged: bool = False, shar
     A row without pairs holds the lot's keys, numbers of pieces and, if a model
     is shared, what hot pairs come to.  If merged, a lot is taken as one document.
     """
-    fast = same_ids(path)
+    fast = same_ids(docs.sparkSession, path)
 
     def lot(number: int, keys: list[int], trusted: list[bool], pairs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32 | number
