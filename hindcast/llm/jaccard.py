@@ -15,9 +15,8 @@ one document of each set (copies of a set are one node throughout).
 First each document is compared with its hub, of those it shares prefix shingles
 with the one that shares most with others, and with its root, where following hubs
 ends; the documents of one root are a family, and in a family one more is chosen by
-the differences from the root.  What
-that links is merged; after that only pairs across merged components can add
-anything, and all of those are compared.  Across families they come from shared
+the differences from the root.  What that links is merged; after that only pairs
+across merged components can add anything, and all of those are compared.  Across families they come from shared
 prefix shingles.  In a family nearly all would share the root's shingles, so there
 the filter runs over what tells members from the root: two members that are
 similar either both link with the root, or share enough of those tokens.
@@ -198,15 +197,20 @@ def _side_by_side(pairs: DataFrame, docs: DataFrame, n: int, payload: Callable,
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), carried)], schema=carried)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, own = None, []
+        at, own, met, seen = None, {}, None, set()
         for batch in text_rows(batches, 512):
             found = []
             for a, lot, role, b, kind, s in zip(*(c.to_pylist() for c in batch.columns)):
-                s = np.frombuffer(s, dtype=kind)
+                if met != (a, lot, role, b):
+                    met, seen = (a, lot, role, b), set()
+                if s in seen:
+                    continue  # a repeated row
+                seen.add(s)
                 if role == 0:
-                    at, own = (a, lot), [*(own if at == (a, lot) else []), s]
+                    at, own = (a, lot), {**(own if at == (a, lot) else {}), s: np.frombuffer(s, dtype=kind)}
                 elif at == (a, lot):
-                    found += [row for mine in own for row in judge(a, b, mine, s)]
+                    other = np.frombuffer(s, dtype=kind)
+                    found += [row for mine in own.values() for row in judge(a, b, mine, other)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*found), arrow)], schema=arrow)
 
@@ -292,15 +296,15 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     first = sizes.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("node"))
     nodes = durable(sizes.where("n > 0").join(first, ["n", "s1", "s2"]).select("doc", "node").distinct())
     only = nodes.where("doc = node").select("doc")
-    copies = durable(nodes.groupBy("doc").agg(F.bool_or(F.col("doc") == F.col("node")).alias("own")).where("not own").select("doc"))
+    odd = durable(nodes.groupBy("doc").agg(F.bool_or(F.col("doc") == F.col("node")).alias("own"), F.min("node").alias("a"), F.max("node").alias("most")).where("not own or a <> most"))
+    copies, several = odd.where("not own").select("doc"), odd.where("a <> most").select("doc", "a")
     few = copies.count() <= BROADCAST_IDS
     arrow = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("w", pa.int64()), ("p1", pa.list_(pa.int64())), ("p2", pa.list_(pa.int32()))])
     sets = _over(docs.join(F.broadcast(copies), "doc", "left_anti") if few else docs, prefix_rows, "doc long, n long, w long, p1 array<long>, p2 array<int>", arrow)
     sets = durable(sets if few else sets.join(copies, "doc", "left_anti"))
 
-    # A doc_id with several texts is one node: the nodes of its texts are linked.
-    texts = nodes.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a <> most").join(nodes, "doc")
-    links = texts.select("a", F.col("node").alias("b")).where("a <> b")
+    # A doc_id with several texts is one node: the nodes of its texts are linked.  It is in no family.
+    links = several.join(nodes, "doc").select("a", F.col("node").alias("b")).where("a <> b")
 
     tokens = sets.select("doc", F.explode("p1").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
@@ -330,6 +334,8 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     for _ in range(JUMPS):
         roots = durable(roots.join(roots.select(F.col("a").alias("b"), F.col("b").alias("further")), "b", "left").select("a", F.coalesce("further", "b").alias("b")))
     pairs = roots.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))
+    for c in ("a", "b"):
+        pairs = pairs.join(several.select(F.col("doc").alias(c)), c, "left_anti")
     members = durable(_members(pairs, docs, n, percent))
     near = members.where("tokens is not null")
     family = near.select(F.col("b").alias("doc"), F.col("a").alias("family")).union(near.select(F.col("a").alias("doc"), F.col("a").alias("family"))).distinct()
@@ -349,8 +355,8 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     part = durable(part.select("doc", F.coalesce("component", "doc").alias("part"), F.coalesce("family", "doc").alias("family")))
 
     mixed = durable(rows.drop("w").join(part, "doc"))
-    several = mixed.groupBy("token").agg(*[f(c).alias(f"{k}_{c}") for c in ("part", "family") for k, f in (("least", F.min), ("most", F.max))])
-    mixed = mixed.join(several.where("least_part <> most_part and least_family <> most_family").select("token"), "token", "left_semi")
+    across = mixed.groupBy("token").agg(*[f(c).alias(f"{k}_{c}") for c in ("part", "family") for k, f in (("least", F.min), ("most", F.max))])
+    mixed = mixed.join(across.where("least_part <> most_part and least_family <> most_family").select("token"), "token", "left_semi")
 
     def sides(df: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
         return tuple(df.select(*on, *(F.col(c).alias(f"{c}_{k}") for c in df.columns if c not in on)) for k in ("x", "y"))

@@ -38,8 +38,6 @@ from hindcast.llm.common import durable, fold, text_rows
 WORD = re.compile(r"[^\W\d_]+")
 #: Hashed feature weights per language.
 FEATURES = 1 << 16
-#: Words whose lexicon entry is kept, most frequent first.
-LEXICON = 50_000
 BLOCK = 32
 CHAIN = 64
 SHARDS = 8
@@ -207,8 +205,11 @@ def chains_of(docs: list[tuple[str, int]], seed: int) -> list[tuple[list[str], n
     return [(words[k : k + CHAIN], np.array(labels[k : k + CHAIN])) for k in range(0, len(words) - CHAIN + 1, CHAIN)]
 
 
-def fit(docs: DataFrame, *, per_language: int = 400, rounds: int = 2, epochs: int = 2, rate: float = 0.2) -> dict:
-    """Arrays of the model and its languages, learnt from (doc_id, text, lang) of documents that aren't held out."""
+def fit(docs: DataFrame, *, per_language: int = 400, lexicon_words: int = 50_000, lexicon_least: int = 3, rounds: int = 2, epochs: int = 2, rate: float = 0.2) -> dict:
+    """Arrays of the model and its languages, learnt from (doc_id, text, lang) of documents that aren't held out.
+
+    The lexicon has the `lexicon_words` most frequent words of the sample that it holds `lexicon_least` times.
+    """
     known = docs.select(F.col("doc_id").cast("long"), "text", "lang").where("doc_id is not null and text is not null and lang is not null").where(fold() != 2)
     totals = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     ids = known.select("doc_id", "lang").join(F.broadcast(totals), "lang")  # a row per language
@@ -235,7 +236,7 @@ def fit(docs: DataFrame, *, per_language: int = 400, rounds: int = 2, epochs: in
     spread = sample.repartition(SHARDS, "doc_id")
     per_word = spread.mapInArrow(count, "word string, lang string, n long").groupBy("word", "lang").agg(F.sum("n").alias("n"))
     per_word = per_word.groupBy("word").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("lang", F.struct("n", "lang")).alias("lang"))
-    entries = per_word.where("n >= 3").orderBy(F.desc("n"), "word").limit(LEXICON).collect()
+    entries = per_word.where(F.col("n") >= lexicon_least).orderBy(F.desc("n"), "word").limit(lexicon_words).collect()
     lexicon = {r["word"]: number[r["lang"]] * 4 + min(3, int(4 * r["most"] / r["n"]) if r["most"] < r["n"] else 3) for r in entries}
 
     state = {"weights": np.zeros((FEATURES, L)), "moves": np.zeros((L, L)), "begin": np.zeros(L)}

@@ -8,7 +8,8 @@ import random
 import numpy as np
 import pytest
 
-from hindcast.llm import licenses, pieces, quality
+import corpus_pipeline
+from hindcast.llm import jaccard, language, licenses, line_dedup, ogg, packing, pieces, pii, quality, tiling, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -73,3 +74,59 @@ def test_licenses_of_one_file_do_not_hide_each_other(spark):
     out = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(rows).collect()}
     assert out[0] == ["apache-2.0", "bsd"] and out[1] == [] and out[3] == ["apache-2.0"] and out[23] == []
     assert set(out[2]) >= {n for n, _, _ in licenses.TEMPLATES}
+
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_empty_tables(spark):
+    import public_tokenizers
+
+    docs, labels = spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)
+    bench = spark.createDataFrame([], "item_id long, text string")
+    assert line_dedup.line_dedup(docs).count() == 0 == quality.judge(docs, labels).count()
+    assert language.predict(docs, language.fit(docs)).count() == 0 == toxicity.score_documents(docs, toxicity.fit(docs, labels)).count()
+    assert ogg.from_media(ogg.to_media(docs)).count() == 0 == jaccard.jaccard_components(docs).count() == licenses.scan_licenses(docs).count() == pii.find_pii(docs).count()
+    assert tiling.contaminated(docs, bench).count() == 0 == packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).count()
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Null and repeated ids, null and empty texts, and columns of other names; then no rows at all."""
+    text = " ".join(f"word{k % 31} of{k % 7} text{k % 11}" for k in range(60))
+    rows = [(1, text), (1, text), (2, text), (None, text), (3, None), (4, ""), (5, " "), (6, text.upper() + " more"), (7, "one")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1, 9) for d, t in rows], DOCS + ", token long")
+    bench = spark.createDataFrame([(1, "nothing like that stands here at all"), (None, "x"), (2, None)], "item_id long, text string")
+    for name, d in (("some", docs), ("none", docs.where("false"))):
+        d.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 1)], LABELS).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        bench.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.run(spark, f"{tmp_path}/some").collect()}
+    assert 1 in kept and None in kept and 2 not in kept and 6 not in kept
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_jaccard_families_against_brute_force(spark):
+    """Two families of near copies of one text and of its half, and a doc_id with texts of both: links between them count too."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(900)]
+    base = [rng.choice(words) for _ in range(80)]
+    texts = []
+    for k in range(160):
+        t = list(base if k % 2 else base[:44])
+        for _ in range(rng.randrange(0, 5)):
+            at = rng.randrange(len(t))
+            t[at : at + 1] = rng.choice([[], [rng.choice(words[:5])], [t[at], "plus"]])
+        texts.append((k if k % 40 else 0, " ".join(t)))
+    out = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(spark.createDataFrame([(d, t, "en", "s", 1) for d, t in texts], DOCS), n=4, percent=85).collect()}
+    sets = [(d, {tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)}) for d, t in texts]
+    root = {d: d for d, _ in texts}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if 100 * len(x & y) >= 85 * len(x | y) and find(a) != find(b):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    assert out == {d: find(d) for d in root} and len(set(out.values())) > 20
