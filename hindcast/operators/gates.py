@@ -74,7 +74,7 @@ def valid_location(df: DataFrame, x: str, z: str) -> DataFrame:
 
 def map_outcome(df: DataFrame, mapping: DataFrame, code: str, cls: str = "cls") -> DataFrame:
     """Source codes to classes; the closed mapping is a small table, and what it lacks is 'unmapped'."""
-    return df.join(F.broadcast(mapping), code, "left").withColumn(cls, F.coalesce(F.col(cls), F.lit("unmapped")))
+    return df.join(mapping, code, "left").withColumn(cls, F.coalesce(F.col(cls), F.lit("unmapped")))
 
 
 def team_perspective(games: DataFrame) -> DataFrame:

@@ -53,12 +53,12 @@ def horizon_rows(logs: DataFrame, ts: str, days: int) -> DataFrame:
 
 def join_horizon(logs: DataFrame, anchors: DataFrame, ts: str, days: int) -> DataFrame:
     """Log rows with the anchors (a table of Mondays, named anchor) they fall under: an equi join, not a range join."""
-    return horizon_rows(logs, ts, days).join(F.broadcast(anchors.select("anchor").distinct()), "anchor")  # Mondays: a few hundred
+    return horizon_rows(logs, ts, days).join(anchors.select("anchor").distinct(), "anchor")
 
 
 def join_rest_of_season(logs: DataFrame, anchors: DataFrame, ts: str, season: str, end: str) -> DataFrame:
     """Logs on or after an anchor and before its season's end; anchors has (season, anchor, end)."""
-    both = logs.join(F.broadcast(anchors), season)  # Mondays and season ends: a few hundred
+    both = logs.join(anchors, season)
     return both.where((F.col(ts) >= F.col("anchor")) & (F.col(ts) < F.col(end)))
 
 
@@ -75,7 +75,7 @@ def join_panel(players: DataFrame, anchors: DataFrame) -> DataFrame:
 
 def join_season_rules(df: DataFrame, rules: DataFrame, on: Sequence[str]) -> DataFrame:
     """Adds the rule version of the season; rules has a row per season and version."""
-    return df.join(F.broadcast(rules), list(on), "left")
+    return df.join(rules, list(on), "left")
 
 
 def join_participants(pa: DataFrame, keys: Sequence[str], order: Column, who: str) -> DataFrame:

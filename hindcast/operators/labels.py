@@ -35,7 +35,7 @@ def label_state(panel: DataFrame, sums: DataFrame, complete: DataFrame, key: Seq
     (complete without a row, or a sum of zero), confirmed.  The value is null
     unless it is confirmed.
     """
-    rows = panel.join(sums.select(*key, F.col(value).alias("__sum")), list(key), "left").join(F.broadcast(complete), "anchor", "left")  # a row per Monday
+    rows = panel.join(sums.select(*key, F.col(value).alias("__sum")), list(key), "left").join(complete, "anchor", "left")
     state = (F.when(F.col("anchor") >= season_end, "out of scope")
              .when(horizon_end(F.col("anchor"), days) > as_of, "undetermined")
              .when(~F.coalesce("is_complete", F.lit(False)), "unobserved")

@@ -14,13 +14,13 @@ def regular_title(standings: DataFrame) -> DataFrame:
 
 def postseason_entry(standings: DataFrame, rules: DataFrame) -> DataFrame:
     """Teams whose rank qualifies under their season's rule; rules has (season, slots)."""
-    return standings.join(F.broadcast(rules), "season").where(F.col("rank") <= F.col("slots"))  # a row per season
+    return standings.join(rules, "season").where(F.col("rank") <= F.col("slots"))
 
 
 def series_result(games: DataFrame, rules: DataFrame) -> DataFrame:
     """Wins per (series, team) and whether the target of the series' stage is reached; games has (series, stage, team, won)."""
     wins = games.groupBy("series", "stage", "team").agg(F.sum(F.col("won").cast("int")).cast("long").alias("wins"))
-    return wins.join(F.broadcast(rules), "stage").withColumn("is_winner", F.col("wins") >= F.col("target"))
+    return wins.join(rules, "stage").withColumn("is_winner", F.col("wins") >= F.col("target"))
 
 
 def final_champion(series: DataFrame, stage: str) -> DataFrame:

@@ -73,7 +73,7 @@ def calibrate_bins(calib: DataFrame, preds: DataFrame, p: str, y: str, n: int) -
     """Replaces forecasts by the observed rate of their bin in an earlier slice; empty bins keep the forecast."""
     b = F.least(F.floor(F.col(p) * n), F.lit(n - 1)).cast("long")
     rates = calib.groupBy(b.alias("bin")).agg(F.avg(F.col(y).cast("double")).alias("rate"))
-    return preds.withColumn("bin", b).join(F.broadcast(rates), "bin", "left").withColumn("calibrated", F.coalesce("rate", p)).drop("rate")  # n rows
+    return preds.withColumn("bin", b).join(rates, "bin", "left").withColumn("calibrated", F.coalesce("rate", p)).drop("rate")  # n rows
 
 
 def test_lock_audit(run_ledger: DataFrame, test_ids: DataFrame, key: str) -> DataFrame:
