@@ -64,7 +64,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages; what each returns is written to the shared folder and read again."""
+    """All stages; what each returns is written to the shared folder, read again, and deleted when the next is written."""
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-pipeline-")
     folder = f"{base}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -73,4 +73,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{k - 1}")
+                done.getFileSystem(spark._jsc.hadoopConfiguration()).delete(done, True)
     return docs
