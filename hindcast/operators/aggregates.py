@@ -89,11 +89,25 @@ def joint_rate(train: DataFrame, a: str, b: str) -> DataFrame:
     return train.groupingSets([[a, b], [a], [b], []], a, b).agg(n_rows(), F.grouping_id().cast("long").alias("grouping"))
 
 
-def run_expectancy(train: DataFrame, state: Sequence[str], rem: str, min_n: int) -> DataFrame:
-    """Mean runs to come per state; states with fewer than min_n rows take the overall mean."""
-    cells = train.groupBy(*state).agg(n_rows(), F.avg(rem).alias("own"))
-    overall = train.agg(F.avg(rem).alias("overall"))
-    return cells.crossJoin(overall).select(*state, "n", F.when(F.col("n") >= min_n, F.col("own")).otherwise(F.col("overall")).alias("expected"))
+def mean_with_back_off(train: DataFrame, state: Sequence[str], y: str, min_n: int, coarser: Sequence[Sequence[str]], name: str) -> DataFrame:
+    """Mean of y per state; one with fewer than min_n rows takes the mean of the first coarser level that has them, at last of all rows.
+
+    coarser goes from finer to coarser subsets of the state's columns.  One fine
+    aggregate is made; the levels are sums of it.  A null is a value of its own.
+    """
+    fine = train.groupBy(*state).agg(n_rows(), F.sum(y).alias("sum"), F.count(y).alias("known"))
+    out, value = fine, F.when(F.col("n") >= min_n, F.col("sum") / F.nullif("known", F.lit(0)))
+    for i, cols in enumerate(coarser):
+        level = fine.groupBy(*cols).agg(F.sum("n").alias(f"n{i}"), (F.sum("sum") / F.nullif(F.sum("known"), F.lit(0))).alias(f"m{i}"))
+        out = _join_with_nulls(out, level, cols, "inner")
+        value = value.when(F.col(f"n{i}") >= min_n, F.col(f"m{i}"))
+    overall = fine.agg((F.sum("sum") / F.nullif(F.sum("known"), F.lit(0))).alias("overall"))  # one row
+    return out.crossJoin(overall).select(*state, "n", value.otherwise(F.col("overall")).alias(name))
+
+
+def run_expectancy(train: DataFrame, state: Sequence[str], rem: str, min_n: int, coarser: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """Mean runs to come per state; states with fewer than min_n rows back off."""
+    return mean_with_back_off(train, state, rem, min_n, coarser, "expected")
 
 
 def point_baseline(train: DataFrame, y: str, by: Sequence[str] = ()) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hindcast.operators.aggregates import mean_with_back_off
 from hindcast.operators.joins import join_boundary_pair
 
 
@@ -30,10 +31,9 @@ def expected_score(pmf: DataFrame, key: Sequence[str]) -> DataFrame:
     return pmf.groupBy(*key).agg(mean.alias("expected")).select(*key, "expected", F.floor(F.col("expected") + 0.5).cast("long").alias("score"), F.lit("mean_rounded").alias("rule"))
 
 
-def state_win_rate(train: DataFrame, state: Sequence[str], y: str, min_n: int) -> DataFrame:
-    """Mean win share per state; states with fewer than min_n rows take the overall mean."""
-    cells = train.groupBy(*state).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("own"))
-    return cells.crossJoin(train.agg(F.avg(y).alias("overall"))).select(*state, "n", F.when(F.col("n") >= min_n, F.col("own")).otherwise(F.col("overall")).alias("win_share"))
+def state_win_rate(train: DataFrame, state: Sequence[str], y: str, min_n: int, coarser: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """Mean win share per state; states with fewer than min_n rows back off."""
+    return mean_with_back_off(train, state, y, min_n, coarser, "win_share")
 
 
 def _pairs(states: DataFrame, game: str, order: Sequence[str], state: Sequence[str], extra: Sequence[str]) -> DataFrame:

@@ -96,6 +96,30 @@ def _(t):
     return aggregates.run_expectancy(t.state, ["state", "runner"], "rem", 1100)
 
 
+_LEVELS = """WITH s AS (SELECT state, nullif(runner, 2) AS runner, batter, {y} AS y FROM {{state}} JOIN (SELECT event_id, batter FROM {{pitch}}) USING (event_id)), f AS (SELECT state, runner, batter, count(*) AS n, avg(y) AS m FROM s GROUP BY ALL)
+ SELECT state::BIGINT AS state, runner::BIGINT AS runner, batter::BIGINT AS batter, n, round(CASE WHEN n >= {least} THEN m WHEN (SELECT count(*) FROM s WHERE s.state = f.state AND s.runner IS NOT DISTINCT FROM f.runner) >= {least} THEN (SELECT avg(y) FROM s WHERE s.state = f.state AND s.runner IS NOT DISTINCT FROM f.runner)
+  WHEN (SELECT count(*) FROM s WHERE s.state = f.state) >= {least} THEN (SELECT avg(y) FROM s WHERE s.state = f.state) ELSE (SELECT avg(y) FROM s) END, 6) AS {name} FROM f"""
+
+
+def _levels(t, y):
+    rows = t.state.join(t.pitch.select("event_id", "batter"), "event_id")
+    return rows.select("state", F.nullif(F.col("runner"), F.lit(2)).alias("runner"), "batter", y.alias("y"))
+
+
+@query("run_expectancy_levels", _LEVELS.format(y="rem", least=270, name="expected"))
+def _(t):
+    """State, runner and batter; then without the batter, then the state alone, then all."""
+    return aggregates.run_expectancy(_levels(t, F.col("rem")), ["state", "runner", "batter"], "y", 270, [["state", "runner"], ["state"]])
+
+
+@query("state_win_rate_levels", _LEVELS.format(y="CASE WHEN game_id % 2 = 0 THEN 1.0 ELSE 0.0 END", least=270, name="win_share"))
+def _(t):
+    from hindcast.operators import value
+
+    won = F.when(F.col("game_id") % 2 == 0, 1.0).otherwise(0.0)
+    return value.state_win_rate(_levels(t, won), ["state", "runner", "batter"], "y", 270, [["state", "runner"], ["state"]])
+
+
 @query("point_baseline", "SELECT season::BIGINT AS season, round(avg(home_runs), 6) AS mean, round(median(home_runs), 6) AS median FROM {final} GROUP BY 1")
 def _(t):
     return aggregates.point_baseline(t.final, "home_runs", ["season"])
