@@ -35,19 +35,19 @@ from hindcast.llm.common import durable, text_rows
 
 
 def unassigned() -> str:
-    """The code points without a fixed class, private and surrogate ones too, as ranges of a character class."""
-    odd = [unicodedata.category(chr(c)) in {"Cn", "Cs", "Co"} for c in range(sys.maxunicode + 1)]
-    ends = [c for c in range(sys.maxunicode + 2) if (c <= sys.maxunicode and odd[c]) != (c > 0 and odd[c - 1])]
-    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(ends[::2], ends[1::2]))
+    """The code points of the basic plane without a fixed class, private and surrogate ones too, as ranges of a character class."""
+    odd = [unicodedata.category(chr(c)) in {"Cn", "Cs", "Co"} for c in range(1 << 16)] + [False]
+    ends = [c for c in range(len(odd)) if odd[c] != (c > 0 and odd[c - 1])]
+    return "".join(f"\\u{a:04x}-\\u{b - 1:04x}" for a, b in zip(ends[::2], ends[1::2]))
 
 
 #: Encoded text runs kept by one Python worker before the cache is emptied.
 CACHE_RUNS = 500_000
 #: A blank and what follows it, or white space: the tokenizer never merges across these bounds.
 RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-#: Characters that Python and the tokenizer class differently as white space, and those that Unicode tables may differ on:
-#: texts with such go to the tokenizer as a whole.
-ODD = re.compile("[\x1c-\x1f\x85" + unassigned() + "]")
+#: Characters that Python and the tokenizer class differently as white space, and those that Unicode tables may differ on,
+#: with all beyond the basic plane: texts with such go to the tokenizer as a whole.
+ODD = re.compile("[\x1c-\x1f\x85" + unassigned() + "\U00010000-\U0010ffff]")
 
 
 #: Fixed values of byte-level BPE: how texts are cut before merging.
