@@ -152,15 +152,18 @@ class Ids:
     """
 
     def __init__(self, path: str, fast: bool = False) -> None:
-        self.tokenizer = tokenizer_of(path)
+        self.path, self.tokenizer = path, None  # loaded when the first text needs it
         self.known: dict[str, bytes] = {}
         self.fast = rank_encoder(path) if fast else None
 
+    def slowly(self, texts: list[str]) -> list[bytes]:
+        self.tokenizer = self.tokenizer or tokenizer_of(self.path)
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.fast and sys.byteorder == "little" and array("I").itemsize == 4:
             return [array("I", self.fast(t)).tobytes() for t in texts]
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        return self.slowly(texts)
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > CACHE_RUNS:
@@ -170,7 +173,7 @@ class Ids:
         new = list({r for rs in runs if rs for r in rs if r not in known})
         known.update(zip(new, self.encode(new), strict=True))
         for t, rs in zip(texts, runs, strict=True):
-            yield self.encode([t])[0] if rs is None else b"".join(map(known.__getitem__, rs))
+            yield self.slowly([t])[0] if rs is None else b"".join(map(known.__getitem__, rs))
 
 
 class Windows:

@@ -40,7 +40,7 @@ PAIR = 1 << 40
 BUCKETS, BUCKET_BYTES = 48, 1 << 25
 HOT = 1 << 16
 #: Pieces, and documents, whose pairs are summed at once by a task.
-LOT, LOT_DOCS = 3_000_000, 60_000
+LOT, LOT_DOCS = 2_000_000, 60_000
 SUMS = pa.schema([("lot", pa.int64()), ("keys", pa.list_(pa.int64())), ("pieces", pa.list_(pa.int32())), ("sums", pa.binary())])
 PARTS = "bucket int, lot long, keys array<long>, pieces array<int>, trusted binary, pairs binary, docs binary, times binary, sums binary"
 
@@ -90,8 +90,14 @@ def deal(docs: DataFrame, path: str, buckets: int, *, merged: bool = False, shar
         number = TaskContext.get().partitionId() << 32 | number
         if merged:
             keys, trusted, pairs = keys[:1], trusted[:1], [np.concatenate(pairs)]
-        code = np.concatenate(pairs).astype(np.uint64) << np.uint64(16) | np.repeat(np.arange(len(keys), dtype=np.uint64), [len(p) for p in pairs])
-        code, times = np.unique(code, return_counts=True)
+        sizes = [len(p) for p in pairs]
+        code = np.concatenate(pairs).astype(np.uint64)
+        pairs.clear()
+        code <<= np.uint64(16)
+        code |= np.repeat(np.arange(len(keys), dtype=np.uint16), sizes)
+        code.sort()
+        first = np.flatnonzero(np.append(True, code[1:] != code[:-1])).astype(np.int32)
+        code, times = code[first], np.diff(np.append(first, np.int32(len(code))))
         pair, doc = (code >> np.uint64(16)).astype(np.uint32), code.astype(np.uint16)
         flags, rows = np.packbits(np.array(trusted, dtype=bool)).tobytes(), []
         if not merged:
@@ -103,7 +109,7 @@ def deal(docs: DataFrame, path: str, buckets: int, *, merged: bool = False, shar
                 own = np.where(np.array(trusted, dtype=bool)[doc[met]], times[met], 0)
                 sums = _document_sums(shared.value, pair[met], counts[at[met]], own, doc[met], times[met])
                 pair, doc, times = pair[~met], doc[~met], times[~met]
-            rows.append((number % buckets, number, keys, [len(p) for p in pairs], flags, None, None, None, sums))
+            rows.append((number % buckets, number, keys, sizes, flags, None, None, None, sums))
         bucket = bucket_of(pair, buckets)
         order = np.argsort(bucket, kind="stable")
         for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
