@@ -112,7 +112,7 @@ def _survey(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
             signed = [pa.array(np.array([xxhash.xxh3_64_intdigest(s.tobytes(), k) for s in sets], dtype=np.uint64).view(np.int64)) for k in (1, 2)]
             none = [pa.nulls(len(sets), t) for t in (pa.int32(), pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), *signed, *none], schema=arrow)
-        chunks = [(k, c.tobytes()) for k, c in enumerate(counts.reshape(-1, CHUNK)) if c.any()]
+        chunks = [(k, pa.compress(c.tobytes(), codec="zstd", asbytes=True)) for k, c in enumerate(counts.reshape(-1, CHUNK)) if c.any()]  # sparse ones are small
         if chunks:
             none = [pa.nulls(len(chunks), pa.int64()) for _ in range(4)]
             yield pa.RecordBatch.from_arrays([*none, pa.array([c[0] for c in chunks], pa.int32()), pa.array([c[1] for c in chunks], pa.binary())], schema=arrow)
@@ -121,7 +121,7 @@ def _survey(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
         totals: dict[int, np.ndarray] = {}
         for b in batches:
             for chunk, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                c = np.frombuffer(c, dtype=np.int32 if len(c) == 4 * CHUNK else np.int64)
+                c = np.frombuffer(pa.decompress(c, 4 * CHUNK, codec="zstd", asbytes=True), dtype=np.int32)
                 totals[chunk] = totals.get(chunk, 0) + c.astype(np.int64)
         if totals:
             yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())], names=["chunk", "counts"])
@@ -332,7 +332,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     # A hub's shingles are shared more than those of what it is the hub of, so the way from hub to hub ends, at the root of a family.
     roots = hubs
     for _ in range(JUMPS):
-        roots = durable(roots.join(roots.select(F.col("a").alias("b"), F.col("b").alias("further")), "b", "left").select("a", F.coalesce("further", "b").alias("b")))
+        roots = roots.join(roots.select(F.col("a").alias("b"), F.col("b").alias("further")), "b", "left").select("a", F.coalesce("further", "b").alias("b"))
     pairs = roots.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))
     for c in ("a", "b"):
         pairs = pairs.join(several.select(F.col("doc").alias(c)), c, "left_anti")
@@ -348,8 +348,8 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     stars = inner.select(F.col("doc").alias("a"), "b").union(hubs.select("a", "b"))
     tried = ordered(members.select("a", "b"))
     stars = durable(ordered(stars).join(tried, ["a", "b"], "left_anti"))
-    tried = durable(tried.union(stars))
-    links = durable(links.union(members.where("linked").select("a", "b")).union(verified(stars)))
+    tried = tried.union(stars)
+    links = links.union(members.where("linked").select("a", "b")).union(verified(stars))
 
     part = only.join(components(spark, links).withColumnRenamed("id", "doc"), "doc", "left").join(family, "doc", "left")
     part = durable(part.select("doc", F.coalesce("component", "doc").alias("part"), F.coalesce("family", "doc").alias("family")))
