@@ -14,14 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindcast.llm import jaccard, line_dedup, quality, tiling
+from hindcast.llm.common import durable
 from hindcast.llm.packing import pack_documents
 
+#: Ids of documents to leave out that may be broadcast (8 bytes each); more of them are shuffled, with the texts.
+BROADCAST_IDS = 2_000_000
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs but those whose doc_id is in gone."""
+    gone = durable(gone.select("doc_id").distinct())
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity or repeats exceed their language's limit go."""
     found = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rejected = found.groupBy("doc_id").agg(F.bool_or("keep").alias("keep")).where("not keep").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti")
+    return without(docs, found.groupBy("doc_id").agg(F.bool_or("keep").alias("keep")).where("not keep"))
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,14 +43,12 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a similarity of 0.8 over five-word shingles the one with the smallest id stays."""
     found = jaccard.jaccard_components(docs, n=5, percent=80)
-    gone = found.where("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    return without(docs, found.where("component_id <> doc_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover a benchmark item go."""
-    found = tiling.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    return without(docs, tiling.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
