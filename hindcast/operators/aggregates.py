@@ -110,21 +110,34 @@ def run_expectancy(train: DataFrame, state: Sequence[str], rem: str, min_n: int,
     return mean_with_back_off(train, state, rem, min_n, coarser, "expected")
 
 
-def point_baseline(train: DataFrame, y: str, by: Sequence[str] = ()) -> DataFrame:
-    return train.groupBy(*by).agg(F.avg(y).alias("mean"), F.median(y).alias("median"))
+def point_baseline(train: DataFrame, y: str, by: Sequence[str] = (), accuracy: int | None = None) -> DataFrame:
+    """Mean and median of the training rows.
+
+    The exact median holds a group's values in one task.  With `accuracy` it comes from a mergeable quantile sketch:
+    partial sketches are merged, none larger than about `accuracy` entries, and its rank is off by 1 in `accuracy` at most.
+    """
+    middle = F.median(y) if accuracy is None else F.percentile_approx(y, 0.5, accuracy)
+    return train.groupBy(*by).agg(F.avg(y).alias("mean"), middle.cast("double").alias("median"))
 
 
 def rate_per_exposure(hist: DataFrame, expo: DataFrame, key: str, count: str, exposure: str) -> DataFrame:
-    """Count per unit of past exposure times the expected exposure."""
-    past = hist.groupBy(key).agg(F.sum(count).alias("c"), F.sum(exposure).alias("e"))
-    return past.join(expo, key).select(key, (F.try_divide(F.col("c").cast("double"), F.col("e").cast("double")) * F.col("expected_exposure")).alias("expected"))
+    """Count per unit of past exposure times the expected exposure, for every key with an expected exposure.
+
+    reason says why there is none: no history, or no exposure in it.
+    """
+    past = hist.groupBy(key).agg(F.sum(count).alias("c"), F.sum(exposure).alias("e"), F.lit(True).alias("known"))
+    rate = F.try_divide(F.col("c").cast("double"), F.col("e").cast("double"))
+    reason = F.when(F.col("known").isNull(), "no history").when(rate.isNull(), "no exposure")
+    return expo.join(past, key, "left").select(key, (rate * F.col("expected_exposure")).alias("expected"), reason.alias("reason"))
 
 
 def empirical_pmf(train: DataFrame, y: str, kmax: int) -> DataFrame:
-    """(k, n, p, cdf, is_tail) from training rows; kmax gathers what is above it and is marked as the tail."""
-    counts = train.groupBy(F.least(F.col(y), F.lit(kmax)).alias("k")).agg(n_rows())
-    total = counts.agg(F.sum("n").alias("total"))
-    rows = counts.crossJoin(total).withColumn("p", F.col("n") / F.col("total"))  # kmax + 1 rows
+    """(k, n, p, cdf, is_tail) for every k from 0 to kmax, those without a training row too; kmax gathers what is above it and is marked as the tail."""
+    counts = train.where(F.col(y).isNotNull()).groupBy(F.least(F.col(y), F.lit(kmax)).cast("long").alias("k")).agg(n_rows())
+    every = train.sparkSession.range(kmax + 1).select(F.col("id").alias("k"))
+    # kmax + 1 rows from here on; a constant key keeps them in one window.
+    rows = every.join(counts, "k", "left").select("k", F.coalesce("n", F.lit(0)).cast("long").alias("n")).withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(1))))
+    rows = rows.withColumn("p", F.try_divide(F.col("n"), F.col("total")))
     return rows.withColumn("cdf", F.sum("p").over(Window.partitionBy("total").orderBy("k"))).select("k", "n", "p", "cdf", (F.col("k") == kmax).alias("is_tail"))
 
 
@@ -146,8 +159,12 @@ def team_strength(team_games: DataFrame, cut: Column, date: str = "game_date") -
 
 
 def schedule_difficulty(schedule: DataFrame, strength: DataFrame) -> DataFrame:
-    """Mean strength of the opponents still to come; schedule has (team, opponent)."""
-    return schedule.join(strength.select(F.col("team").alias("opponent"), "win_share"), "opponent").groupBy("team").agg(n_rows("games"), F.avg("win_share").alias("difficulty"))
+    """Mean strength of the opponents still to come; schedule has (team, opponent).
+
+    rated is how many of the games have an opponent whose strength is known; the mean is over these.
+    """
+    both = schedule.join(strength.select(F.col("team").alias("opponent"), "win_share"), "opponent", "left")
+    return both.groupBy("team").agg(n_rows("games"), F.count("win_share").alias("rated"), F.avg("win_share").alias("difficulty"))
 
 
 def matchup_split(pa: DataFrame, by: Sequence[str], hit: str, exposure: str) -> DataFrame:

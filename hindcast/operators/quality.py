@@ -99,9 +99,10 @@ def qc_no_overlap(actual: DataFrame, remaining: DataFrame, key: str, ends: str,
 
 
 def qc_probability(df: DataFrame, key: Sequence[str], p: str = "p", tolerance: float = 1e-9) -> DataFrame:
-    """Keys whose probabilities leave [0, 1] or don't add up to 1."""
-    sums = df.groupBy(*key).agg(F.sum(p).alias("total"), F.min(p).alias("least"), F.max(p).alias("most"))
-    return sums.where((F.abs(F.col("total") - 1) > tolerance) | (F.col("least") < 0) | (F.col("most") > 1))
+    """Keys whose probabilities leave [0, 1], don't add up to 1, or are unknown."""
+    value = F.col(p).cast("double")
+    sums = df.groupBy(*key).agg(F.sum(p).alias("total"), F.min(p).alias("least"), F.max(p).alias("most"), F.count_if(value.isNull() | F.isnan(value)).alias("unknown"))
+    return sums.where((F.abs(F.col("total") - 1) > tolerance) | (F.col("least") < 0) | (F.col("most") > 1) | (F.col("unknown") > 0))
 
 
 def qc_joint_marginal(joint: DataFrame, marginal: DataFrame, key: Sequence[str], p: str = "p", tolerance: float = 1e-9) -> DataFrame:

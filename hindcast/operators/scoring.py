@@ -42,15 +42,19 @@ def joint_and_marginal_loss(joint: DataFrame, truth: DataFrame, key: Sequence[st
 
 
 def confusion(preds: DataFrame, truth: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Counts of true by likeliest class; of equally likely classes the first by name."""
-    best = preds.groupBy(*key).agg(F.min_by("cls", F.struct(-F.col("p"), "cls")).alias("predicted"))
-    return best.join(truth.select(*key, "truth"), list(key)).groupBy("truth", "predicted").agg(n_rows())
+    """Counts of true by likeliest class; of equally likely classes the first by name.
+
+    Every observed sample counts: without a forecast, or with none that has a probability, its predicted class is null.
+    Samples without a true class are not observed and count nowhere.
+    """
+    best = preds.where("p is not null").groupBy(*key).agg(F.min_by("cls", F.struct(-F.col("p"), "cls")).alias("predicted"))
+    return truth.select(*key, "truth").where("truth is not null").join(best, list(key), "left").groupBy("truth", "predicted").agg(n_rows())
 
 
 def class_report(conf: DataFrame) -> DataFrame:
-    """Precision, recall, F1 and support of each true or predicted class."""
+    """Precision, recall, F1 and support of each true or predicted class; a sample without a predicted class is in its true class's support only."""
     rows = conf.select(F.explode(F.array(F.struct(F.col("truth").alias("cls"), F.lit(True).alias("t")), F.struct(F.col("predicted").alias("cls"), F.lit(False).alias("t")))).alias("c"), "truth", "predicted", "n")
-    sums = rows.groupBy("c.cls").agg(
+    sums = rows.where("c.cls is not null").groupBy("c.cls").agg(
         F.sum(F.when(F.col("c.t") & (F.col("truth") == F.col("predicted")), F.col("n")).otherwise(0)).alias("tp"),
         F.sum(F.when(F.col("c.t"), F.col("n")).otherwise(0)).alias("support"), F.sum(F.when(~F.col("c.t"), F.col("n")).otherwise(0)).alias("predicted_n"))
     precision, recall = F.try_divide(F.col("tp"), F.col("predicted_n")), F.try_divide(F.col("tp"), F.col("support"))
@@ -63,21 +67,42 @@ def macro_f1(report: DataFrame) -> DataFrame:
 
 
 def accuracy(conf: DataFrame) -> DataFrame:
-    return conf.agg((F.sum(F.when(F.col("truth") == F.col("predicted"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy"), F.sum("n").alias("n"))
+    """Share of all observed samples whose predicted class is the true one; no forecast is no hit."""
+    return conf.agg((F.coalesce(F.sum(F.when(F.col("truth") == F.col("predicted"), F.col("n"))), F.lit(0)) / F.sum("n")).alias("accuracy"), F.sum("n").alias("n"))
+
+
+def _scored(truth: DataFrame, preds: DataFrame, key: Sequence[str], observed: Column, forecast: Column) -> DataFrame:
+    """Every sample of truth, with its forecast if it has one, and __state: scored, unforecast or unobserved."""
+    state = F.when(~observed, "unobserved").when(forecast, "scored").otherwise("unforecast")
+    return truth.join(preds, list(key), "left").withColumn("__state", state)
+
+
+def _states() -> list[Column]:
+    """n of the scored, and how many samples have no forecast, or no observation."""
+    state = F.col("__state")
+    return [F.count_if(state == "scored").alias("n"), F.count_if(state == "unforecast").alias("unforecast"), F.count_if(state == "unobserved").alias("unobserved")]
+
+
+def _where_scored(value: Column) -> Column:
+    return F.when(F.col("__state") == "scored", value)
 
 
 def mae_rmse(preds: DataFrame, truth: DataFrame, key: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Absolute and squared error of y_hat against y where both are known."""
-    e = F.col("y_hat") - F.col("y")
-    rows = truth.join(preds, list(key)).where("y is not null and y_hat is not null")
-    return rows.groupBy(*by).agg(n_rows(), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"))
+    """Absolute and squared error of y_hat against y where both are known, beside the samples without a forecast or an observation."""
+    rows = _scored(truth, preds, key, F.col("y").isNotNull(), F.col("y_hat").isNotNull())
+    e = _where_scored(F.col("y_hat") - F.col("y"))
+    return rows.groupBy(*by).agg(*_states(), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"))
 
 
 def ratio_mae(preds: DataFrame, truth: DataFrame, key: Sequence[str]) -> DataFrame:
-    """MAE of a ratio where its denominator isn't zero, with the denominators' sum and the share that could be scored."""
-    rows = truth.join(preds, list(key))
+    """MAE of a ratio where its denominator isn't zero, with these denominators' sum and the share of all samples that could be scored.
+
+    A ratio whose denominator is zero, or that is not known, is not observed.
+    """
     value = F.try_divide(F.col("num").cast("double"), F.col("den").cast("double"))
-    return rows.agg(F.avg(F.abs(F.col("y_hat") - value)).alias("mae"), F.sum("den").alias("den"), (F.count(value) / F.count(F.lit(1))).alias("coverage"))
+    rows = _scored(truth, preds, key, value.isNotNull(), F.col("y_hat").isNotNull())
+    return rows.agg(*_states(), F.avg(_where_scored(F.abs(F.col("y_hat") - value))).alias("mae"), F.sum(_where_scored(F.col("den"))).alias("den"),
+                    F.avg((F.col("__state") == "scored").cast("double")).alias("coverage"))
 
 
 def log_score_dist(pmf: DataFrame, truth: DataFrame, key: str, eps: float = 1e-12) -> DataFrame:
@@ -85,26 +110,44 @@ def log_score_dist(pmf: DataFrame, truth: DataFrame, key: str, eps: float = 1e-1
 
 
 def crps_discrete(pmf: DataFrame, truth: DataFrame, key: str) -> DataFrame:
-    """Mean over samples of the sum over k of (F(k) - 1[y <= k])^2."""
-    cdf = pmf.withColumn("cdf", F.sum("p").over(Window.partitionBy(key).orderBy("k")))
-    step = F.pow(F.col("cdf") - F.when(F.col("y") <= F.col("k"), 1.0).otherwise(0.0), F.lit(2))
-    return cdf.join(truth, key).groupBy(key).agg(F.sum(step).alias("crps")).agg(n_rows(), F.avg("crps").alias("crps"))
+    """Mean of the integral over x of (F(x) - 1[y <= x])^2, for pmfs (key, k, p) with any support.
+
+    F is a step function, so between two neighbours of the support the integral is the gap's length on each side
+    of y times a squared step: gaps in k cost no rows.  Below the support F is 0, above it 1: the tail rule, fixed
+    beforehand, is that mass which a pmf doesn't list stands at its greatest k (`unlisted` is its mean), and rows
+    with null k or p are not listed.  Samples without a pmf, or with unknown y, are counted, not scored.
+    """
+    steps = Window.partitionBy(key).orderBy("k")
+    k, nxt = F.col("k").cast("double"), F.col("__next").cast("double")
+    seen = (pmf.where("k is not null and p is not null").groupBy(key, "k").agg(F.sum("p").alias("p"))
+            .withColumn("cdf", F.sum("p").over(steps)).withColumn("__next", F.lead("k").over(steps)).withColumn("__first", F.row_number().over(steps) == 1))
+    rows = _scored(truth.select(key, F.col("y").cast("double").alias("y")), seen, [key], F.col("y").isNotNull(), F.col("k").isNotNull())
+    y = F.col("y")
+    before = F.greatest(F.lit(0.0), F.least(nxt, y) - k)  # of the gap [k, next), what lies below y
+    inside = before * F.pow("cdf", F.lit(2)) + (nxt - k - before) * F.pow(1 - F.col("cdf"), F.lit(2))
+    below = F.when(F.col("__first"), F.greatest(F.lit(0.0), k - y)).otherwise(0.0)
+    each = rows.groupBy(key, "y", "__state").agg(F.sum(below + F.when(nxt.isNull(), F.greatest(F.lit(0.0), y - k)).otherwise(inside)).alias("crps"), (1 - F.max("cdf")).alias("unlisted"))
+    return each.agg(*_states(), F.avg(_where_scored(F.col("crps"))).alias("crps"), F.avg(_where_scored(F.col("unlisted"))).alias("unlisted"))
 
 
 def interval_score(preds: DataFrame, truth: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Coverage and width of intervals (lo, hi)."""
-    rows = truth.join(preds, list(key)).where("y is not null")
-    return rows.agg(n_rows(), F.avg(F.col("y").between(F.col("lo"), F.col("hi")).cast("double")).alias("coverage"), F.avg(F.col("hi") - F.col("lo")).alias("width"))
+    """Coverage and width of the intervals (lo, hi) that are given, beside the samples without one; an interval without both ends is none."""
+    y, lo, hi = (F.col(c) for c in ("y", "lo", "hi"))
+    rows = _scored(truth, preds, key, y.isNotNull(), lo.isNotNull() & hi.isNotNull())
+    return rows.agg(*_states(), F.avg(_where_scored(y.between(lo, hi).cast("double"))).alias("coverage"), F.avg(_where_scored(hi - lo)).alias("width"))
 
 
-def location_error(preds: DataFrame, truth: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Per-axis MAE, mean and median distance where the truth is valid, the valid share and how many were left out."""
-    rows = truth.join(preds, list(key))
-    dx, dz = F.col("x_hat") - F.col("x"), F.col("z_hat") - F.col("z")
-    valid = F.col("x").isNotNull() & F.col("z").isNotNull()
-    d = F.when(valid, euclid(dx, dz))
-    return rows.agg(F.avg(F.when(valid, F.abs(dx))).alias("mae_x"), F.avg(F.when(valid, F.abs(dz))).alias("mae_z"), F.avg(d).alias("mean_distance"), F.median(d).alias("median_distance"),
-                    F.avg(valid.cast("double")).alias("valid_share"), F.count_if(~valid).alias("excluded"))
+def location_error(preds: DataFrame, truth: DataFrame, key: Sequence[str], accuracy: int | None = None) -> DataFrame:
+    """Per-axis MAE, mean and median distance where the truth is valid, the valid share, and how many are left out or have no forecast.
+
+    The median is exact and holds all distances in one task; with `accuracy` it is a mergeable sketch's, whose rank is off by 1 in `accuracy` at most.
+    """
+    rows = _scored(truth, preds, key, F.col("x").isNotNull() & F.col("z").isNotNull(), F.col("x_hat").isNotNull() & F.col("z_hat").isNotNull())
+    dx, dz = _where_scored(F.col("x_hat") - F.col("x")), _where_scored(F.col("z_hat") - F.col("z"))
+    d = euclid(dx, dz)
+    middle = F.median(d) if accuracy is None else F.percentile_approx(d, 0.5, accuracy)
+    return rows.agg(F.avg(F.abs(dx)).alias("mae_x"), F.avg(F.abs(dz)).alias("mae_z"), F.avg(d).alias("mean_distance"), middle.alias("median_distance"),
+                    F.avg((F.col("__state") != "unobserved").cast("double")).alias("valid_share"), F.count_if(F.col("__state") == "unobserved").alias("excluded"), F.count_if(F.col("__state") == "unforecast").alias("unforecast"))
 
 
 def lineup_hits(pred: DataFrame, actual: DataFrame, game: str, player: str, slot: str, position: str, starter: str) -> DataFrame:
@@ -165,8 +208,12 @@ def eval_record(metrics: DataFrame, ctx: Mapping[str, str]) -> DataFrame:
 
 
 def season_scores(outlook: DataFrame, actual: DataFrame, eps: float = 1e-12) -> DataFrame:
-    """Completed seasons only: MAE of wins and rank, Brier and log loss of entry."""
-    both = outlook.join(actual.where("completed"), ["season", "team"])
-    y = F.col("entered").cast("double")
-    return both.agg(n_rows(), F.avg(F.abs(F.col("wins_hat") - F.col("wins"))).alias("wins_mae"), F.avg(F.abs(F.col("rank_hat") - F.col("rank"))).alias("rank_mae"),
-                    F.avg(F.pow(F.col("p_entry") - y, F.lit(2))).alias("brier"), F.avg(F.when(F.col("entered"), neg_log(F.col("p_entry"), eps)).otherwise(neg_log(1 - F.col("p_entry"), eps))).alias("log_loss"))
+    """Completed seasons only: MAE of wins and rank, Brier and log loss of entry.
+
+    Teams without an outlook are counted and count as log_loss and brier_multi count a sample without a forecast: what
+    happened had no probability.  They have no error of wins or rank.
+    """
+    both = actual.where("completed").join(outlook, ["season", "team"], "left")
+    y, p = F.col("entered").cast("double"), F.coalesce("p_entry", 1 - F.col("entered").cast("double"))
+    return both.agg(n_rows(), F.count_if(F.col("p_entry").isNull()).alias("unforecast"), F.avg(F.abs(F.col("wins_hat") - F.col("wins"))).alias("wins_mae"), F.avg(F.abs(F.col("rank_hat") - F.col("rank"))).alias("rank_mae"),
+                    F.avg(F.pow(p - y, F.lit(2))).alias("brier"), F.avg(F.when(F.col("entered"), neg_log(p, eps)).otherwise(neg_log(1 - p, eps))).alias("log_loss"))

@@ -48,8 +48,14 @@ def lock_status(standings: DataFrame, remaining: DataFrame, slots: int) -> DataF
 
 
 def advance_probability(matchups: DataFrame, cond: DataFrame) -> DataFrame:
-    """Sum over opponents of the chance of the match-up times the chance to win it."""
-    return matchups.join(cond, ["team", "opponent"]).groupBy("team").agg(F.sum(F.col("p_meet") * F.col("p_win")).alias("p_advance"))
+    """Sum over opponents of the chance of the match-up times the chance to win it.
+
+    covered is the share of a team's possible match-ups whose outcome has a chance; only if all have one there is a sum.
+    """
+    rows = matchups.where("p_meet > 0").join(cond, ["team", "opponent"], "left")
+    out = rows.groupBy("team").agg(F.sum(F.col("p_meet") * F.col("p_win")).alias("p"), F.count_if(F.col("p_win").isNull()).alias("open"),
+                                   (F.coalesce(F.sum(F.when(F.col("p_win").isNotNull(), F.col("p_meet"))), F.lit(0.0)) / F.sum("p_meet")).alias("covered"))
+    return out.select("team", F.when(F.col("open") == 0, F.col("p")).alias("p_advance"), "covered")
 
 
 def outlook_from_draws(draws: DataFrame, slots: int, rule: Sequence[Column]) -> DataFrame:

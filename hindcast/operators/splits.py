@@ -14,7 +14,8 @@ def time_split(games: DataFrame, date: str, cuts: tuple[Column, Column]) -> Data
 
 
 def propagate_split(events: DataFrame, split: DataFrame, key: str = "game_id") -> DataFrame:
-    return events.join(split.select(key, "split"), key)
+    """Every event with its game's split; null where the game has none, so that a gap shows instead of shrinking the table."""
+    return events.join(split.select(key, "split"), key, "left")
 
 
 def purge_overlap(labels: DataFrame, cut: Column, label_end: str = "label_end") -> DataFrame:
@@ -83,7 +84,12 @@ def test_lock_audit(run_ledger: DataFrame, test_ids: DataFrame, key: str) -> Dat
 
 
 def leak_report(inputs: DataFrame, samples: DataFrame, key: str, event_ts: str, avail_ts: str) -> DataFrame:
-    """(cause, n_rows, n_samples) of input rows later than their sample's cutoff; samples has (key, cutoff)."""
-    cause = F.when(F.col(event_ts) >= F.col("cutoff"), "event").when(F.col(avail_ts).isNull(), "no evidence").when(F.col(avail_ts) > F.col("cutoff"), "availability")
-    bad = inputs.join(samples.select(key, "cutoff"), key).withColumn("cause", cause).where("cause is not null")
-    return bad.groupBy("cause").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_samples"))
+    """(cause, n_rows, n_samples) of input rows later than their sample's cutoff, or not known to be earlier; samples has (key, cutoff).
+
+    A row without evidence of its event time or availability, of a sample that isn't listed, or of one without a cutoff counts with that cause.
+    """
+    listed = samples.select(key, "cutoff", F.lit(True).alias("__listed"))
+    cause = (F.when(F.col("__listed").isNull(), "unknown sample").when(F.col("cutoff").isNull(), "no cutoff").when(F.col(event_ts).isNull(), "no event time")
+             .when(F.col(event_ts) >= F.col("cutoff"), "event").when(F.col(avail_ts).isNull(), "no evidence").when(F.col(avail_ts) > F.col("cutoff"), "availability"))
+    bad = inputs.join(listed, key, "left").withColumn("cause", cause).where("cause is not null")
+    return bad.groupBy("cause").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.struct(key)).alias("n_samples"))

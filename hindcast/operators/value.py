@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,34 +38,44 @@ def state_win_rate(train: DataFrame, state: Sequence[str], y: str, min_n: int, c
 
 
 def _pairs(states: DataFrame, game: str, order: Sequence[str], state: Sequence[str], extra: Sequence[str]) -> DataFrame:
+    """Each state and the next one; __ends where there is none: only that ends a part, an unknown state does not."""
     pairs = join_boundary_pair(states, game, order, state)
-    return pairs.select(game, *order, *extra, *[F.col(f"pre.{c}").alias(f"pre_{c}") for c in state], *[F.col(f"post.{c}").alias(f"post_{c}") for c in state])
+    return pairs.select(game, *order, *extra, F.col("post").isNull().alias("__ends"), *[F.col(f"pre.{c}").alias(f"pre_{c}") for c in state], *[F.col(f"post.{c}").alias(f"post_{c}") for c in state])
 
 
 def _valued(pairs: DataFrame, table: DataFrame, state: Sequence[str], value: str) -> DataFrame:
+    """Values of both states, from a table with a row per state; null columns of a state are a value of their own."""
     for side in ("pre", "post"):
-        pairs = pairs.join(table.select(*[F.col(c).alias(f"{side}_{c}") for c in state], F.col(value).alias(f"{side}_value")), [f"{side}_{c}" for c in state], "left")
-    return pairs
+        keys = [F.col(c).alias(f"__{c}") for c in state]
+        same = reduce(lambda a, b: a & b, [F.col(f"{side}_{c}").eqNullSafe(F.col(f"__{c}")) for c in state])
+        pairs = pairs.join(table.select(*keys, F.col(value).alias(f"{side}_value")), same, "left").drop(*[f"__{c}" for c in state])
+    return pairs.withColumn("post_value", F.when(~F.col("__ends"), F.col("post_value")))
 
 
 def wpa(states: DataFrame, wp: DataFrame, game: str, order: Sequence[str], state: Sequence[str]) -> DataFrame:
-    """Win value after minus before, for one fixed team; the last state of a game has no after and gives null."""
+    """Win value after minus before, for one fixed team; the last state of a game has no after and gives null, as does a state without a value."""
     out = _valued(_pairs(states, game, order, state, []), wp, state, "win_share")
     return out.select(game, *order, (F.col("post_value") - F.col("pre_value")).alias("wpa"))
 
 
 def run_value(states: DataFrame, re: DataFrame, part: str, order: Sequence[str], state: Sequence[str], runs: str) -> DataFrame:
-    """Change of run expectancy, plain and with the runs scored; after the end of a half inning the value is 0."""
+    """Change of run expectancy, plain and with the runs scored; after the end of a half inning the value is 0.
+
+    The end is where no state follows.  A state that follows but is unknown has the value of such states in re, and
+    none if re has none: then the change is null, not that of an ended half inning.
+    """
     out = _valued(_pairs(states, part, order, state, [runs]), re, state, "expected")
-    ends = F.lit(True)
-    for c in state:
-        ends &= F.col(f"post_{c}").isNull()
-    change = F.when(ends, 0.0).otherwise(F.col("post_value")) - F.col("pre_value")
+    change = F.when(F.col("__ends"), 0.0).otherwise(F.col("post_value")) - F.col("pre_value")
     return out.select(part, *order, change.alias("plain"), (change + F.col(runs)).alias("with_runs"))
 
 
 def leverage(trans: DataFrame, wp: DataFrame, state: str = "state") -> DataFrame:
-    """Expected absolute change of win value over a state's outcomes (state, next, p), relative to the mean of all states."""
-    rows = trans.join(wp.select(state, F.col("win_share").alias("now")), state).join(wp.select(F.col(state).alias("next"), F.col("win_share").alias("then")), "next")
-    swing = rows.groupBy(state).agg(F.sum(F.col("p") * F.abs(F.col("then") - F.col("now"))).alias("swing"))
-    return swing.crossJoin(swing.agg(F.avg("swing").alias("mean"))).select(state, "swing", F.try_divide("swing", "mean").alias("leverage"))  # one row
+    """Expected absolute change of win value over a state's outcomes (state, next, p), relative to the mean of all states.
+
+    covered is the share of the state's outcomes whose change has a value; only if all have one there is a swing, and only such states make the mean.
+    """
+    rows = trans.where("p > 0").join(wp.select(state, F.col("win_share").alias("now")), state, "left").join(wp.select(F.col(state).alias("next"), F.col("win_share").alias("then")), "next", "left")
+    change = F.abs(F.col("then") - F.col("now"))
+    sums = rows.groupBy(state).agg(F.sum(F.col("p") * change).alias("swing"), F.count_if(change.isNull()).alias("__open"), F.coalesce(F.sum(F.when(change.isNotNull(), F.col("p"))), F.lit(0.0)).alias("covered"), F.sum("p").alias("__p"))
+    swing = sums.select(state, F.when(F.col("__open") == 0, F.col("swing")).alias("swing"), (F.col("covered") / F.col("__p")).alias("covered"))
+    return swing.crossJoin(swing.agg(F.avg("swing").alias("mean"))).select(state, "swing", F.try_divide("swing", "mean").alias("leverage"), "covered")  # one row

@@ -125,10 +125,14 @@ def _(t):
     return aggregates.point_baseline(t.final, "home_runs", ["season"])
 
 
-@query("rate_per_exposure", "SELECT player_id, round(sum(hits) / sum(exposure) * (10 + player_id % 5), 6) AS expected FROM {log} GROUP BY player_id")
+@query("rate_per_exposure", """WITH h AS (SELECT player_id, sum(hits) AS c, sum(CASE WHEN player_id % 9 <> 2 THEN exposure ELSE 0 END) AS e FROM {log} WHERE player_id % 6 <> 1 GROUP BY 1)
+ SELECT p.player_id, round(c / nullif(e, 0) * (10 + p.player_id % 5), 6) AS expected, CASE WHEN h.player_id IS NULL THEN 'no history' WHEN e = 0 THEN 'no exposure' END AS reason
+ FROM (SELECT DISTINCT player_id FROM {log}) p LEFT JOIN h ON h.player_id = p.player_id""")
 def _(t):
+    """Some players have no history, some no exposure in it; all are there."""
     expo = t.log.select("player_id").distinct().withColumn("expected_exposure", 10 + F.col("player_id") % 5)
-    return aggregates.rate_per_exposure(t.log, expo, "player_id", "hits", "exposure")
+    hist = t.log.where("player_id % 6 <> 1").withColumn("exposure", F.when(F.col("player_id") % 9 != 2, F.col("exposure")).otherwise(0))
+    return aggregates.rate_per_exposure(hist, expo, "player_id", "hits", "exposure")
 
 
 @query("empirical_pmf", "SELECT k::BIGINT AS k, n, round(n / sum(n) OVER (), 6) AS p, round(sum(n) OVER (ORDER BY k) / sum(n) OVER (), 6) AS cdf, k = 5 AS is_tail FROM (SELECT least(home_runs, 5) AS k, count(*) AS n FROM {final} GROUP BY 1)")
@@ -136,6 +140,12 @@ def _(t):
     return aggregates.empirical_pmf(t.final, "home_runs", 5)
 
 
+@query("empirical_pmf_gaps", "SELECT k::BIGINT AS k, (SELECT count(*) FROM {final} WHERE home_runs IN (1, 6) AND least(home_runs * 2, 9) = k) AS n, round((SELECT count(*) FROM {final} WHERE home_runs IN (1, 6) AND least(home_runs * 2, 9) = k) / (SELECT count(*) FROM {final} WHERE home_runs IN (1, 6)), 6) AS p, round((SELECT count(*) FROM {final} WHERE home_runs IN (1, 6) AND least(home_runs * 2, 9) <= k) / (SELECT count(*) FROM {final} WHERE home_runs IN (1, 6)), 6) AS cdf, k = 9 AS is_tail FROM range(0, 10) r(k)")
+def _(t):
+    """Counts that training rows never show have probability 0, not no row."""
+    return aggregates.empirical_pmf(t.final.where("home_runs in (1, 6)").withColumn("y", F.col("home_runs") * 2), "y", 9)
+
+
 @query("independent_seasons", "SELECT home_team::BIGINT AS home_team, count(DISTINCT season) AS seasons, count(*) AS forecasts FROM {final} GROUP BY 1")
 def _(t):
     return aggregates.independent_seasons(t.final, ["home_team"])
@@ -154,9 +164,11 @@ def _(t):
     return aggregates.team_strength(t.team_game.where("status = 'F'"), cut())
 
 
-@query("schedule_difficulty", "WITH s AS (SELECT team, avg(CASE WHEN runs > allowed THEN 1.0 WHEN runs = allowed THEN 0.5 ELSE 0.0 END) AS w FROM {team_game} WHERE status = 'F' AND game_date < DATE '1998-01-01' GROUP BY 1) SELECT g.team::BIGINT AS team, count(*) AS games, round(avg(w), 6) AS difficulty FROM {team_game} g JOIN s ON s.team = g.opponent WHERE g.status = 'O' GROUP BY 1")
+@query("schedule_difficulty", """WITH s AS (SELECT team, avg(CASE WHEN runs > allowed THEN 1.0 WHEN runs = allowed THEN 0.5 ELSE 0.0 END) AS w FROM {team_game} WHERE status = 'F' AND game_date < DATE '1998-01-01' AND team <> 3 GROUP BY 1)
+ SELECT g.team::BIGINT AS team, count(*) AS games, count(w) AS rated, round(avg(w), 6) AS difficulty FROM {team_game} g LEFT JOIN s ON s.team = g.opponent WHERE g.status = 'O' GROUP BY 1""")
 def _(t):
-    return aggregates.schedule_difficulty(t.team_game.where("status = 'O'").select("team", "opponent"), aggregates.team_strength(t.team_game.where("status = 'F'"), cut()))
+    """One team has no history: games against it count as games, not as rated ones."""
+    return aggregates.schedule_difficulty(t.team_game.where("status = 'O'").select("team", "opponent"), aggregates.team_strength(t.team_game.where("status = 'F' and team <> 3"), cut()))
 
 
 @query("matchup_split", "SELECT player_id, role_id::BIGINT AS role_id, sum(hits)::BIGINT AS num, sum(exposure)::BIGINT AS den, round(sum(hits) / sum(exposure), 6) AS value, NULL::VARCHAR AS reason FROM {log} GROUP BY 1, 2")
@@ -351,10 +363,11 @@ def _(t):
     return splits.time_split(t.game, "game_date", cuts()).select("game_id", "split")
 
 
-@query("propagate_split", f"SELECT l_orderkey AS game_id, l_partkey, l_suppkey, {_SPLIT} AS split FROM {{lineitem}} JOIN {{game}} ON l_orderkey = game_id")
+@query("propagate_split", f"SELECT l_orderkey AS game_id, l_partkey, l_suppkey, {_SPLIT.replace('CASE', 'CASE WHEN l_orderkey % 10 = 4 THEN NULL', 1)} AS split FROM {{lineitem}} LEFT JOIN {{game}} ON l_orderkey = game_id")
 def _(t):
+    """Some games have no split: their events are there, without one."""
     rows = t.lineitem.select(F.col("l_orderkey").alias("game_id"), "l_partkey", "l_suppkey")
-    return splits.propagate_split(rows, splits.time_split(t.game, "game_date", cuts()))
+    return splits.propagate_split(rows, splits.time_split(t.game.where("game_id % 10 <> 4"), "game_date", cuts()))
 
 
 @query("purge_overlap", f"SELECT game_id, {_SPLIT} AS split FROM {{game}} WHERE game_date >= DATE '1998-01-01' OR game_date + 28 <= DATE '1998-01-01'")
@@ -418,7 +431,11 @@ def _(t):
     return splits.test_lock_audit(ledger, t.events.where("ts >= '2024-01-25'").select(F.col("event_id").alias("sample_id")), "sample_id")
 
 
-@query("leak_report", "WITH x AS (SELECT o_orderkey, CASE WHEN l_shipdate >= o_orderdate THEN 'event' WHEN l_quantity = 13 THEN 'no evidence' WHEN l_shipdate + INTERVAL 60 DAY > o_orderdate THEN 'availability' END AS cause FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey) SELECT cause, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_samples FROM x WHERE cause IS NOT NULL GROUP BY 1")
+@query("leak_report", """WITH x AS (SELECT l_orderkey, CASE WHEN o_orderkey IS NULL THEN 'unknown sample' WHEN o_orderkey % 17 = 0 THEN 'no cutoff' WHEN l_quantity = 7 THEN 'no event time' WHEN l_shipdate >= o_orderdate THEN 'event'
+   WHEN l_quantity = 13 THEN 'no evidence' WHEN l_shipdate + INTERVAL 60 DAY > o_orderdate THEN 'availability' END AS cause FROM {lineitem} LEFT JOIN {orders} ON l_orderkey = o_orderkey AND o_orderkey % 19 <> 1)
+ SELECT cause, count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_samples FROM x WHERE cause IS NOT NULL GROUP BY 1""")
 def _(t):
-    inputs = t.lineitem.select(F.col("l_orderkey").alias("sample_id"), F.col("l_shipdate").alias("event_ts"), F.when(F.col("l_quantity") != 13, F.col("l_shipdate") + F.expr("INTERVAL 60 DAYS")).alias("available_at"))
-    return splits.leak_report(inputs, t.orders.select(F.col("o_orderkey").alias("sample_id"), F.col("o_orderdate").alias("cutoff")), "sample_id", "event_ts", "available_at")
+    """Some inputs have no event time, some samples no cutoff, and some inputs no listed sample: none passes for clean."""
+    inputs = t.lineitem.select(F.col("l_orderkey").alias("sample_id"), F.when(F.col("l_quantity") != 7, F.col("l_shipdate")).alias("event_ts"), F.when(F.col("l_quantity") != 13, F.col("l_shipdate") + F.expr("INTERVAL 60 DAYS")).alias("available_at"))
+    samples = t.orders.where("o_orderkey % 19 <> 1").select(F.col("o_orderkey").alias("sample_id"), F.when(F.col("o_orderkey") % 17 != 0, F.col("o_orderdate")).alias("cutoff"))
+    return splits.leak_report(inputs, samples, "sample_id", "event_ts", "available_at")

@@ -92,6 +92,33 @@ def _(t):
     return scoring.accuracy(_conf(t))
 
 
+# Games without a forecast, written from the games' side: each counts, and none is right.
+_SOME = "(SELECT * FROM {preds} WHERE game_id % 6 <> 0)"
+_BEST = f"(SELECT f.game_id, f.truth, (SELECT p.cls FROM {_SOME} p WHERE p.game_id = f.game_id ORDER BY p.p DESC, p.cls LIMIT 1) AS predicted FROM {{final}} f)"
+
+
+def _conf_of_some(t):
+    return scoring.confusion(t.preds.where("game_id % 6 <> 0"), _truth(t), KEY)
+
+
+@query("confusion_missing", f"SELECT truth, predicted, count(*) AS n FROM {_BEST} GROUP BY 1, 2")
+def _(t):
+    return _conf_of_some(t)
+
+
+@query("class_report_missing", f"""WITH b AS {_BEST} SELECT c.cls, round((SELECT count(*) FROM b WHERE truth = c.cls AND predicted = c.cls) / nullif((SELECT count(*) FROM b WHERE predicted = c.cls), 0), 6) AS precision,
+ round((SELECT count(*) FROM b WHERE truth = c.cls AND predicted = c.cls) / (SELECT count(*) FROM b WHERE truth = c.cls), 6) AS recall,
+ round(2 * (SELECT count(*) FROM b WHERE truth = c.cls AND predicted = c.cls) / ((SELECT count(*) FROM b WHERE truth = c.cls) + (SELECT count(*) FROM b WHERE predicted = c.cls)), 6) AS f1,
+ (SELECT count(*) FROM b WHERE truth = c.cls) AS support FROM (SELECT DISTINCT truth AS cls FROM b) c""")
+def _(t):
+    return scoring.class_report(_conf_of_some(t))
+
+
+@query("accuracy_missing", f"SELECT round(avg(CASE WHEN predicted = truth THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n FROM {_BEST}")
+def _(t):
+    return scoring.accuracy(_conf_of_some(t))
+
+
 _WEEKS = "(SELECT player_id, CAST(date_trunc('week', day) AS DATE) AS anchor, sum(hits)::BIGINT AS hits, sum(outs)::BIGINT AS outs, sum(exposure)::BIGINT AS exposure FROM {log} GROUP BY 1, 2)"
 
 
@@ -99,16 +126,21 @@ def _weeks(t):
     return aggregates.horizon_counts(t.log, "ts", 7, ["player_id"], ["hits", "outs", "exposure"])
 
 
-@query("mae_rmse", f"SELECT anchor, count(*) AS n, round(avg(abs(player_id % 3 + 0.5 - hits)), 6) AS mae, round(sqrt(avg(power(player_id % 3 + 0.5 - hits, 2))), 6) AS rmse FROM {_WEEKS} GROUP BY 1")
+@query("mae_rmse", f"""WITH x AS (SELECT anchor, CASE WHEN player_id % 7 <> 3 THEN hits END AS y, CASE WHEN player_id % 5 <> 1 THEN player_id % 3 + 0.5 END AS f FROM {_WEEKS})
+ SELECT anchor, count(y + f) AS n, count(y) - count(y + f) AS unforecast, count(*) - count(y) AS unobserved, round(avg(abs(f - y)), 6) AS mae, round(sqrt(avg(power(f - y, 2))), 6) AS rmse FROM x GROUP BY 1""")
 def _(t):
+    """Some players have no forecast, and some no observed count."""
     w = _weeks(t)
-    return scoring.mae_rmse(w.select("player_id", "anchor", (F.col("player_id") % 3 + 0.5).alias("y_hat")), w.select("player_id", "anchor", F.col("hits").alias("y")), ["player_id", "anchor"], ["anchor"])
+    truth = w.select("player_id", "anchor", F.when(F.col("player_id") % 7 != 3, F.col("hits")).alias("y"))
+    return scoring.mae_rmse(w.where("player_id % 5 <> 1").select("player_id", "anchor", (F.col("player_id") % 3 + 0.5).alias("y_hat")), truth, ["player_id", "anchor"], ["anchor"])
 
 
-@query("ratio_mae", f"SELECT round(avg(abs(0.9 - hits / nullif(outs, 0))), 6) AS mae, sum(outs)::BIGINT AS den, round(count(*) FILTER (outs > 0) / count(*), 6) AS coverage FROM {_WEEKS}")
+@query("ratio_mae", f"""WITH x AS (SELECT *, outs <> 0 AS good, player_id % 4 <> 2 AS has FROM {_WEEKS})
+ SELECT count(*) FILTER (good AND has) AS n, count(*) FILTER (good AND NOT has) AS unforecast, count(*) FILTER (NOT good) AS unobserved, round(avg(abs(0.9 - hits / outs)) FILTER (good AND has), 6) AS mae,
+ (sum(outs) FILTER (good AND has))::BIGINT AS den, round(count(*) FILTER (good AND has) / count(*), 6) AS coverage FROM x""")
 def _(t):
     w = _weeks(t)
-    return scoring.ratio_mae(w.select("player_id", "anchor", F.lit(0.9).alias("y_hat")), w.select("player_id", "anchor", F.col("hits").alias("num"), F.col("outs").alias("den")), ["player_id", "anchor"])
+    return scoring.ratio_mae(w.where("player_id % 4 <> 2").select("player_id", "anchor", F.lit(0.9).alias("y_hat")), w.select("player_id", "anchor", F.col("hits").alias("num"), F.col("outs").alias("den")), ["player_id", "anchor"])
 
 
 @query("log_score_dist", "SELECT count(*) AS n, round(avg(-ln(p)), 6) AS log_score FROM {pmf} j JOIN {final} f ON j.game_id = f.game_id AND j.k = f.home_runs")
@@ -116,22 +148,60 @@ def _(t):
     return scoring.log_score_dist(t.pmf, _runs(t), "game_id")
 
 
-@query("crps_discrete", "SELECT count(*) AS n, round(avg(s), 6) AS crps FROM (SELECT game_id, sum(power(c - CASE WHEN home_runs <= k THEN 1 ELSE 0 END, 2)) AS s FROM (SELECT game_id, k, sum(p) OVER (PARTITION BY game_id ORDER BY k) AS c FROM {pmf}) JOIN {final} USING (game_id) GROUP BY 1)")
+@query("crps_discrete", "SELECT count(*) AS n, 0 AS unforecast, 0 AS unobserved, round(avg(s), 6) AS crps, 0.0::DOUBLE AS unlisted FROM (SELECT game_id, sum(power(c - CASE WHEN home_runs <= k THEN 1 ELSE 0 END, 2)) AS s FROM (SELECT game_id, k, sum(p) OVER (PARTITION BY game_id ORDER BY k) AS c FROM {pmf}) JOIN {final} USING (game_id) GROUP BY 1)")
 def _(t):
     return scoring.crps_discrete(t.pmf, _runs(t), "game_id")
 
 
-@query("interval_score", "SELECT count(*) AS n, round(avg(CASE WHEN home_runs BETWEEN game_id % 3 AND game_id % 3 + 3 THEN 1.0 ELSE 0.0 END), 6) AS coverage, 3.0::DOUBLE AS width FROM {final}")
+@query("crps_discrete_gaps", """WITH s AS (SELECT game_id, k, w / CAST(16 + game_id % 3 AS DOUBLE) AS p FROM {final}, (VALUES (1, 4), (4, 6), (9, 6)) AS v(k, w) WHERE game_id % 9 <> 0),
+ y AS (SELECT game_id, CASE WHEN game_id % 8 <> 5 THEN home_runs + CASE WHEN game_id % 11 = 0 THEN 7 ELSE 0 END END AS y FROM {final}),
+ grid AS (SELECT y.game_id, y, g.x, CASE WHEN g.x >= 9 THEN 1.0 ELSE coalesce((SELECT sum(p) FROM s WHERE s.game_id = y.game_id AND s.k <= g.x), 0) END AS cdf FROM y, range(0, 20) g(x) WHERE y.game_id IN (SELECT game_id FROM s) AND y IS NOT NULL),
+ each AS (SELECT game_id, sum(power(cdf - CASE WHEN y <= x THEN 1 ELSE 0 END, 2)) AS crps FROM grid GROUP BY 1)
+ SELECT (SELECT count(*) FROM each) AS n, (SELECT count(*) FROM y WHERE y IS NOT NULL AND game_id % 9 = 0) AS unforecast, (SELECT count(*) FROM y WHERE y IS NULL) AS unobserved,
+ (SELECT round(avg(crps), 6) FROM each) AS crps, (SELECT round(avg(1 - 16 / CAST(16 + game_id % 3 AS DOUBLE)), 6) FROM each) AS unlisted""")
 def _(t):
-    preds = t.final.select("game_id", (F.col("game_id") % 3).alias("lo"), (F.col("game_id") % 3 + 3).alias("hi"))
-    return scoring.interval_score(preds, _runs(t), KEY)
+    """Gaps in k, outcomes above the support, mass that isn't listed, games without a pmf or an outcome: equal to the sum over a dense grid."""
+    some = t.final.where("game_id % 9 <> 0").select("game_id", F.explode(F.expr("array(struct(1 AS k, 4 AS w), struct(4 AS k, 6 AS w), struct(9 AS k, 6 AS w))")).alias("v"))
+    pmf = some.select("game_id", "v.k", (F.col("v.w") / (16 + F.col("game_id") % 3)).alias("p"))
+    y = F.when(F.col("game_id") % 8 != 5, F.col("home_runs") + F.when(F.col("game_id") % 11 == 0, 7).otherwise(0))
+    return scoring.crps_discrete(pmf, t.final.select("game_id", y.alias("y")), "game_id")
 
 
-@query("location_error", """WITH x AS (SELECT *, plate_x IS NOT NULL AND plate_z IS NOT NULL AS v, sqrt(power(50 - plate_x, 2) + power(25 - plate_z, 2)) AS d FROM {pitch})
- SELECT round(avg(abs(50 - plate_x)) FILTER (v), 6) AS mae_x, round(avg(abs(25 - plate_z)) FILTER (v), 6) AS mae_z, round(avg(d), 6) AS mean_distance, round(median(d), 6) AS median_distance, round(avg(CASE WHEN v THEN 1.0 ELSE 0.0 END), 6) AS valid_share, count(*) FILTER (NOT v) AS excluded FROM x""")
+@query("interval_score", """WITH x AS (SELECT CASE WHEN game_id % 7 <> 0 THEN home_runs END AS y, game_id % 3 AS lo, game_id % 3 + 3 AS hi, game_id % 4 <> 1 AS has FROM {final})
+ SELECT count(y) FILTER (has) AS n, count(y) FILTER (NOT has) AS unforecast, count(*) - count(y) AS unobserved, round(avg(CASE WHEN y BETWEEN lo AND hi THEN 1.0 ELSE 0.0 END) FILTER (has AND y IS NOT NULL), 6) AS coverage, 3.0::DOUBLE AS width FROM x""")
 def _(t):
+    preds = t.final.where("game_id % 4 <> 1").select("game_id", (F.col("game_id") % 3).alias("lo"), (F.col("game_id") % 3 + 3).alias("hi"))
+    return scoring.interval_score(preds, t.final.select("game_id", F.when(F.col("game_id") % 7 != 0, F.col("home_runs")).alias("y")), KEY)
+
+
+_LOCATION = """WITH x AS (SELECT *, plate_x IS NOT NULL AND plate_z IS NOT NULL AS v, event_id % 8 <> 3 AS has, sqrt(power(50 - plate_x, 2) + power(25 - plate_z, 2)) AS d FROM {{pitch}})
+ SELECT round(avg(abs(50 - plate_x)) FILTER (v AND has), 6) AS mae_x, round(avg(abs(25 - plate_z)) FILTER (v AND has), 6) AS mae_z, round(avg(d) FILTER (has), 6) AS mean_distance, {middle} AS median_distance,
+ round(avg(CASE WHEN v THEN 1.0 ELSE 0.0 END), 6) AS valid_share, count(*) FILTER (NOT v) AS excluded, count(*) FILTER (v AND NOT has) AS unforecast FROM x"""
+
+
+def _location(t, accuracy=None):
     truth = t.pitch.select("event_id", F.col("plate_x").alias("x"), F.col("plate_z").alias("z"))
-    return scoring.location_error(t.pitch.select("event_id", F.lit(50.0).alias("x_hat"), F.lit(25.0).alias("z_hat")), truth, ["event_id"])
+    return scoring.location_error(t.pitch.where("event_id % 8 <> 3").select("event_id", F.lit(50.0).alias("x_hat"), F.lit(25.0).alias("z_hat")), truth, ["event_id"], accuracy)
+
+
+@query("location_error", _LOCATION.format(middle="round(median(d) FILTER (has), 6)"))
+def _(t):
+    return _location(t)
+
+
+# A sketch's median is one of the distances, whose rank is off by 1 in 10,000 at most: the query and the SQL say whether it is.
+_RANK = """WITH x AS (SELECT sqrt(power(50 - plate_x, 2) + power(25 - plate_z, 2)) AS d FROM {pitch} WHERE event_id % 8 <> 3 AND plate_x IS NOT NULL AND plate_z IS NOT NULL)
+ SELECT count(*) AS n, true AS below, true AS above FROM x"""
+
+
+@query("location_error_sketch", _RANK)
+def _(t):
+    """The median of a sketch against the exact ranks: no more than half and a ten-thousandth of the distances lie on either side."""
+    sketch = _location(t, 10_000).select("median_distance")
+    d = F.sqrt(F.pow(50 - F.col("plate_x"), F.lit(2)) + F.pow(25 - F.col("plate_z"), F.lit(2)))
+    rows = t.pitch.where("event_id % 8 <> 3 and plate_x is not null and plate_z is not null").select(d.alias("d")).crossJoin(F.broadcast(sketch))  # one row
+    side = lambda c: F.count_if(c) <= F.count(F.lit(1)) * 0.5001 + 1
+    return rows.agg(F.count(F.lit(1)).alias("n"), side(F.col("d") < F.col("median_distance")).alias("below"), side(F.col("d") > F.col("median_distance")).alias("above"))
 
 
 _LINEUP = "(SELECT l_orderkey AS game, l_partkey AS player, min(l_linenumber) AS slot, min(CASE WHEN l_linenumber = 1 THEN 'P' WHEN l_suppkey % 2 = 0 THEN 'IF' ELSE 'OF' END) AS pos FROM {lineitem} GROUP BY 1, 2)"
@@ -184,9 +254,12 @@ def _(t):
     return scoring.eval_record(scoring.log_loss(t.preds, _truth(t), KEY), {"problem": "game", "metric": "log_loss", "version": "v1"}).select("context.*", "n", "log_loss")
 
 
-@query("season_scores", "WITH x AS (SELECT *, rank <= 4 AS entered, CASE WHEN team % 3 = 0 THEN 0.7 ELSE 0.3 END AS p FROM {ranked} WHERE season < 2001) SELECT count(*) AS n, round(avg(abs(wins + team % 4 - wins)), 6) AS wins_mae, round(avg(abs(team + 1 - rank)), 6) AS rank_mae, round(avg(power(p - CASE WHEN entered THEN 1 ELSE 0 END, 2)), 6) AS brier, round(avg(CASE WHEN entered THEN -ln(p) ELSE -ln(1 - p) END), 6) AS log_loss FROM x")
+@query("season_scores", """WITH x AS (SELECT *, rank <= 4 AS entered, (team + season) % 5 <> 2 AS has, CASE WHEN team % 3 = 0 THEN 0.7 ELSE 0.3 END AS p FROM {ranked} WHERE season < 2001)
+ SELECT count(*) AS n, count(*) FILTER (NOT has) AS unforecast, round(avg(abs(wins + team % 4 - wins)) FILTER (has), 6) AS wins_mae, round(avg(abs(team + 1 - rank)) FILTER (has), 6) AS rank_mae,
+ round(avg(CASE WHEN has THEN power(p - CASE WHEN entered THEN 1 ELSE 0 END, 2) ELSE 1 END), 6) AS brier, round(avg(CASE WHEN NOT has THEN -ln(1e-12) WHEN entered THEN -ln(p) ELSE -ln(1 - p) END), 6) AS log_loss FROM x""")
 def _(t):
-    outlook = t.ranked.select("season", "team", (F.col("wins") + F.col("team") % 4).alias("wins_hat"), (F.col("team") + 1).alias("rank_hat"), F.when(F.col("team") % 3 == 0, 0.7).otherwise(0.3).alias("p_entry"))
+    """Some teams have no outlook: what happened to them had probability 0."""
+    outlook = t.ranked.where("(team + season) % 5 <> 2").select("season", "team", (F.col("wins") + F.col("team") % 4).alias("wins_hat"), (F.col("team") + 1).alias("rank_hat"), F.when(F.col("team") % 3 == 0, 0.7).otherwise(0.3).alias("p_entry"))
     actual = t.ranked.select("season", "team", "wins", "rank", (F.col("rank") <= 4).alias("entered"), (F.col("season") < 2001).alias("completed"))
     return scoring.season_scores(outlook, actual)
 
@@ -233,9 +306,23 @@ def _(t):
     return value.run_value(states, re, "half", ["ts"], ["state"], "runs").select("half", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "plain", "with_runs")
 
 
+# Every sixth state is unknown: that a state is unknown is told from that none follows.
+_UNKNOWN = "(SELECT game_id, half_id, ts, runs, rem, CASE WHEN event_id % 6 <> 2 THEN state END AS state FROM {state})"
+
+
+@query("run_value_unknown", f"""WITH u AS {_UNKNOWN}, e AS (SELECT state, avg(rem) AS x FROM u WHERE state IS NOT NULL GROUP BY 1), n AS (SELECT *, row_number() OVER (PARTITION BY game_id, half_id ORDER BY ts) AS i FROM u)
+ SELECT a.game_id || '/' || a.half_id AS half, strftime(a.ts, '%Y-%m-%d %H:%M:%S') AS at, round(v - x, 6) AS plain, round(v - x + runs, 6) AS with_runs FROM (
+   SELECT a.*, CASE WHEN b.i IS NULL THEN 0 ELSE (SELECT x FROM e WHERE e.state = b.state) END AS v FROM n a LEFT JOIN n b ON b.game_id = a.game_id AND b.half_id = a.half_id AND b.i = a.i + 1) a LEFT JOIN e ON e.state = a.state""")
+def _(t):
+    """Unknown states have no run expectancy, so changes from and to them are null; an ended half inning is worth 0."""
+    states = t.state.withColumns({"half": F.concat_ws("/", F.col("game_id").cast("string"), F.col("half_id").cast("string")), "state": F.when(F.col("event_id") % 6 != 2, F.col("state"))})
+    re = aggregates.run_expectancy(states.where("state is not null"), ["state"], "rem", 1)
+    return value.run_value(states, re, "half", ["ts"], ["state"], "runs").select("half", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "plain", "with_runs")
+
+
 @query("leverage", """WITH w AS (SELECT state, avg(CASE WHEN game_id % 2 = 0 THEN 1.0 ELSE 0.0 END) AS w FROM {state} GROUP BY 1), s AS (SELECT state, lead(state) OVER (PARTITION BY game_id ORDER BY ts) AS nx FROM {state}),
  t AS (SELECT state, nx, count(*) / sum(count(*)) OVER (PARTITION BY state) AS p FROM s WHERE nx IS NOT NULL GROUP BY 1, 2), g AS (SELECT t.state, sum(p * abs(b.w - a.w)) AS swing FROM t JOIN w a ON a.state = t.state JOIN w b ON b.state = t.nx GROUP BY 1)
- SELECT state::BIGINT AS state, round(swing, 6) AS swing, round(swing / avg(swing) OVER (), 6) AS leverage FROM g""")
+ SELECT state::BIGINT AS state, round(swing, 6) AS swing, round(swing / avg(swing) OVER (), 6) AS leverage, 1.0::DOUBLE AS covered FROM g""")
 def _(t):
     from hindcast.operators.joins import join_boundary_pair
 
@@ -245,6 +332,20 @@ def _(t):
     return value.leverage(trans, wp)
 
 
+@query("leverage_unvalued", """WITH p AS (SELECT state, nx, count(*) AS c FROM (SELECT pitch_type * 10 + batter AS state, lead(pitch_type * 10 + batter) OVER (PARTITION BY game_id ORDER BY ts) AS nx FROM {pitch}) WHERE nx IS NOT NULL AND state % 10 <> nx % 10 GROUP BY 1, 2),
+ w AS (SELECT state, CASE WHEN state <> 12 THEN state / 100.0 END AS v FROM p GROUP BY 1), x AS (SELECT p.state, c, abs(b.v - a.v) AS d FROM p JOIN w a ON a.state = p.state LEFT JOIN w b ON b.state = p.nx),
+ g AS (SELECT state, CASE WHEN count(d) = count(*) THEN sum(c * d) / sum(c) END AS swing, coalesce(sum(c) FILTER (d IS NOT NULL), 0) / sum(c) AS covered FROM x GROUP BY 1)
+ SELECT state::BIGINT AS state, round(swing, 6) AS swing, round(swing / (SELECT avg(swing) FROM g), 6) AS leverage, round(covered, 6)::DOUBLE AS covered FROM g""")
+def _(t):
+    """One state has no win value: states that lead to it have no swing, and say how much of theirs is covered."""
+    from hindcast.operators.joins import join_boundary_pair
+
+    states = t.pitch.select("game_id", "ts", (F.col("pitch_type") * 10 + F.col("batter")).alias("state"))
+    moves = join_boundary_pair(states, "game_id", ["ts"], ["state"]).where("post is not null and pre.state % 10 <> post.state % 10").select("pre.state", F.col("post.state").alias("next"))
+    trans = aggregates.usage_frequency(moves, ["state"], "next").withColumnRenamed("share", "p")
+    return value.leverage(trans, moves.where("state <> 12").select("state").distinct().withColumn("win_share", F.col("state") / 100.0))
+
+
 # Season ----------------------------------------------------------------------------------------------------------
 
 
@@ -298,7 +399,7 @@ def _(t):
 _PAIRS = "(SELECT team, opponent, count(*) AS n, avg(CASE WHEN runs > allowed THEN 1.0 ELSE 0.0 END) AS w FROM {team_game} WHERE status = 'F' GROUP BY 1, 2)"
 
 
-@query("advance_probability", f"SELECT team::BIGINT AS team, round(sum(n / t * w), 6) AS p_advance FROM (SELECT *, sum(n) OVER (PARTITION BY team) AS t FROM {_PAIRS}) GROUP BY 1")
+@query("advance_probability", f"SELECT team::BIGINT AS team, round(sum(n / t * w), 6) AS p_advance, 1.0::DOUBLE AS covered FROM (SELECT *, sum(n) OVER (PARTITION BY team) AS t FROM {_PAIRS}) GROUP BY 1")
 def _(t):
     games = t.team_game.where("status = 'F'")
     meet = aggregates.usage_frequency(games, ["team"], "opponent").withColumnRenamed("share", "p_meet")
@@ -306,6 +407,15 @@ def _(t):
     return season.advance_probability(meet, cond)
 
 
+@query("advance_probability_open", f"SELECT team::BIGINT AS team, CASE WHEN count(*) FILTER (opponent = 7) = 0 THEN round(sum(n / t * w), 6) END AS p_advance, round(coalesce(sum(n) FILTER (opponent <> 7), 0) / sum(n), 6)::DOUBLE AS covered FROM (SELECT *, sum(n) OVER (PARTITION BY team) AS t FROM {_PAIRS}) GROUP BY 1")
+def _(t):
+    """No chances against one opponent are known: who may meet it has no probability to advance."""
+    games = t.team_game.where("status = 'F'")
+    meet = aggregates.usage_frequency(games, ["team"], "opponent").withColumnRenamed("share", "p_meet")
+    cond = games.where("opponent <> 7").groupBy("team", "opponent").agg(F.avg(F.when(F.col("runs") > F.col("allowed"), 1.0).otherwise(0.0)).alias("p_win"))
+    return season.advance_probability(meet, cond)
+
+
 _RANKED_DRAWS = "(SELECT *, rank() OVER (PARTITION BY draw_id ORDER BY wins DESC, team) AS r FROM {draws})"
 
 
