@@ -64,9 +64,13 @@ def byte_letters() -> dict[str, int]:
 def tokenizer_of(path: str):
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(path)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(path)
+
+
+def added_tokens(path: str) -> list[str]:
+    """What a text may hold that is a token of its own, special ones too."""
+    with open(path, encoding="utf-8") as f:
+        return [t["content"] for t in json.load(f).get("added_tokens", ())]
 
 
 def rank_encoder(path: str) -> Callable[[str], list[int]]:
@@ -154,7 +158,7 @@ class Ids:
     def __init__(self, path: str, fast: bool = False) -> None:
         self.path, self.tokenizer = path, None  # loaded when the first text needs it
         self.known: dict[str, bytes] = {}
-        self.fast = rank_encoder(path) if fast else None
+        self.fast, self.added = (rank_encoder(path) if fast else None), added_tokens(path)
 
     def slowly(self, texts: list[str]) -> list[bytes]:
         self.tokenizer = self.tokenizer or tokenizer_of(self.path)
@@ -169,7 +173,7 @@ class Ids:
         if len(self.known) > CACHE_RUNS:
             self.known.clear()
         known = self.known
-        runs = [None if ODD.search(t) else RUNS.findall(t) for t in texts]
+        runs = [None if ODD.search(t) or any(x in t for x in self.added) else RUNS.findall(t) for t in texts]
         new = list({r for rs in runs if rs for r in rs if r not in known})
         known.update(zip(new, self.encode(new), strict=True))
         for t, rs in zip(texts, runs, strict=True):

@@ -84,15 +84,13 @@ def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_equal_the_tokenizer(spark, tokenizer):
     import public_tokenizers
 
-    texts = ["", " a  b\n\n c ", "don't  STOP\t\n", "x" * 3000, "Ünïcode 一二三 ½ ٣ é", "a\x1cb\x85c d  e", "<|endoftext|> a", "🙂🙂 ok", "\n \n\n  x", "a​b 'll's", "\ue000 a\U000e0fff b"]
+    texts = ["", " a  b\n\n c ", "don't  STOP\t\n", "x" * 3000, "Ünïcode 一二三 ½ ٣ é", "a\x1cb\x85c d  e", "<|endoftext|> a", "a <|endoftext|> b", "<|endoftext|", "🙂🙂 ok", "\n \n\n  x", "a​b 'll's", "\ue000 a\U000e0fff b"]
     path = public_tokenizers.path("byte_bpe_50k.json")
     assert packing.same_ids(spark, path) and not packing.prove_same_ids(public_tokenizers.path("word_bpe_49k.json"))
     ids = packing.Ids(path, True)
