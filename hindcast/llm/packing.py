@@ -42,7 +42,7 @@ def unassigned() -> str:
 
 
 #: Encoded text runs kept by one Python worker before the cache is emptied.
-CACHE_RUNS = 500_000
+CACHE_RUNS = 200_000
 #: A blank and what follows it, or white space: the tokenizer never merges across these bounds.
 RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Characters that Python and the tokenizer class differently as white space, and those that Unicode tables may differ on,

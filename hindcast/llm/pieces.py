@@ -159,12 +159,20 @@ def _parts(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.nd
 
 
 def _counted(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """All trusted pairs of a bucket, sorted, and their counts."""
-    pairs, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    """All trusted pairs of a bucket, sorted, and their counts; lots wait until they are as many pairs as are merged, so each is sorted a few times only."""
+    pairs, counts, waiting, n = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        found, at = np.unique(np.concatenate([pairs, *(p for p, _ in waiting)]), return_inverse=True)
+        return found, np.bincount(at, np.concatenate([counts, *(t for _, t in waiting)]), len(found)).astype(np.int64)
+
     for _, p, good, _, times in _parts(table):
-        pairs, at = np.unique(np.concatenate([pairs, p[good]]), return_inverse=True)
-        counts = np.bincount(at, np.concatenate([counts, times[good]]), len(pairs)).astype(np.int64)
-    return pairs, counts
+        waiting.append((p[good], times[good]))
+        n += len(waiting[-1][0])
+        if n >= max(len(pairs), 1 << 18):
+            pairs, counts = merged()
+            waiting, n = [], 0
+    return merged() if waiting else (pairs, counts)
 
 
 def discounts(tallies: list[int]) -> np.ndarray:
