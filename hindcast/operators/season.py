@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hindcast.operators.elimination import statuses
+
 
 def regular_title(standings: DataFrame) -> DataFrame:
     return standings.where(F.col("rank") == 1)
@@ -33,18 +35,30 @@ def expected_wins(actual: DataFrame, remaining: DataFrame) -> DataFrame:
     return actual.join(rest, "team", "full").select("team", F.coalesce("wins", F.lit(0)).alias("wins"), (F.coalesce("wins", F.lit(0)) + F.coalesce("rest", F.lit(0.0))).alias("expected_wins"))
 
 
-def lock_status(standings: DataFrame, remaining: DataFrame, slots: int) -> DataFrame:
-    """clinched, eliminated or open by bounds on wins; sufficient, not necessary.
+def lock_status(standings: DataFrame, remaining: DataFrame, slots: int, draws: bool = False) -> DataFrame:
+    """clinched, eliminated or open, over all outcomes of the games still to come, beside the bounds on wins.
 
-    Clinched: fewer than `slots` others can still reach the team's wins.
-    Eliminated: at least `slots` others already have more than it can reach.
-    Compared within a season, whose teams are a few dozen rows.
+    standings has (season, team, wins), remaining a row per game (season, home, away).  By bounds a team has clinched
+    when fewer than `slots` others can_reach its wins, and is out when `slots` others are beyond what it can reach.
+    That is sufficient only, since others play each other and not all of them can win; teams that the bounds leave
+    open are decided exactly, by flows (see elimination).  With draws a game may have no winner.  Games of one pair are
+    counted before anything is gathered, so a season is as many rows as it has teams and pairs, and each team is a row
+    of its own task.  A team without a row in standings has no wins; a game of a team with itself counts for nothing.
     """
-    t = standings.join(remaining, ["season", "team"], "left").select("season", "team", "wins", (F.col("wins") + F.coalesce("games_left", F.lit(0))).alias("best"))
-    o = t.select("season", F.col("team").alias("other"), F.col("wins").alias("other_wins"), F.col("best").alias("other_best"))
-    pairs = t.join(o, "season").where("other <> team")
-    counts = pairs.groupBy("season", "team").agg(F.count_if(F.col("other_best") >= F.col("wins")).alias("can_reach"), F.count_if(F.col("other_wins") > F.col("best")).alias("beyond"))
-    return counts.withColumn("status", F.when(F.col("can_reach") < slots, "clinched").when(F.col("beyond") >= slots, "eliminated").otherwise("open"))
+    games = remaining.where("home <> away")
+    left = games.select("season", F.explode(F.array("home", "away")).alias("team")).groupBy("season", "team").agg(F.count(F.lit(1)).alias("games_left"))
+    teams = standings.select("season", "team", "wins").join(left, ["season", "team"], "full").fillna(0, ["wins", "games_left"])
+    met = games.groupBy("season", F.least("home", "away").alias("a"), F.greatest("home", "away").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    # From here on a season is as many entries as it has teams, and pairs with games to come.
+    table = teams.groupBy("season").agg(F.collect_list(F.struct("team", F.col("wins").cast("long").alias("wins"), (F.col("wins") + F.col("games_left")).cast("long").alias("best"))).alias("table"))
+    pairs = met.groupBy("season").agg(F.collect_list(F.struct("a", "b", "n")).alias("games"))
+    rows = table.join(pairs, "season", "left").select("season", "table", "games", F.explode("table").alias("t"))
+    count = lambda when: F.size(F.filter("table", lambda o: (o["team"] != F.col("t.team")) & when(o))).cast("long")
+    rows = rows.withColumns({"can_reach": count(lambda o: o["best"] >= F.col("t.wins")), "beyond": count(lambda o: o["wins"] > F.col("t.best"))})
+    rows = rows.withColumn("bound", F.when(F.col("can_reach") < slots, "clinched").when(F.col("beyond") >= slots, "eliminated"))
+    rows = rows.select("season", F.col("t.team").alias("team"), "can_reach", "beyond", "bound", *[F.when(F.col("bound").isNull(), F.col(c)).alias(c) for c in ("table", "games")])
+    schema = rows.select("season", "team", "can_reach", "beyond", F.lit("").alias("status")).schema
+    return rows.repartition("season", "team").mapInArrow(statuses(slots, draws), schema)
 
 
 def advance_probability(matchups: DataFrame, cond: DataFrame) -> DataFrame:

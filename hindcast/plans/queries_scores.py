@@ -387,13 +387,39 @@ def _(t):
     return season.expected_wins(actual, t.team_game.where("status = 'O'").select("team", (0.4 + (F.col("game_id") % 3) * 0.1).alias("p")))
 
 
-_LEFT = "(SELECT season, team, count(*) AS games_left FROM {team_game} WHERE status = 'P' GROUP BY 1, 2)"
+# Written by Hall's condition over sets of teams, as bit masks: a set must have room for the games inside it. 4 slots.
+_LOCK = """WITH t AS (SELECT season, team, wins FROM {{ranked}}), g AS (SELECT season, least(home_team, away_team) AS a, greatest(home_team, away_team) AS b, count(*) AS n FROM {{game}} WHERE {which} GROUP BY 1, 2, 3),
+ x AS (SELECT t.season, t.team AS x, t.wins AS xw, o.team, o.wins, coalesce((SELECT sum(n) FROM g WHERE g.season = t.season AND t.team IN (a, b) AND o.team IN (a, b)), 0) AS own,
+   coalesce((SELECT sum(n) FROM g WHERE g.season = t.season AND o.team IN (a, b) AND t.team NOT IN (a, b)), 0) AS rest, coalesce((SELECT sum(n) FROM g WHERE g.season = t.season AND t.team IN (a, b)), 0) AS xleft
+   FROM t JOIN t o ON o.season = t.season AND o.team <> t.team),
+ room AS (SELECT season, x, team, rest - greatest(0, xw - wins - own) AS up, xw + xleft - wins AS down FROM x),
+ u AS (SELECT m FROM range(1, 1024) r(m)),
+ inside AS (SELECT s.season, m, coalesce((SELECT sum(n) FROM g WHERE g.season = s.season AND (m >> a) & 1 = 1 AND (m >> b) & 1 = 1), 0) AS games FROM (SELECT DISTINCT season FROM t) s CROSS JOIN u),
+ sets AS (SELECT r.season, r.x, u.m, sum(up) FILTER ((u.m >> team) & 1 = 1) AS up, sum(down) FILTER ((u.m >> team) & 1 = 1) AS down FROM room r CROSS JOIN u WHERE (u.m >> r.x) & 1 = 0 GROUP BY 1, 2, 3),
+ bad AS (SELECT season, x, m, games > up AS no_up, games > down AS no_down FROM sets JOIN inside USING (season, m) WHERE games > up OR games > down),
+ chosen AS (SELECT season, x, c.m, bit_count(c.m) AS size FROM (SELECT DISTINCT season, x FROM room) CROSS JOIN u c WHERE (c.m >> x) & 1 = 0 AND bit_count(c.m) IN (4, 6)),
+ good AS (SELECT c.season, c.x, bool_or(size = 4 AND NOT no_up) AS up, bool_or(size = 6 AND NOT no_down) AS down FROM (
+   SELECT c.season, c.x, c.m, size, coalesce(bool_or(no_up), false) AS no_up, coalesce(bool_or(no_down), false) AS no_down FROM chosen c LEFT JOIN bad b ON b.season = c.season AND b.x = c.x AND b.m & c.m = b.m GROUP BY 1, 2, 3, 4) c GROUP BY 1, 2),
+ bounds AS (SELECT season, x, count(*) FILTER (wins + own + rest >= xw) AS can_reach, count(*) FILTER (wins > xw + xleft) AS beyond FROM x GROUP BY 1, 2)
+ SELECT season::BIGINT AS season, x::BIGINT AS team, can_reach, beyond, CASE WHEN NOT up THEN 'clinched' WHEN NOT down THEN 'eliminated' ELSE 'open' END AS status FROM bounds JOIN good USING (season, x)"""
 
 
-@query("lock_status", f"WITH t AS (SELECT r.season, r.team, r.wins, r.wins + coalesce(games_left, 0) AS best FROM {{ranked}} r LEFT JOIN {_LEFT} l ON l.season = r.season AND l.team = r.team), c AS (SELECT a.season, a.team, count(*) FILTER (b.best >= a.wins) AS can_reach, count(*) FILTER (b.wins > a.best) AS beyond FROM t a JOIN t b ON a.season = b.season AND a.team <> b.team GROUP BY 1, 2) SELECT season::BIGINT AS season, team::BIGINT AS team, can_reach, beyond, CASE WHEN can_reach < 4 THEN 'clinched' WHEN beyond >= 4 THEN 'eliminated' ELSE 'open' END AS status FROM c")
+def _lock(t, which):
+    return season.lock_status(t.ranked.select("season", "team", "wins"), t.game.where(which).select("season", F.col("home_team").alias("home"), F.col("away_team").alias("away")), 4)
+
+
+@query("lock_status", _LOCK.format(which="status = 'P'"))
+def _(t):
+    return _lock(t, "status = 'P'")
+
+
+_FEW = "status = 'O' AND game_id % 64 = 1"
+
+
+@query("lock_status_late", _LOCK.format(which=_FEW))
 def _(t):
-    left = t.team_game.where("status = 'P'").groupBy("season", "team").agg(F.count(F.lit(1)).alias("games_left"))
-    return season.lock_status(t.ranked.select("season", "team", "wins"), left, 4)
+    """Seasons with other games to come."""
+    return _lock(t, _FEW)
 
 
 _PAIRS = "(SELECT team, opponent, count(*) AS n, avg(CASE WHEN runs > allowed THEN 1.0 ELSE 0.0 END) AS w FROM {team_game} WHERE status = 'F' GROUP BY 1, 2)"

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from hindcast.functions import scalars
-from hindcast.operators import aggregates, gates, joins, labels, quality, ranking, scoring, season, splits, value, windows
+from hindcast.operators import aggregates, elimination, gates, joins, labels, quality, ranking, scoring, season, splits, value, windows
 from hindcast.plans.fixtures import Tables
 
 
@@ -128,11 +130,42 @@ def test_probabilities_add_up(spark, small):
     assert quality.qc_probability(rates, ["home_team", "away_team"]).count() == 0
 
 
-def test_clinched_is_sufficient(spark):
-    table = spark.createDataFrame([(1, "a", 9), (1, "b", 3), (1, "c", 2)], "season int, team string, wins int")
-    left = spark.createDataFrame([(1, "b", 5), (1, "c", 1)], "season int, team string, games_left int")
+def test_lock_status_by_bounds(spark):
+    table = spark.createDataFrame([(1, "a", 9), (1, "b", 3), (1, "c", 2), (1, "d", 0)], "season int, team string, wins int")
+    left = spark.createDataFrame([(1, "b", "d")] * 5 + [(1, "d", "c"), (1, "d", "d"), (2, "y", "z")], "season int, home string, away string")
     out = {r["team"]: r["status"] for r in season.lock_status(table, left, 1).collect()}
-    assert out == {"a": "clinched", "b": "eliminated", "c": "eliminated"}
+    assert out == {"a": "clinched", "b": "eliminated", "c": "eliminated", "d": "eliminated", "y": "open", "z": "open"}
+
+
+def test_lock_status_needs_flows(spark):
+    """a stands at 10 with no games left, b and c at 9 with a game against each other: one of them must pass to 10."""
+    rows = [(1, "a", 10), (1, "b", 10), (1, "c", 10), (1, "d", 9)]
+    table, left = spark.createDataFrame(rows, "season int, team string, wins int"), spark.createDataFrame([(1, "b", "c")], "season int, home string, away string")
+    out = {r["team"]: (r["beyond"], r["status"]) for r in season.lock_status(table, left, 1).collect()}
+    assert out["a"] == (0, "eliminated") and out["b"] == out["c"] == (0, "open")
+    assert {r["team"]: r["status"] for r in season.lock_status(table, left, 1, draws=True).collect()}["a"] == "open"
+
+
+@pytest.mark.parametrize("draws", [False, True])
+def test_lock_status_against_all_outcomes(draws):
+    rng = random.Random(12)
+    for _ in range(150):
+        teams = range(rng.randrange(2, 6))
+        wins = {t: rng.randrange(4) for t in teams}
+        played = [tuple(sorted(rng.sample(list(teams), 2))) for _ in range(rng.randrange(7 if draws else 9))]
+        games = {p: played.count(p) for p in played}
+        ends = []
+        for outcome in itertools.product((0, 1, 2) if draws else (0, 1), repeat=len(played)):
+            end = dict(wins)
+            for pair, o in zip(played, outcome):
+                if o < 2:
+                    end[pair[o]] += 1
+            ends.append(end)
+        for slots in range(1, len(teams) + 1):
+            for t in teams:
+                sure = all(sum(e[o] >= e[t] for o in teams if o != t) < slots for e in ends)
+                out = all(sum(e[o] > e[t] for o in teams if o != t) >= slots for e in ends)
+                assert elimination.status_of(t, wins, games, slots, draws) == ("clinched" if sure else "eliminated" if out else "open"), (t, wins, games, slots)
 
 
 def test_empty_tables(spark):
