@@ -56,7 +56,9 @@ def duckdb_sql(body: str) -> str:
     ctes = ", ".join(f"v_{v} AS ({VIEWS[v].format(**names)})" for v in needed(body))
     body = body.strip().format(**names)
     if body.upper().startswith("WITH "):
-        return f"WITH {ctes}, {body[5:]}" if ctes else body
+        # A statement that recurs says so before its first view.
+        word, body = ("WITH RECURSIVE", body[15:]) if body.upper().startswith("WITH RECURSIVE ") else ("WITH", body[5:])
+        return f"{word} {ctes}, {body}" if ctes else f"{word} {body}"
     return f"WITH {ctes} {body}" if ctes else body
 
 

@@ -69,6 +69,20 @@ def _(t):
     return lineage.impact_trace(t.part.where("p_partkey % 50 = 0").select(F.col("p_partkey").alias("id")), edges)
 
 
+# Lineage of any depth: parts that others are made of, with chains, diamonds, cycles and dead ends.
+_LINKS = "(SELECT p_partkey AS parent_id, CASE WHEN s = 0 THEN (p_partkey * 3 + 1) % m ELSE (p_partkey * 5 + 2) % m END AS child_id FROM {part}, (SELECT max(p_partkey) + 1 AS m FROM {part}) n, (VALUES (0), (1)) v(s) WHERE p_partkey % 7 <> 0 AND (s = 0 OR p_partkey % 3 = 1))"
+
+
+@query("impact_trace_any_depth", f"""WITH RECURSIVE l AS MATERIALIZED {_LINKS}, r(id, depth) AS (SELECT child_id, 1 FROM l WHERE parent_id % 400 = 3 UNION SELECT child_id, depth + 1 FROM r JOIN l ON parent_id = id WHERE depth < 60)
+ SELECT id, min(depth)::BIGINT AS depth FROM r GROUP BY 1""")
+def _(t):
+    """The fewest steps to everything downstream; the SQL walks all ways of up to 60 steps."""
+    p, m = F.col("p_partkey"), t.part.agg((F.max("p_partkey") + 1).alias("m"))
+    rows = t.part.where("p_partkey % 7 <> 0").crossJoin(F.broadcast(m))  # one row
+    edges = rows.select(p.alias("parent_id"), ((p * 3 + 1) % F.col("m")).alias("child_id")).union(rows.where("p_partkey % 3 = 1").select(p, (p * 5 + 2) % F.col("m")))
+    return lineage.impact_trace(t.part.where("p_partkey % 400 = 3").select(p.alias("id")), edges)
+
+
 def _manifest(t):
     targets = t.orders.select(F.col("o_orderkey").alias("game_id"), F.col("o_orderdate").cast("date").alias("day"), (F.col("o_orderstatus") != "O").alias("finished")).where("game_id % 97 <> 0")
     captures = t.lineitem.groupBy(F.col("l_orderkey").alias("game_id")).agg(F.count_if(F.expr("l_returnflag = 'N'")).alias("n_rows"), F.bool_or(F.expr("l_quantity > 49.5 and l_tax > 0.07")).alias("failed"))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hindcast.sources.durable import durable
+
 
 def read_raw(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet") -> DataFrame:
     """Landed captures with a declared schema; unreadable text rows are kept in _corrupt_record if the schema has it."""
@@ -59,8 +61,34 @@ def version_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequence
     return both.select(*keys, change.alias("change"), F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.array_join("differs", ",")).otherwise("").alias("changed_columns")).where("change is not null")
 
 
-def impact_trace(changed: DataFrame, edges: Sequence[DataFrame], key: str = "id") -> DataFrame:
-    """(layer, id) of everything downstream: edges[k] has (parent_id, child_id) from layer k to k + 1."""
+def impact_trace(changed: DataFrame, edges: DataFrame | Sequence[DataFrame], key: str = "id") -> DataFrame:
+    """Everything downstream of the changed ids, at any depth.
+
+    With edges (parent_id, child_id): (id, depth) by the fewest steps.  Each round follows only the ids that the round before has
+    found first, and keeps what no round had found, so cycles end and an id is followed once; a changed id is
+    downstream of itself only if a path leads back to it.  Rounds are as many as the longest shortest path.  With a
+    list of layers, edges[k] from layer k to k + 1: (layer, id), ids of different layers being apart.
+    """
+    if not isinstance(edges, DataFrame):
+        return _impact_by_layer(changed, edges, key)
+    links = durable(edges.select("parent_id", "child_id").where("parent_id is not null and child_id is not null").distinct())
+    front = changed.select(F.col(key).alias("parent_id")).where("parent_id is not null").distinct()
+    found, depth = None, 0
+    while True:
+        depth += 1
+        new = links.join(front, "parent_id", "left_semi").select(F.col("child_id").alias("id")).distinct()
+        if found is not None:
+            new = new.join(found, "id", "left_anti")
+        new = durable(new.withColumn("depth", F.lit(depth).cast("long")))
+        if new.isEmpty():
+            return new if found is None else found
+        # Each round's rows are read from where they were written; the union of many rounds is written together.
+        found = new if found is None else found.unionByName(new)
+        found = durable(found) if depth % 16 == 0 else found
+        front = new.select(F.col("id").alias("parent_id"))
+
+
+def _impact_by_layer(changed: DataFrame, edges: Sequence[DataFrame], key: str) -> DataFrame:
     found, out = changed.select(F.col(key).alias("parent_id")).distinct(), []
     for k, e in enumerate(edges):
         found = e.join(found, "parent_id", "left_semi").select(F.col("child_id").alias("parent_id")).distinct()
