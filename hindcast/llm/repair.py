@@ -179,8 +179,8 @@ def damage(conv: DataFrame) -> DataFrame:
 
 def _faults(rows: DataFrame) -> DataFrame:
     """Adds key (of role and text within the conversation), later (the same stood at an earlier turn), blank and truncated."""
-    key = F.md5(F.to_json(F.struct("conv_id", "role", "text")).cast("binary"))
-    rows = rows.withColumn("key", F.when(F.col("copies") > 0, key))
+    dropped = F.when(F.col("copies") == 0, F.struct("turn"))  # has a key of its own, so that such rows don't meet
+    rows = rows.withColumn("key", F.md5(F.to_json(F.struct("conv_id", "role", "text", dropped.alias("dropped"))).cast("binary")))
     at = F.struct(F.col("turn").isNotNull().alias("known"), "turn")
     first = rows.where("copies > 0").groupBy("key").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("not (first.turn <=> last.turn)").select("key", "first")
     trimmed = F.rtrim("text", F.lit(SPACE))
