@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, IsotonicRegression, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,13 +37,23 @@ def fit_win(train: DataFrame, features: Sequence[str], label: str = "won") -> Pi
     return _fit(train, features, LogisticRegression(labelCol=label, maxIter=20, regParam=1e-4))
 
 
-def fit_pitch(train: DataFrame, features: Sequence[str], joint: str = "joint", axes: Sequence[str] = ("plate_x", "plate_z")) -> tuple[PipelineModel, PipelineModel]:
-    """(joint type and result, location): the location model has one row per axis, told apart by features."""
-    long = train.unpivot([*features, joint], list(axes), "axis", "coordinate").where("coordinate is not null")
+def fit_linear(train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:
+    """Least squares, from one sum of the outer products."""
+    return _fit(train, features, LinearRegression(labelCol=label, solver="normal"))
+
+
+def location_rows(rows: DataFrame, features: Sequence[str], axes: Sequence[str] = ("plate_x", "plate_z")) -> tuple[DataFrame, list[str]]:
+    """A row per known coordinate, with what the location model takes of it: features, the axis, and both crossed."""
+    long = rows.unpivot([c for c in rows.columns if c not in axes], list(axes), "axis", "coordinate").where("coordinate is not null")
     long = long.withColumn("is_second", (F.col("axis") == axes[1]).cast("double"))
     crossed = [f"{c}_x_axis" for c in features]
-    long = long.withColumns({x: F.col(c) * F.col("is_second") for x, c in zip(crossed, features)})
-    return fit_pa(train, features, joint), _fit(long, [*features, "is_second", *crossed], LinearRegression(labelCol="coordinate", maxIter=20, regParam=1e-4))
+    return long.withColumns({x: F.col(c) * F.col("is_second") for x, c in zip(crossed, features)}), [*features, "is_second", *crossed]
+
+
+def fit_pitch(train: DataFrame, features: Sequence[str], joint: str = "joint", axes: Sequence[str] = ("plate_x", "plate_z")) -> tuple[PipelineModel, PipelineModel]:
+    """(joint type and result, location): the location model has one row per axis, told apart by features."""
+    long, names = location_rows(train.select(*features, *axes), features, axes)
+    return fit_pa(train, features, joint), _fit(long, names, LinearRegression(labelCol="coordinate", maxIter=20, regParam=1e-4))
 
 
 def class_probabilities(model: PipelineModel, df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -53,6 +63,29 @@ def class_probabilities(model: PipelineModel, df: DataFrame, key: Sequence[str])
     return rows.select(*key, F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("at") + 1).alias("cls"), "p")
 
 
+def score_balance(rows: DataFrame, features: Sequence[str], outcomes: Mapping[str, tuple[Column, Column]], tolerance: float = 0.1) -> DataFrame:
+    """(outcome, feature, n, observed, fitted, balanced): the score equations of a fit on its training rows, in one aggregate.
+
+    At the maximum of the likelihood of these families (Poisson and logistic with their own links, least squares) each
+    feature's total over the outcome equals its total over the fitted values, and nowhere else, for they are concave.
+    outcomes maps a name to (observed, fitted).  balanced says that the score is within `tolerance` of its
+    standard error, by the sum of its squares, so that the fit's penalty and its last step are small against
+    what the data can tell; feature "" is the intercept.
+    """
+    terms = [(name, c, F.lit(1.0) if c == "" else F.col(c).cast("double"), y.cast("double"), mu) for name, (y, mu) in outcomes.items() for c in ("", *features)]
+    sums = [F.struct(F.lit(name).alias("outcome"), F.lit(c).alias("feature"), F.count(x * (y - mu)).alias("n"), F.sum(F.when((x * (y - mu)).isNotNull(), x * y)).alias("observed"),
+                     F.sum(F.when((x * (y - mu)).isNotNull(), x * mu)).alias("fitted"), F.sum(F.pow(x * (y - mu), F.lit(2))).alias("squares")) for name, c, x, y, mu in terms]
+    out = rows.agg(F.array(*sums).alias("t")).select(F.explode("t").alias("t")).select("t.*")
+    return out.withColumn("balanced", F.abs(F.col("observed") - F.col("fitted")) <= tolerance * F.sqrt("squares")).drop("squares")
+
+
+def class_balance(model: PipelineModel, train: DataFrame, features: Sequence[str], label: str, tolerance: float = 0.1) -> DataFrame:
+    """score_balance of a multinomial model, an outcome per class."""
+    labels = next(s for s in model.stages if hasattr(s, "labels")).labels
+    rows = model.transform(train).withColumn("__p", vector_to_array("probability"))
+    return score_balance(rows, features, {c: ((F.col(label) == c).cast("double"), F.col("__p")[k]) for k, c in enumerate(labels)}, tolerance)
+
+
 def calibrate_isotonic(calib: DataFrame, preds: DataFrame, p: str = "p", y: str = "y") -> DataFrame:
     """A monotone map fitted on an earlier slice, applied to later forecasts."""
     model = IsotonicRegression(featuresCol=p, labelCol=y, predictionCol="calibrated").fit(calib.select(F.col(p).cast("double").alias(p), F.col(y).cast("double").alias(y)))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.functions.scalars import monday_anchor
+from hindcast.operators import slices
 
 
 def join_ids(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -27,12 +28,15 @@ def join_common_sample(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFra
     return a.join(b, list(on), "left_semi")
 
 
-def join_asof_snapshot(left: DataFrame, snaps: DataFrame, by: Sequence[str], l_ts: str, r_ts: str, values: Sequence[str], seq: tuple[str, str] | None = None) -> DataFrame:
+def join_asof_snapshot(left: DataFrame, snaps: DataFrame, by: Sequence[str], l_ts: str, r_ts: str, values: Sequence[str], seq: tuple[str, str] | None = None, *, hot: int | None = None) -> DataFrame:
     """Each left row with the values of the last snapshot before it; an equal instant counts only by sequence.
 
     One window over both sides: per key, in time order, the last snapshot so
     far.  At one instant a request stands before the snapshots, unless the
     sequence columns (left, right) say otherwise.
+
+    With hot, keys with more rows than that are cut into time slices; the window
+    runs within a slice, and the last snapshot of the slices before is carried into it.
     """
     by, values = list(by), list(values)
     payload = F.struct(*[F.col(c) for c in left.columns])
@@ -40,9 +44,20 @@ def join_asof_snapshot(left: DataFrame, snaps: DataFrame, by: Sequence[str], l_t
     l_rows = left.select(*by, F.col(l_ts).alias("__ts"), order(0, seq[0] if seq else "").cast("long").alias("__seq"), F.lit(0).alias("__side"), payload.alias("__left"))
     r_rows = snaps.select(*by, F.col(r_ts).alias("__ts"), order(1, seq[1] if seq else "").cast("long").alias("__seq"), F.lit(1).alias("__side"),
                           F.struct(F.col(r_ts).alias("snapshot_ts"), *[F.col(c) for c in values]).alias("__snap"))
-    w = Window.partitionBy(*by).orderBy("__ts", "__seq", "__side").rowsBetween(Window.unboundedPreceding, -1)
-    both = l_rows.unionByName(r_rows, allowMissingColumns=True).withColumn("__last", F.last("__snap", ignorenulls=True).over(w))
-    return both.where("__side = 0").select("__left.*", "__last.*")
+    both, part = l_rows.unionByName(r_rows, allowMissingColumns=True), by
+    if hot is not None:
+        found = slices.cuts(both, by, "__ts", hot)
+        both, part = slices.sliced(both, by, "__ts", found), [*by, slices.SLICE]
+    w = Window.partitionBy(*part).orderBy("__ts", "__seq", "__side").rowsBetween(Window.unboundedPreceding, -1)
+    out = both.withColumn("__last", F.last("__snap", ignorenulls=True).over(w)).where("__side = 0")
+    if hot is not None:
+        # The last snapshot of each slice, null times and sequences first as in the window, and from it the last of all slices before.
+        place = F.struct("__ts", "__seq")
+        summary = both.where("__side = 1").groupBy(*part).agg(F.max_by("__snap", place).alias("__snap"))
+        slots = both.groupBy(*part).agg(F.lit(1).alias("__n")).join(summary.select(*[F.col(k).alias(f"__{k}") for k in by], F.col(slices.SLICE).alias("__at"), "__snap"), slices._same(by, "__") & (F.col(slices.SLICE) == F.col("__at")), "left").select(*part, "__snap")
+        carry = slices.carried(slots, by, {"__carried": F.last("__snap", ignorenulls=True)})
+        out = slices.with_carried(out, carry, by).withColumn("__last", F.coalesce("__last", "__carried"))
+    return out.select("__left.*", "__last.*")
 
 
 def horizon_rows(logs: DataFrame, ts: str, days: int) -> DataFrame:

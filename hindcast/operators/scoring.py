@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -185,6 +188,46 @@ def compare_candidates(preds: Mapping[str, DataFrame], truth: DataFrame, key: Se
     return out
 
 
+def poisson_weight(replicate: Column, cluster: Column, seed: int) -> Column:
+    """How often a replicate draws a cluster: Poisson(1) at a uniform number that a hash of both and the seed gives.
+
+    So a weight needs no shuffle and no state, and is the same wherever it is computed.
+    """
+    digits = F.substring(F.md5(F.concat_ws("/", F.lit(str(seed)), replicate.cast("string"), cluster.cast("string")).cast("binary")), 1, 7)
+    u = F.conv(digits, 16, 10).cast("long") / float(16**7)
+    steps = itertools.accumulate(math.exp(-1) / math.factorial(k) for k in range(10))
+    return reduce(lambda a, b: a + b, [F.when(u >= c, 1).otherwise(0) for c in steps])
+
+
+def bootstrap_compare(preds: Mapping[str, DataFrame], truth: DataFrame, key: Sequence[str], cluster: str, reference: str, *, replicates: int = 200, level: float = 0.95, seed: int = 1, eps: float = 1e-12) -> DataFrame:
+    """compare_candidates with the difference from a reference and its bootstrap interval over whole clusters, such as seasons.
+
+    Samples are summed once by candidate and cluster; replicates reweight these sums, so the samples are read
+    once and never repeated.  A replicate weighs a cluster alike for all candidates, so their differences are paired.
+    truth has (key, cluster, truth); samples without a cluster are one.
+    """
+    common = truth.select(*key)
+    for p in preds.values():
+        common = common.join(p, list(key), "left_semi")
+    shared = truth.select(*key, F.col(cluster).alias("__cluster"), "truth").join(common, list(key), "left_semi")
+    each = []
+    for name, p in preds.items():
+        hit = shared.join(p.withColumnRenamed("cls", "truth"), [*key, "truth"], "left")
+        each.append(hit.groupBy("__cluster").agg(n_rows(), F.sum(neg_log(F.coalesce("p", F.lit(0.0)), eps)).alias("loss")).withColumn("candidate", F.lit(name)))
+    sums = reduce(DataFrame.unionByName, each)
+    number = F.coalesce(F.col("__cluster").cast("string"), F.lit(""))
+    drawn = sums.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("w", poisson_weight(F.col("b"), number, seed))
+    per = drawn.groupBy("candidate", "b").agg(F.try_divide(F.sum(F.col("w") * F.col("loss")), F.sum(F.col("w") * F.col("n"))).alias("loss"))
+    other = per.where(F.col("candidate") == reference).select("b", F.col("loss").alias("__loss"))
+    tails = [(1 - level) / 2, (1 + level) / 2]
+    # A row per replicate and candidate.
+    spread = per.join(other, "b").groupBy("candidate").agg(F.percentile(F.col("loss") - F.col("__loss"), F.array(*map(F.lit, tails))).alias("q"))
+    whole = sums.groupBy("candidate").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("clusters"), (F.sum("loss") / F.sum("n")).alias("log_loss"))
+    base = whole.where(F.col("candidate") == reference).select(F.col("log_loss").alias("__base"))
+    out = whole.join(spread, "candidate", "left").crossJoin(F.broadcast(base))  # one row
+    return out.select("candidate", "n", "clusters", "log_loss", (F.col("log_loss") - F.col("__base")).alias("difference"), F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
+
+
 def select_setting(scores: DataFrame, metric: str, lower_is_better: bool = True) -> DataFrame:
     """The setting with the best declared metric on validation rows; other rows are never looked at."""
     order = F.col(metric) if lower_is_better else -F.col(metric)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.operators.elimination import statuses
+from hindcast.operators.scoring import poisson_weight
 
 
 def regular_title(standings: DataFrame) -> DataFrame:
@@ -87,6 +88,17 @@ def draw_stability(draws: DataFrame, rule: Sequence[Column]) -> DataFrame:
     return per.groupBy("team").agg(F.count(F.lit(1)).alias("repeats"), F.avg("p").alias("mean"), F.stddev_samp("p").alias("spread"))
 
 
+def draw_intervals(draws: DataFrame, rule: Sequence[Column], *, replicates: int = 200, level: float = 0.95, seed: int = 1) -> DataFrame:
+    """Title shares with bootstrap intervals over whole repeats: what other repeats of as many draws might have shown; this is no accuracy."""
+    ranked = draws.withColumn("rank", F.rank().over(Window.partitionBy("repeat", "draw_id").orderBy(*rule)))
+    per = ranked.groupBy("team", "repeat").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("rank") == 1).alias("titles"))
+    drawn = per.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("w", poisson_weight(F.col("b"), F.col("repeat"), seed))
+    share = drawn.groupBy("team", "b").agg(F.try_divide(F.sum(F.col("w") * F.col("titles")).cast("double"), F.sum(F.col("w") * F.col("n"))).alias("p"))
+    q = share.groupBy("team").agg(F.percentile("p", F.array(F.lit((1 - level) / 2), F.lit((1 + level) / 2))).alias("q"))
+    whole = per.groupBy("team").agg(F.count(F.lit(1)).alias("repeats"), (F.sum("titles") / F.sum("n")).alias("p_title"))
+    return whole.join(q, "team").select("team", "repeats", "p_title", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
+
+
 def replay_fixed(draws: DataFrame, confirmed: DataFrame) -> DataFrame:
     """Drawn results give way to confirmed ones: draws (draw_id, game_id, cls), confirmed (game_id, cls)."""
     fixed = confirmed.select("game_id", F.col("cls").alias("fixed"))

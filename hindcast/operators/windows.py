@@ -7,11 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hindcast.operators import slices
 
-def rolling_days(df: DataFrame, part: Sequence[str], ts: str, n: int, cols: Sequence[str]) -> DataFrame:
-    """Totals of the last n days, the row's own day left out; null where there is nothing."""
-    w = Window.partitionBy(*part).orderBy(F.unix_date(F.col(ts).cast("date"))).rangeBetween(-n, -1)
-    return df.withColumns({f"{c}_{n}d": F.sum(c).over(w) for c in cols})
+
+def rolling_days(df: DataFrame, part: Sequence[str], ts: str, n: int, cols: Sequence[str], *, by_day: bool = False) -> DataFrame:
+    """Totals of the last n days, the row's own day left out; null where there is nothing.
+
+    by_day sums each key's days first, with partial sums, runs the window over days and joins rows to their day: a key
+    with very many rows is then no more rows in one task than it has days.
+    """
+    day = F.unix_date(F.col(ts).cast("date"))
+    w = Window.partitionBy(*part).orderBy(day if not by_day else "__day").rangeBetween(-n, -1)
+    if not by_day:
+        return df.withColumns({f"{c}_{n}d": F.sum(c).over(w) for c in cols})
+    days = df.groupBy(*part, day.alias("__day")).agg(*[F.sum(c).alias(f"__{c}") for c in cols])
+    totals = days.select(*[F.col(k).alias(f"__key_{k}") for k in part], F.col("__day").alias("__of"), *[F.sum(f"__{c}").over(w).alias(f"{c}_{n}d") for c in cols])
+    same = slices._same(part, "__key_") & day.eqNullSafe(F.col("__of"))
+    return df.join(totals, same, "left").select(*df.columns, *[f"{c}_{n}d" for c in cols])
 
 
 def rolling_games(df: DataFrame, part: Sequence[str], order: Sequence[str], n: int, cols: Sequence[str]) -> DataFrame:
@@ -19,9 +31,22 @@ def rolling_games(df: DataFrame, part: Sequence[str], order: Sequence[str], n: i
     return df.withColumns({f"{c}_{n}g": F.sum(c).over(w) for c in cols})
 
 
-def expanding(df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumns({f"{c}_before": F.sum(c).over(w) for c in cols})
+def expanding(df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str], *, hot: int | None = None) -> DataFrame:
+    """Totals of all rows before; null where there is nothing.
+
+    With hot, keys with more rows than that are cut into slices by the first order column: sums within a slice, plus
+    the totals of the slices before it.
+    """
+    before = lambda keys: Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    if hot is None:
+        return df.withColumns({f"{c}_before": F.sum(c).over(before(part)) for c in cols})
+    rows = slices.sliced(df, part, order[0], slices.cuts(df, part, order[0], hot))
+    keys = [*part, slices.SLICE]
+    totals = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in cols])
+    carry = slices.carried(totals, part, {f"__carried_{c}": F.sum(c) for c in cols})
+    rows = slices.with_carried(rows.withColumns({f"__own_{c}": F.sum(c).over(before(keys)) for c in cols}), carry, part)
+    own, old = (lambda c: F.col(f"__own_{c}")), (lambda c: F.col(f"__carried_{c}"))
+    return rows.select(*df.columns, *[F.coalesce(own(c) + old(c), own(c), old(c)).alias(f"{c}_before") for c in cols])
 
 
 def previous_pitch(df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str], k: int = 1) -> DataFrame:

@@ -125,6 +125,16 @@ def _(t):
     return aggregates.point_baseline(t.final, "home_runs", ["season"])
 
 
+@query("point_baseline_sketch", "SELECT season::BIGINT AS season, round(avg(o_totalprice), 6) AS mean, true AS near FROM (SELECT *, year(o_orderdate) AS season FROM {orders}) GROUP BY 1")
+def _(t):
+    """The sketch's median against exact ranks: no more than half and a thousandth of a season's values lie on either side."""
+    rows = t.orders.select(F.year("o_orderdate").alias("season"), "o_totalprice")
+    sketch = aggregates.point_baseline(rows, "o_totalprice", ["season"], accuracy=1000)
+    both = rows.join(F.broadcast(sketch), "season").groupBy("season", "mean")  # a row per season
+    side = lambda c: F.count_if(c) <= F.count(F.lit(1)) * 0.501 + 1
+    return both.agg((side(F.col("o_totalprice") < F.col("median")) & side(F.col("o_totalprice") > F.col("median"))).alias("near"))
+
+
 @query("rate_per_exposure", """WITH h AS (SELECT player_id, sum(hits) AS c, sum(CASE WHEN player_id % 9 <> 2 THEN exposure ELSE 0 END) AS e FROM {log} WHERE player_id % 6 <> 1 GROUP BY 1)
  SELECT p.player_id, round(c / nullif(e, 0) * (10 + p.player_id % 5), 6) AS expected, CASE WHEN h.player_id IS NULL THEN 'no history' WHEN e = 0 THEN 'no exposure' END AS reason
  FROM (SELECT DISTINCT player_id FROM {log}) p LEFT JOIN h ON h.player_id = p.player_id""")
@@ -194,6 +204,12 @@ def _(t):
     return windows.rolling_days(t.log, ["player_id"], "ts", 7, ["hits"]).select("event_id", "hits_7d")
 
 
+@query("rolling_days_by_day", "SELECT event_id, (sum(hits) OVER w)::BIGINT AS hits_7d FROM {log} WINDOW w AS (PARTITION BY player_id ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)")
+def _(t):
+    """As rolling_days, over totals of days."""
+    return windows.rolling_days(t.log, ["player_id"], "ts", 7, ["hits"], by_day=True).select("event_id", "hits_7d")
+
+
 @query("rolling_games", "SELECT event_id, (sum(hits) OVER w)::BIGINT AS hits_5g FROM {log} WINDOW w AS (PARTITION BY player_id ORDER BY ts ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)")
 def _(t):
     return windows.rolling_games(t.log, ["player_id"], ["ts"], 5, ["hits"]).select("event_id", "hits_5g")
@@ -204,6 +220,12 @@ def _(t):
     return windows.expanding(t.log, ["player_id"], ["ts"], ["hits"]).select("event_id", "hits_before")
 
 
+@query("expanding_hot", "SELECT event_id, (sum(hits) OVER w)::BIGINT AS hits_before FROM {log} WINDOW w AS (PARTITION BY player_id % 3 ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+def _(t):
+    """Three keys hold all rows: each is cut into slices of time."""
+    return windows.expanding(t.log.withColumn("third", F.col("player_id") % 3), ["third"], ["ts", "event_id"], ["hits"], hot=100).select("event_id", "hits_before")
+
+
 @query("previous_pitch", "SELECT event_id, lag(pitch_type) OVER w::BIGINT AS prev1_pitch_type, lag(pitch_result) OVER w AS prev1_pitch_result FROM {pitch} WINDOW w AS (PARTITION BY game_id ORDER BY ts)".replace("lag(pitch_type) OVER w::BIGINT", "(lag(pitch_type) OVER w)::BIGINT"))
 def _(t):
     return windows.previous_pitch(t.pitch, ["game_id"], ["ts"], ["pitch_type", "pitch_result"]).select("event_id", "prev1_pitch_type", "prev1_pitch_result")
@@ -262,13 +284,32 @@ def _(t):
     return _standings(t)
 
 
-@query("head_to_head_break", """WITH tied AS (SELECT season, wins, team FROM (SELECT *, count(*) OVER (PARTITION BY season, wins) AS n FROM {table}) WHERE n > 1),
- h AS (SELECT g.season, g.team, count(*) FILTER (g.runs > g.allowed) AS w FROM {team_game} g JOIN tied a ON a.season = g.season AND a.team = g.team JOIN tied b ON b.season = g.season AND b.team = g.opponent AND b.wins = a.wins WHERE g.status = 'F' GROUP BY 1, 2)
- SELECT season::BIGINT AS season, wins, team::BIGINT AS team, coalesce(w, 0) AS h2h_wins, rank() OVER (PARTITION BY season, wins ORDER BY coalesce(w, 0) DESC, team) AS h2h_rank FROM tied LEFT JOIN h USING (season, team)""")
+_FIRST = "SELECT season, band, team, 1 AS set, 0 AS rounds, 0::BIGINT AS h FROM (SELECT season, team, {band} AS band, count(*) OVER (PARTITION BY season, {band}) AS n FROM {{{{table}}}}) WHERE n > 1"
+_ROUND = """SELECT a.season, a.band, a.team, set + rank() OVER (PARTITION BY a.season, a.band, set ORDER BY coalesce(w, 0) DESC) - 1 AS set,
+   CASE WHEN min(coalesce(w, 0)) OVER p <> max(coalesce(w, 0)) OVER p THEN {k} ELSE rounds END AS rounds, CASE WHEN count(*) OVER p > 1 THEN coalesce(w, 0) ELSE h END AS h
+   FROM t{j} a LEFT JOIN (SELECT x.season, x.team, count(*) FILTER (g.runs > g.allowed) AS w FROM t{j} x JOIN {{team_game}} g ON g.status = 'F' AND g.season = x.season AND g.team = x.team
+     JOIN t{j} y ON y.season = x.season AND y.team = g.opponent AND y.band = x.band AND y.set = x.set GROUP BY 1, 2) b ON b.season = a.season AND b.team = a.team WINDOW p AS (PARTITION BY a.season, a.band, set)"""
+
+
+def _h2h_sql(band, name):
+    """Tied sets, parted again and again: five rounds, of which the last must change nothing."""
+    steps = [f"t0 AS ({_FIRST.format(band=band).format()})", *(f"t{k} AS ({_ROUND.format(k=k, j=k - 1)})" for k in range(1, 6))]
+    return f"""WITH {", ".join(steps)} SELECT season::BIGINT AS season, band AS {name}, team::BIGINT AS team, h AS h2h_wins, rounds::BIGINT AS rounds, count(*) OVER (PARTITION BY season, band, set) > 1 AS open,
+ row_number() OVER (PARTITION BY season, band ORDER BY set, team) AS h2h_rank FROM t5"""
+
+
+@query("head_to_head_break", _h2h_sql("wins", "wins"))
 def _(t):
     return ranking.head_to_head_break(t.team_game.where("status = 'F'"), _standings(t), ["season"], "wins")
 
 
+@query("head_to_head_break_bands", _h2h_sql("wins // 12", "band"))
+def _(t):
+    """Ties of many teams, which part in several rounds."""
+    table = _standings(t).withColumn("band", F.floor(F.col("wins") / 12))
+    return ranking.head_to_head_break(t.team_game.where("status = 'F'"), table, ["season"], "band")
+
+
 @query("top_candidates", "SELECT game_id, batter::BIGINT AS batter, n, row_number() OVER (PARTITION BY game_id ORDER BY n DESC, batter) AS rank FROM (SELECT game_id, batter, count(*) AS n FROM {pitch} GROUP BY 1, 2) QUALIFY rank <= 2")
 def _(t):
     return ranking.top_candidates(aggregates.usage_frequency(t.pitch, ["game_id"], "batter").drop("share"), ["game_id"], 2, [F.desc("n"), F.col("batter")])

@@ -349,6 +349,14 @@ def _(t):
     return joins.join_asof_snapshot(req, snap, ["user_id"], "ts", "ts", ["snapshot_id"]).select("event_id", "snapshot_id")
 
 
+@query("join_asof_hot", "SELECT r.event_id, s.event_id AS snapshot_id FROM (SELECT * FROM {events} WHERE event_type = 'purchase') r ASOF LEFT JOIN (SELECT * FROM {events} WHERE event_type = 'view') s ON r.user_id % 2 = s.user_id % 2 AND r.ts > s.ts")
+def _(t):
+    """Two keys hold all rows: each is cut into slices of time, and the last snapshot is carried across them."""
+    rows = t.events.withColumn("half", F.col("user_id") % 2)
+    req, snap = rows.where("event_type = 'purchase'").select("event_id", "half", "ts"), rows.where("event_type = 'view'").select("half", "ts", F.col("event_id").alias("snapshot_id"))
+    return joins.join_asof_snapshot(req, snap, ["half"], "ts", "ts", ["snapshot_id"], hot=100).select("event_id", "snapshot_id")
+
+
 @query("join_horizon", "SELECT event_id, anchor FROM {log} JOIN {mondays} ON day >= anchor AND day < anchor + 28")
 def _(t):
     return joins.join_horizon(t.log, t.mondays, "ts", 28).select("event_id", "anchor")

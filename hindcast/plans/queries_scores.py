@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from hindcast.operators import aggregates, baselines, estimators, ranking, scoring, season, splits, value
@@ -231,6 +233,28 @@ def _(t):
     return scoring.compare_candidates({"model": t.preds, "uniform": uniform}, _truth(t), KEY)
 
 
+#: Weights of the bootstrap: thresholds of Poisson(1), as the rule gives them.
+_CDF = [sum(math.exp(-1) / math.factorial(k) for k in range(n + 1)) for n in range(10)]
+_U = "(('0x' || substr(md5({seed} || '/' || b || '/' || {cluster}), 1, 7))::BIGINT / 268435456.0)"
+
+
+def _weight(cluster, seed="'1'"):
+    u = _U.format(seed=seed, cluster=cluster)
+    return "(" + " + ".join(f"CASE WHEN {u} >= {c!r} THEN 1 ELSE 0 END" for c in _CDF) + ")"
+
+
+@query("bootstrap_compare", f"""WITH f AS (SELECT * FROM {{final}} WHERE game_id % 3 <> 0), s AS (SELECT 'model' AS candidate, f.season AS c, count(*) AS n, sum(-ln(p)) AS loss FROM {{preds}} p JOIN f ON p.game_id = f.game_id AND p.cls = f.truth GROUP BY 2
+   UNION ALL SELECT 'uniform', season, count(*), count(*) * -ln(1.0 / 3) FROM f GROUP BY 2),
+ d AS (SELECT candidate, b, sum(w * loss) / nullif(sum(w * n), 0) AS loss FROM (SELECT *, {_weight('c')} AS w FROM s, range(1, 201) r(b)) GROUP BY 1, 2),
+ q AS (SELECT x.candidate, quantile_cont(x.loss - y.loss, 0.025) AS lo, quantile_cont(x.loss - y.loss, 0.975) AS hi FROM d x JOIN d y ON y.b = x.b AND y.candidate = 'uniform' GROUP BY 1),
+ t AS (SELECT candidate, sum(n)::BIGINT AS n, count(*) AS clusters, sum(loss) / sum(n) AS l FROM s GROUP BY 1)
+ SELECT candidate, n, clusters, round(l, 6) AS log_loss, round(l - (SELECT l FROM t WHERE candidate = 'uniform'), 6) AS difference, round(lo, 6) AS lo, round(hi, 6) AS hi FROM t JOIN q USING (candidate)""")
+def _(t):
+    """Is the model better than guessing, given that seasons differ?"""
+    uniform = t.preds.where("game_id % 3 <> 0").withColumn("p", F.lit(1.0) / 3)
+    return scoring.bootstrap_compare({"model": t.preds, "uniform": uniform}, _truth(t, "season"), KEY, "season", "uniform")
+
+
 @query("select_setting", "SELECT setting, round(m, 6) AS score FROM (SELECT home_team::BIGINT AS setting, avg(away_runs) AS m FROM {final} WHERE season = 1999 GROUP BY 1) QUALIFY row_number() OVER (ORDER BY m, setting) = 1")
 def _(t):
     scores = t.final.where("season >= 1999").groupBy(F.col("home_team").alias("setting"), F.when(F.col("season") == 1999, "validation").otherwise("test").alias("split")).agg(F.avg("away_runs").alias("score"))
@@ -442,6 +466,7 @@ def _(t):
     return season.advance_probability(meet, cond)
 
 
+_RANKED_DRAWS_BY_REPEAT = "(SELECT *, rank() OVER (PARTITION BY repeat, draw_id ORDER BY wins DESC, team) AS r FROM {draws})"
 _RANKED_DRAWS = "(SELECT *, rank() OVER (PARTITION BY draw_id ORDER BY wins DESC, team) AS r FROM {draws})"
 
 
@@ -455,6 +480,14 @@ def _(t):
     return season.draw_stability(t.draws, [F.desc("wins"), F.col("team")])
 
 
+@query("draw_intervals", f"""WITH p AS (SELECT team, repeat, count(*) AS n, count(*) FILTER (r = 1) AS titles FROM {_RANKED_DRAWS_BY_REPEAT} GROUP BY 1, 2),
+ d AS (SELECT team, b, sum(w * titles) / nullif(sum(w * n), 0) AS p FROM (SELECT *, {_weight('repeat', "'7'")} AS w FROM p, range(1, 101) r(b)) GROUP BY 1, 2),
+ q AS (SELECT team, quantile_cont(p, 0.05) AS lo, quantile_cont(p, 0.95) AS hi FROM d GROUP BY 1), t AS (SELECT team, count(*) AS repeats, sum(titles) / sum(n) AS p FROM p GROUP BY 1)
+ SELECT team::BIGINT AS team, repeats, round(p, 6) AS p_title, round(lo, 6) AS lo, round(hi, 6) AS hi FROM t JOIN q USING (team)""")
+def _(t):
+    return season.draw_intervals(t.draws, [F.desc("wins"), F.col("team")], replicates=100, level=0.9, seed=7)
+
+
 @query("replay_fixed", "SELECT d.draw_id::BIGINT AS draw_id, g.game_id, coalesce(f.truth, d.cls) AS cls, f.truth IS NOT NULL AS is_fixed FROM {game} g CROSS JOIN (SELECT 1 AS draw_id, 'H' AS cls UNION ALL SELECT 2, 'A') d LEFT JOIN {final} f ON f.game_id = g.game_id")
 def _(t):
     drawn = t.game.select("game_id", F.explode(F.expr("array(named_struct('draw_id', 1L, 'cls', 'H'), named_struct('draw_id', 2L, 'cls', 'A'))")).alias("d")).select("game_id", "d.*")
@@ -564,6 +597,100 @@ def _(t):
     return model.transform(rows.where(F.col("game_date") >= cut())).select("game_id", "side", F.round("prediction", 3).alias("prediction"))
 
 
+# Score equations of each fit: totals of the outcome by feature, which SQL knows, are those of the fitted values ------
+
+
+def _totals(source, outcomes, features, where):
+    """SQL of score_balance: n and the observed totals; the fit has to balance them."""
+    return f"WITH r AS {source}, tr AS (SELECT * FROM r WHERE {where}) " + " UNION ALL ".join(
+        f"SELECT '{name}' AS outcome, '{c}' AS feature, count({y}) AS n, round(sum({y} * {c or '1.0'}), 6)::DOUBLE AS observed, true AS balanced FROM tr" for name, y in outcomes.items() for c in ("", *features))
+
+
+_RUNS_BEFORE = "game_date < DATE '1998-01-01'"
+_THREE = ["is_home", "f1", "f2"]
+
+
+@query("fit_runs_balance", _totals(_SIDES, {"runs": "runs"}, _THREE, _RUNS_BEFORE))
+def _(t):
+    train = _team_rows(t).where(F.col("game_date") < cut())
+    fitted = estimators.fit_runs(train, _THREE).transform(train)
+    return estimators.score_balance(fitted, _THREE, {"runs": (F.col("runs"), F.col("prediction"))}).drop("fitted")
+
+
+@query("fit_win_balance", _totals(_SIDES, {"won": "CASE WHEN runs > allowed THEN 1.0 ELSE 0.0 END"}, _THREE, _RUNS_BEFORE))
+def _(t):
+    from pyspark.ml.functions import vector_to_array
+
+    train = _team_rows(t).where(F.col("game_date") < cut())
+    fitted = estimators.fit_win(train, _THREE).transform(train)
+    return estimators.score_balance(fitted, _THREE, {"won": (F.col("won"), vector_to_array("probability")[1])}).drop("fitted")
+
+
+_PLAYER_SQL = f"(SELECT anchor, stat, y, CASE WHEN stat = 'hits' THEN 1.0 ELSE 0.0 END AS is_hits, CASE WHEN stat = 'outs' THEN 1.0 ELSE 0.0 END AS is_outs, CAST(player_id % 5 AS DOUBLE) AS f1 FROM (SELECT player_id, anchor, unnest(['hits', 'outs', 'exposure']) AS stat, unnest([hits, outs, exposure]) AS y FROM {_WEEKS}) WHERE player_id % 2 = 0)"
+
+
+@query("fit_player_balance", _totals(_PLAYER_SQL, {"y": "y"}, ["is_hits", "is_outs", "f1"], "anchor < DATE '2024-01-22'"))
+def _(t):
+    names, train = ["is_hits", "is_outs", "f1"], _player_rows(t).where("role = 'batter' and anchor < '2024-01-22'")
+    fitted = estimators.fit_player(train, "batter", names).transform(train)
+    return estimators.score_balance(fitted, names, {"y": (F.col("y"), F.col("prediction"))}).drop("fitted")
+
+
+_PITCH_SQL = "(SELECT half_id, pitch_result AS cls, pitch_type || '/' || pitch_result AS joint, CAST(batter AS DOUBLE) AS f1, CAST(runner AS DOUBLE) AS f2, plate_x, plate_z FROM {pitch})"
+_EARLY = "half_id < DATE '2024-01-15'"
+
+
+def _class_totals(label):
+    """SQL of class_balance, an outcome per class that the training rows have."""
+    return f"WITH r AS {_PITCH_SQL}, tr AS (SELECT * FROM r WHERE {_EARLY}), k AS (SELECT DISTINCT {label} AS c FROM tr) " + " UNION ALL ".join(
+        f"SELECT c AS outcome, '{x}' AS feature, count(*) AS n, round(sum(CASE WHEN {label} = c THEN {x or '1.0'} ELSE 0 END), 6)::DOUBLE AS observed, true AS balanced FROM tr, k GROUP BY 1" for x in ("", "f1", "f2"))
+
+
+@query("fit_pa_balance", _class_totals("cls"))
+def _(t):
+    train = _pitch_rows(t).where("half_id < '2024-01-15'")
+    return estimators.class_balance(estimators.fit_pa(train, ["f1", "f2"]), train, ["f1", "f2"], "cls").drop("fitted")
+
+
+@query("fit_pitch_balance", _class_totals("joint"))
+def _(t):
+    train = _pitch_rows(t).where("half_id < '2024-01-15'")
+    return estimators.class_balance(estimators.fit_pitch(train, ["f1", "f2"])[0], train, ["f1", "f2"], "joint").drop("fitted")
+
+
+_LONG_SQL = _PITCH_SQL.replace("(SELECT half_id", "(SELECT half_id, coordinate, axis, f1, f2, axis AS is_second, f1 * axis AS f1_x_axis, f2 * axis AS f2_x_axis FROM (SELECT half_id", 1).replace("plate_x, plate_z FROM", "unnest([plate_x, plate_z]) AS coordinate, unnest([0.0, 1.0]) AS axis FROM")[:-1] + ") WHERE coordinate IS NOT NULL)"
+
+
+@query("fit_location_balance", _totals(_LONG_SQL, {"coordinate": "coordinate"}, ["f1", "f2", "is_second", "f1_x_axis", "f2_x_axis"], _EARLY))
+def _(t):
+    train = _pitch_rows(t).where("half_id < '2024-01-15'")
+    _, model = estimators.fit_pitch(train, ["f1", "f2"])
+    long, names = estimators.location_rows(train, ["f1", "f2"])
+    return estimators.score_balance(model.transform(long), names, {"coordinate": (F.col("coordinate"), F.col("prediction"))}).drop("fitted")
+
+
+# Least squares of three features by Cramer's rule, for contributions under coefficients that SQL knows.
+_COV = "SELECT " + ", ".join(f"covar_pop({a}, {b}) AS s{i}{j}" for i, a in enumerate(_THREE) for j, b in enumerate(_THREE)) + ", " + ", ".join(f"covar_pop({a}, runs) AS r{i}, avg({a}) AS m{i}" for i, a in enumerate(_THREE)) + " FROM tr"
+
+
+def _det(columns):
+    a, b, c = columns
+    return f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {b[0]} * ({a[1]} * {c[2]} - {a[2]} * {c[1]}) + {c[0]} * ({a[1]} * {b[2]} - {a[2]} * {b[1]}))"
+
+
+_S = [[f"s{i}{j}" for i in range(3)] for j in range(3)]
+_COEFFICIENT = [f"{_det([['r0', 'r1', 'r2'] if k == j else _S[k] for k in range(3)])} / {_det(_S)}" for j in range(3)]
+
+
+@query("linear_contributions_least_squares", f"WITH r AS {_SIDES}, tr AS (SELECT * FROM r WHERE {_RUNS_BEFORE}), v AS ({_COV}) " + " UNION ALL ".join(f"SELECT game_id, side, '{c}' AS feature, round({_COEFFICIENT[j]} * ({c} - m{j}), 6) AS contribution FROM r, v" for j, c in enumerate(_THREE)))
+def _(t):
+    """Contributions under a fitted linear model of all features."""
+    rows = _team_rows(t)
+    train = rows.where(F.col("game_date") < cut())
+    coefficients = estimators.fit_linear(train, _THREE, "runs").stages[-1].coefficients.toArray().tolist()
+    return estimators.linear_contributions(rows, coefficients, train.agg(*[F.avg(c).alias(c) for c in _THREE]), _THREE, ["game_id", "side"])
+
+
 # Each estimator beside the baseline of its problem, on the samples both cover ------------------------------------
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from hindcast.functions import scalars
-from hindcast.operators import aggregates, elimination, gates, joins, labels, quality, ranking, scoring, season, splits, value, windows
+from hindcast.operators import aggregates, elimination, estimators, gates, joins, labels, quality, ranking, scoring, season, splits, value, windows
 from hindcast.plans.fixtures import Tables
 
 
@@ -168,6 +169,93 @@ def test_lock_status_against_all_outcomes(draws):
                 assert elimination.status_of(t, wins, games, slots, draws) == ("clinched" if sure else "eliminated" if out else "open"), (t, wins, games, slots)
 
 
+def _h2h(spark, results, wins):
+    """Rows of head_to_head_break for games (winner, loser, times) between teams with given wins."""
+    games = [(1, a, b, 2, 1) for a, b, n in results for _ in range(n)] + [(1, b, a, 1, 2) for a, b, n in results for _ in range(n)]
+    table = spark.createDataFrame([(1, t, w) for t, w in wins.items()], "season int, team int, wins int")
+    out = ranking.head_to_head_break(spark.createDataFrame(games, "season int, team int, opponent int, runs int, allowed int"), table, ["season"], "wins")
+    return {r["team"]: (r["h2h_rank"], r["rounds"], r["open"]) for r in out.collect()}
+
+
+def test_circular_tie_stays_open(spark):
+    out = _h2h(spark, [(1, 2, 3), (2, 3, 3), (3, 1, 3)], {1: 5, 2: 5, 3: 5, 4: 9})
+    assert out == {1: (1, 0, True), 2: (2, 0, True), 3: (3, 0, True)}
+
+
+def test_tie_of_four_parts_in_two_steps(spark):
+    # Among four, 4 wins most and 3 least; 1 and 2 have the same, and only their own games tell that 2 is ahead of 1.
+    out = _h2h(spark, [(4, 1, 2), (4, 2, 2), (4, 3, 1), (2, 1, 1), (1, 3, 2), (2, 3, 1), (3, 4, 1)], {1: 7, 2: 7, 3: 7, 4: 7})
+    assert out == {4: (1, 1, False), 2: (2, 2, False), 1: (3, 2, False), 3: (4, 1, False)}
+
+
+def test_crps_of_sparse_support(spark):
+    pmf = spark.createDataFrame([(1, 0, 0.5), (1, 5, 0.5), (2, 0, 0.5), (2, 5, 0.5), (3, 2, 1.0), (4, 1, 0.4), (4, 3, 0.4), (5, None, 1.0), (6, 1, None)], "g int, k int, p double")
+    y = lambda *r: scoring.crps_discrete(pmf, spark.createDataFrame(r, "g int, y int"), "g").first()
+    assert (y((1, 3))["crps"], y((2, 8))["crps"], y((3, -1))["crps"], y((3, 2))["crps"]) == (1.25, 4.25, 3.0, 0.0)
+    out = y((4, 3))  # 0.2 isn't listed and stands at 3
+    assert abs(out["crps"] - 2 * 0.4**2) < 1e-12 and abs(out["unlisted"] - 0.2) < 1e-12
+    out = y((1, 3), (5, 1), (6, 1), (7, 1), (3, None))
+    assert (out["n"], out["unforecast"], out["unobserved"], out["crps"]) == (1, 3, 1, 1.25)
+
+
+def test_samples_without_forecast_count(spark):
+    preds, truth = spark.createDataFrame([(1, "H", 0.9), (3, "H", None)], "g int, cls string, p double"), spark.createDataFrame([(1, "H"), (2, "H"), (3, "A"), (4, None)], "g int, truth string")
+    conf = scoring.confusion(preds, truth, ["g"])
+    assert {(r["truth"], r["predicted"]): r["n"] for r in conf.collect()} == {("H", "H"): 1, ("H", None): 1, ("A", None): 1}
+    assert tuple(scoring.accuracy(conf).first()) == (1 / 3, 3)
+    assert {r["cls"]: (r["recall"], r["support"]) for r in scoring.class_report(conf).collect()} == {"H": (0.5, 2), "A": (0.0, 1)}
+    y = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, None)], "g int, y double")
+    out = scoring.interval_score(spark.createDataFrame([(1, 0.0, 3.0), (3, 0.0, 1.0)], "g int, lo double, hi double"), y, ["g"]).first()
+    assert (out["n"], out["unforecast"], out["unobserved"], out["coverage"], out["width"]) == (1, 1, 1, 1.0, 3.0)
+    ratio = scoring.ratio_mae(spark.createDataFrame([(1, 0.5)], "g int, y_hat double"), spark.createDataFrame([(1, 1, 2), (2, 1, 2), (3, 1, 2), (4, 1, 0)], "g int, num int, den int"), ["g"]).first()
+    assert (ratio["n"], ratio["unforecast"], ratio["unobserved"], ratio["coverage"], ratio["den"]) == (1, 2, 1, 0.25, 2)
+
+
+def test_unknown_state_is_no_end(spark):
+    states = spark.createDataFrame([(1, 1, "a", 0), (1, 2, None, 1), (1, 3, "a", 2)], "h int, i int, s string, runs int")
+    re = spark.createDataFrame([("a", 0.5)], "s string, expected double")
+    assert sorted(rows(value.run_value(states, re, "h", ["i"], ["s"], "runs"))) == [(1, 1, None, None), (1, 2, None, None), (1, 3, -0.5, 1.5)]
+    known = re.union(spark.createDataFrame([(None, 0.25)], re.schema))
+    assert sorted(rows(value.run_value(states, known, "h", ["i"], ["s"], "runs"))) == [(1, 1, -0.25, -0.25), (1, 2, 0.25, 1.25), (1, 3, -0.5, 1.5)]
+
+
+def test_nothing_vanishes(spark):
+    lev = value.leverage(spark.createDataFrame([("x", "y", 0.5), ("x", "z", 0.5), ("y", "x", 1.0)], "state string, next string, p double"), spark.createDataFrame([("x", 0.5), ("y", 1.0)], "state string, win_share double"))
+    assert {r["state"]: (r["swing"], r["covered"]) for r in lev.collect()} == {"x": (None, 0.5), "y": (0.5, 1.0)}
+    adv = season.advance_probability(spark.createDataFrame([("a", "b", 0.5), ("a", "c", 0.5), ("b", "a", 1.0)], "team string, opponent string, p_meet double"), spark.createDataFrame([("a", "b", 0.6), ("b", "a", 0.4)], "team string, opponent string, p_win double"))
+    assert {r["team"]: (r["p_advance"], r["covered"]) for r in adv.collect()} == {"a": (None, 0.5), "b": (0.4, 1.0)}
+    assert quality.qc_probability(spark.createDataFrame([(1, None), (2, 1.0), (3, 1.0), (3, None)], "k int, p double"), ["k"]).select("k").distinct().count() == 2
+    inputs = spark.createDataFrame([(1, None, 1), (2, 1, 1), (3, 1, 1), (None, 1, 1)], "s int, e int, a int")
+    leaks = splits.leak_report(inputs, spark.createDataFrame([(1, 5), (2, None)], "s int, cutoff int"), "s", "e", "a")
+    assert {r["cause"]: (r["n_rows"], r["n_samples"]) for r in leaks.collect()} == {"no event time": (1, 1), "no cutoff": (1, 1), "unknown sample": (2, 2)}
+
+
+def test_bootstrap_is_seeded_and_paired(spark, small):
+    t = Tables(spark, small)
+    truth = t.final.select("game_id", "truth", "season")
+    same = scoring.bootstrap_compare({"a": t.preds, "b": t.preds}, truth, ["game_id"], "season", "a", replicates=50).collect()
+    assert {(r["difference"], r["lo"], r["hi"]) for r in same} == {(0.0, 0.0, 0.0)}
+    worse = {"a": t.preds, "b": t.preds.withColumn("p", F.col("p") * 0.5)}
+    runs = [{r["candidate"]: tuple(r) for r in scoring.bootstrap_compare(worse, truth, ["game_id"], "season", "a", replicates=50, seed=s).collect()} for s in (1, 1, 2)]
+    assert runs[0] == runs[1] and all(abs(r["b"][5] - math.log(2)) < 1e-9 and abs(r["b"][6] - math.log(2)) < 1e-9 for r in runs)
+    w = spark.range(400).select(F.explode(F.sequence(F.lit(1), F.lit(50))).alias("b"), "id").select(scoring.poisson_weight(F.col("b"), F.col("id"), 3).alias("w"))
+    m = w.agg(F.avg("w").alias("mean"), F.var_samp("w").alias("var")).first()
+    assert abs(m["mean"] - 1) < 0.03 and abs(m["var"] - 1) < 0.06
+
+
+def test_score_balance_tells_fits_from_others(spark):
+    rng = random.Random(2)
+    data = []
+    for _ in range(4000):
+        x = rng.random()
+        data.append((x, float(sum(rng.random() < 0.02 * math.exp(x) for _ in range(50)))))
+    df = spark.createDataFrame(data, "x double, y double")
+    fitted = estimators.fit_runs(df, ["x"], "y").transform(df)
+    good = estimators.score_balance(fitted, ["x"], {"y": (F.col("y"), F.col("prediction"))}).collect()
+    off = estimators.score_balance(fitted, ["x"], {"y": (F.col("y"), F.col("prediction") * 1.01)}).collect()
+    assert all(r["balanced"] and r["n"] == 4000 for r in good) and not any(r["balanced"] for r in off)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "k int, ts timestamp_ntz, hits int, exposure int")
     assert aggregates.horizon_counts(none, "ts", 28, ["k"], ["hits"]).count() == 0
