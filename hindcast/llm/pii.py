@@ -6,7 +6,8 @@ name of a secret (`password=...`) and access keys of a documented form.  The one
 three words left of an identifier, those right of it, and its form (kinds of
 characters, length) are its lexical patterns.  Spark scores the graph of patterns
 and distinct values in rounds: a pattern is believed as far as the values it
-surrounds are, seeds or values found in a round before; only patterns with enough
+surrounds are, seeds or values found in a round before; a form counts beside a believed
+context only; and only patterns with enough
 such values and a belief of `sure` count, and a value is believed by its best left,
 right and form pattern (noisy or).  So a value found by one context can bring in
 the next context.  What reaches `trust` is reported at all its places as kind "id"
@@ -61,26 +62,82 @@ def _good(kind: str, m: Column) -> Column:
         return F.when(F.length(digits).between(16, 19), _luhn(digits)).otherwise(False)
     if kind == "phone":
         return F.length(digits).between(8, 15)
+    if kind == "id":  # a number of a card's length is a card or, if it fails its test, none
+        return ~m.rlike(r"^[0-9]{16,19}$")
     return F.lit(True)
 
 
 SPAN = "array<struct<start:int,end:int>>"
+#: Matches whose lengths are added up at once.
+RUN = 64
+#: Code points of a text's chunks, and of the longest span that is taken from one: cutting a piece out of a text costs its whole length.
+CHUNK, LONGEST = 4096, 1024
+
+
+def _let(value: Column, body) -> Column:
+    """body of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _sum(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0), lambda x, y: x + y)
+
+
+def _places(pieces: Column, matches: Column) -> Column:
+    """(start, end, match) of the matches between pieces.
+
+    A place is the sum of all lengths before: of whole runs of RUN matches, from sums of runs, then within its own run; so the
+    work for n matches is RUN * n and a (n / RUN) ** 2 that stays small for any text.
+    """
+    steps = F.transform(F.arrays_zip(pieces.alias("p"), matches.alias("m")), lambda x: F.length(x["p"]) + F.coalesce(F.length(x["m"]), F.lit(0)))
+
+    def placed(a: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / RUN).cast("int")), lambda r: _sum(F.slice(a, r * RUN + 1, RUN)))
+
+        def of_runs(sums: Column) -> Column:
+            begins = F.transform(sums, lambda _, r: _sum(F.slice(sums, 1, r)))
+
+            def of_begins(at: Column) -> Column:
+                def one(m: Column, i: Column) -> Column:
+                    begin = at[F.floor(i / RUN).cast("int")] + _sum(F.slice(a, i - i % RUN + 1, i % RUN + 1)) - F.length(m)
+                    return F.struct(begin.alias("start"), (begin + F.length(m)).alias("end"), m.alias("match"))
+
+                return F.transform(matches, one)
+
+            return _let(begins, of_begins)
+
+        return _let(runs, of_runs)
+
+    return _let(steps, placed)
 
 
 def _spans(text: Column, kind: str, test: str, pattern: str) -> Column:
     """[start, end) in code points of the matches that are good; matches are leftmost and don't overlap."""
-    pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(pieces.alias("piece"), matches.alias("match"))
-    start = F.struct(F.lit(0).alias("at"), F.expr("array()").cast(SPAN).alias("out"))
+    none = F.expr("array()").cast(SPAN)
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["piece"])
-        end = begin + F.length(x["match"])
-        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(_good(kind, x["match"]), F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def kept(matches: Column) -> Column:
+        found = F.filter(_places(F.split(text, pattern, -1), matches), lambda x: _good(kind, x["match"]))
+        spans = F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+        return F.when(F.size(matches) > 0, spans).otherwise(none)
 
-    found = F.aggregate(F.filter(pairs, lambda x: x["match"].isNotNull()), start, step, lambda acc: acc["out"])
-    return F.when(text.rlike(test), found).otherwise(F.expr("array()").cast(SPAN))
+    return F.when(text.rlike(test), _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), kept)).otherwise(none)
+
+
+def _apart(candidates: Column, known: Column) -> Column:
+    """The candidates that overlap none of the known spans; both stand in order and overlap nothing of their own.
+
+    In the order of known starts and candidates' ends, what stands before a candidate besides other candidates are the known
+    spans that begin before its end; only the last of these can reach it.
+    """
+    ends = F.transform(candidates, lambda c, i: F.struct(c["end"].alias("at"), F.lit(0).alias("known"), i.alias("n")))
+    starts = F.transform(known, lambda k, i: F.struct(k["start"].alias("at"), F.lit(1).alias("known"), i.alias("n")))
+
+    def free(x: Column, p: Column) -> Column:
+        before = p - x["n"]
+        return (x["known"] == 0) & F.when(before > 0, known[before - 1]["end"] <= candidates[x["n"]]["start"]).otherwise(True)
+
+    left = F.transform(F.filter(F.array_sort(F.concat(ends, starts)), free), lambda x: candidates[x["n"]])
+    return F.when((F.size(candidates) > 0) & (F.size(known) > 0), left).otherwise(candidates)
 
 
 def _form(value: Column) -> Column:
@@ -111,10 +168,10 @@ def _patterns(before: Column, after: Column, form: Column, cut: Column) -> Colum
     return F.array_compact(F.array(F.concat(F.lit("F"), form), *left, *right))
 
 
-def score_values(graph: DataFrame, *, rounds: int = 4, trust: float = 0.6, support: int = 3, sure: float = 0.5) -> DataFrame:
+def score_values(graph: DataFrame, *, rounds: int = 4, trust: float = 0.6, support: int = 3, sure: float = 0.3) -> DataFrame:
     """(value, score) of graph (value, seed, pattern), distinct rows: values that reach trust; seeds have 1.
 
-    In each round a pattern's belief is the sum of the scores of its values over their number plus one, if
+    A value needs a believed context: its form alone is shared by what is no identifier.  In each round a pattern's belief is the sum of the scores of its values over their number plus one, if
     that sum is `support` and the belief `sure` at least; else none.
     """
     seeds = durable(graph.where("seed").select("value").distinct().withColumn("score", F.lit(1.0)))
@@ -124,34 +181,45 @@ def score_values(graph: DataFrame, *, rounds: int = 4, trust: float = 0.6, suppo
         belief = belief.withColumn("belief", F.col("mass") / (F.col("n") + 1)).where((F.col("mass") >= support) & (F.col("belief") >= sure)).select("pattern", "belief")
         best = graph.where("not seed").join(belief, "pattern").groupBy("value")
         best = best.agg(*[F.coalesce(F.max(F.when(F.col("pattern").startswith(k), F.col("belief"))), F.lit(0.0)).alias(k) for k in "LRF"])
-        found = best.select("value", (1 - (1 - F.col("L")) * (1 - F.col("R")) * (1 - F.col("F"))).alias("score")).where(F.col("score") >= trust)
+        found = best.where("L > 0 or R > 0").select("value", (1 - (1 - F.col("L")) * (1 - F.col("R")) * (1 - F.col("F"))).alias("score")).where(F.col("score") >= trust)
         scores = durable(seeds.union(found.join(seeds, "value", "left_anti")))
     return scores
 
 
-def find_pii(docs: DataFrame, *, rounds: int = 4, trust: float = 0.6, support: int = 3, sure: float = 0.5) -> DataFrame:
-    """One row per row of docs: doc_id, email, ip, card, phone, id: arrays of (start, end)."""
+def find_pii(docs: DataFrame, *, rounds: int = 4, trust: float = 0.6, support: int = 3, sure: float = 0.3, seeded: Column | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, email, ip, card, phone, id: arrays of (start, end).
+
+    seeded, a condition on docs, says whose assigned values may be seeds (all, if it is not given): what
+    the patterns find of the others' tells how well they find.
+    """
     text = F.col("text")
-    base = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).select(
-        "doc_id", F.monotonically_increasing_id().alias("row"), "text",
+    may = F.lit(True) if seeded is None else F.coalesce(seeded, F.lit(False))
+    base = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), may.alias("may")).select(
+        "doc_id", F.monotonically_increasing_id().alias("row"), "text", "may",
         *[_spans(text, *k).alias(k[0]) for k in KINDS], _spans(text, "id", "[0-9]", CANDIDATE).alias("candidates"))
     known = F.concat(*[k[0] for k in KINDS])
-    overlap = lambda c: F.exists(known, lambda k: (k["start"] < c["end"]) & (c["start"] < k["end"]))
 
     def item(certain: bool):
         def of(s: Column) -> Column:
-            value = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-            before = F.substring(text, F.greatest(F.lit(1), s["start"] - NEAR + 1), F.least(s["start"], F.lit(NEAR)))
-            seed = F.lit(True) if certain else before.rlike(ASSIGNED) | value.rlike(FORM)
-            after = F.substring(text, s["end"] + 1, F.lit(NEAR))
+            chunk = F.floor(s["start"] / CHUNK).cast("int")
+            near, at = F.col("chunks")[chunk], s["start"] - F.greatest(F.lit(0), chunk * CHUNK - NEAR)
+            size = s["end"] - s["start"]
+            long = size > LONGEST
+            value = F.when(long, F.substring(text, s["start"] + 1, size)).otherwise(F.substring(near, at + 1, size))
+            before = F.substring(near, F.greatest(F.lit(1), at - NEAR + 1), F.least(at, F.lit(NEAR)))
+            seed = F.lit(True) if certain else F.col("may") & (before.rlike(ASSIGNED) | value.rlike(FORM))
+            after = F.when(long, F.substring(text, s["end"] + 1, F.lit(NEAR))).otherwise(F.substring(near, at + size + 1, F.lit(NEAR)))
             return F.struct(s["start"], s["end"], F.lit(certain).alias("base"), seed.alias("seed"), F.xxhash64(value).alias("value"), _form(value).alias("form"), before.alias("before"), after.alias("after"))
 
         return of
 
+    for kind, *_ in KINDS:
+        base = base.withColumn("candidates", _apart(F.col("candidates"), F.col(kind)))
+    chunk = lambda i: F.substring(text, F.greatest(F.lit(1), i * CHUNK - NEAR + 1), F.lit(CHUNK + LONGEST + 2 * NEAR))
     base = durable(
-        base.withColumn("candidates", F.filter("candidates", lambda c: ~overlap(c)))
+        base.withColumn("chunks", F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / CHUNK).cast("int")), chunk))
         .withColumn("items", F.concat(F.transform(known, item(True)), F.transform("candidates", item(False))))
-        .drop("text", "candidates"))
+        .drop("text", "chunks", "candidates", "may"))
     items = base.select("row", F.explode("items").alias("i")).select("row", "i.*")
     graph = items.select("value", "seed", F.explode(_patterns(F.col("before"), F.col("after"), F.col("form"), F.col("start") > NEAR)).alias("pattern"))
     graph = graph.groupBy("value", "pattern").agg(F.bool_or("seed").alias("seed"))
