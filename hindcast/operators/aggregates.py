@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.functions.scalars import ratio_of
+from hindcast.functions.sizes import few
 from hindcast.operators.joins import horizon_rows
 
 
@@ -70,7 +71,7 @@ def conditional_rate(train: DataFrame, y: str, levels: Sequence[Sequence[str]],
     fine = train.groupBy(*levels[0], y).agg(n_rows())
     classes = fine.select(y).distinct()
     k = classes.agg(F.count(F.lit(1)).alias("k"))
-    grid = fine.select(*levels[0]).distinct().crossJoin(F.broadcast(classes)).crossJoin(k)  # classes are few
+    grid = fine.select(*levels[0]).distinct().crossJoin(few(classes)).crossJoin(k)  # classes are few
     p, level = None, None
     for i, cols in enumerate([*levels, []]):
         cell = fine.groupBy(*cols, y).agg(F.sum("n").alias(f"n{i}"))

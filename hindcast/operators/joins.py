@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hindcast.functions.scalars import monday_anchor
+from hindcast.functions.sizes import few
 from hindcast.operators import slices
 
 
@@ -85,7 +86,7 @@ def join_boundary_pair(states: DataFrame, game: str, order: Sequence[str], cols:
 
 def join_panel(players: DataFrame, anchors: DataFrame) -> DataFrame:
     """Every player at every anchor, whoever appears later; anchors is a table of Mondays, a few hundred rows."""
-    return players.crossJoin(F.broadcast(anchors))
+    return players.crossJoin(few(anchors))
 
 
 def join_season_rules(df: DataFrame, rules: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hindcast.functions.sizes import few
+
 
 def time_split(games: DataFrame, date: str, cuts: tuple[Column, Column]) -> DataFrame:
     """train before the first cut, validation before the second, test after; the dates are the caller's."""
@@ -29,7 +31,7 @@ def rolling_origin(df: DataFrame, origins: DataFrame, date: str, eval_days: int,
     origins is a small table of dates, so each row meets every origin once and
     keeps those that give it a role.
     """
-    both = df.join(F.broadcast(origins), F.col(date) < F.date_add("origin", eval_days))  # a few dates
+    both = df.join(few(origins), F.col(date) < F.date_add("origin", eval_days))  # a few dates
     role = F.when(F.col(date) >= F.col("origin"), "eval").when(F.lit(train_days is None) | (F.col(date) >= F.date_sub("origin", train_days or 0)), "train")
     return both.withColumn("role", role).where("role is not null")
 
