@@ -1,14 +1,16 @@
-"""License scans: a positional index of licence words, entered by key phrases.
+"""License scans: a positional index of licence words, entered by each template's rarest mandatory word.
 
 Templates are short public licence notices cut into words.  Of each file the
 licence words (template words that are not function words) are kept with their
-places; their document frequencies over all files give an IDF.  Each template
-is proposed at every place where its mandatory key phrase stands word for word,
-function words included: the scan looks the phrase up by its anchor, its first
-licence word.  There all licence words of the file are intersected with the
-template's postings by relative position, and the template counts if the IDF
-share of matched words is high enough.  What is proposed depends on neither the
-other licences of a file nor other files.  Base phrases are looked up by all
+places and the words that follow; their document frequencies over all files give
+an IDF.  Every template is entered by the licence word of its mandatory key phrase
+that has the highest IDF: each place of that word in a file proposes where the
+template would begin.  No template is missed, for its key phrase has to stand there
+as a whole.  The template's postings, shifted to that beginning, are intersected with the
+file's by place and word; the key phrase is verified word for word, function
+words by what follows the licence words, and the template counts if the IDF share
+of matched words is high enough.  What is proposed depends on neither the other
+licences of a file nor other files.  Base phrases are looked up alike, by all
 their words.
 
 Only licence words leave the scan, so no text is shuffled.  All of it is
@@ -21,7 +23,7 @@ rows; other columns are not looked at.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hindcast.llm.common import durable
@@ -59,36 +61,30 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _postings() -> list[tuple[int, str, str, int, bool, bool]]:
-    """(template, label, word, place, mandatory, base) of every posting."""
+#: Function words that stand between two licence words of a key phrase, at most.
+GAP = 4
+
+
+def _postings() -> list[tuple[int, str, str, int, bool, bool, str]]:
+    """(template, label, word, place, mandatory, base, then) of every posting; then are the key phrase's words up to its next posting."""
     out = []
     for k, (phrase, label) in enumerate(BASE):
-        out += [(k, label, w, i, True, True) for i, w in enumerate(phrase.split())]
+        out += [(k, label, w, i, True, True, "") for i, w in enumerate(phrase.split())]
     for k, (label, text, key) in enumerate(TEMPLATES, len(BASE)):
         words, must = text.split(), key.split()
         at = next(i for i in range(len(words)) if words[i : i + len(must)] == must)
         for i, w in enumerate(words):
             if w not in FUNCTION_WORDS:
-                out.append((k, label, w, i, at <= i < at + len(must), False))
+                inside, then = at <= i < at + len(must), []
+                while inside and i + 1 + len(then) < at + len(must) and words[i + 1 + len(then)] in FUNCTION_WORDS:
+                    then.append(words[i + 1 + len(then)])
+                out.append((k, label, w, i, inside, False, " ".join(then)))
     return out
 
 
 def postings(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"({k}, '{label}', '{w}', {i}, {str(m).lower()}, {str(b).lower()})" for k, label, w, i, m, b in _postings())
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS p(template, label, word, place, mandatory, base)")
-
-
-def _begun(hit: Column) -> Column:
-    """(template, begin) of each template whose whole key phrase stands in the column words with its anchor at the hit."""
-    found = []
-    for k, (_, text, key) in enumerate(TEMPLATES, len(BASE)):
-        words, must = text.split(), key.split()
-        at = next(i for i in range(len(words)) if words[i : i + len(must)] == must)
-        anchor = next(i for i, w in enumerate(must) if w not in FUNCTION_WORDS)
-        first = hit["at"] - anchor
-        stands = F.slice("words", F.greatest(first, F.lit(0)) + 1, F.lit(len(must))) == F.array(*map(F.lit, must))
-        found.append(F.when((hit["word"] == must[anchor]) & (first >= 0) & stands, F.struct(F.lit(k).alias("template"), (first - at).alias("begin"))))
-    return F.array_compact(F.array(*found))
+    rows = ", ".join(f"({k}, '{label}', '{w}', {i}, {str(m).lower()}, {str(b).lower()}, '{t}')" for k, label, w, i, m, b, t in _postings())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS p(template, label, word, place, mandatory, base, then)")
 
 
 def scan_licenses(docs: DataFrame, *, share: float = 0.6) -> DataFrame:
@@ -97,33 +93,29 @@ def scan_licenses(docs: DataFrame, *, share: float = 0.6) -> DataFrame:
     score is the largest IDF share of an accepted template, 1 for a base phrase alone, 0 without labels.
     """
     spark = docs.sparkSession
-    index = postings(spark)
     vocabulary = sorted({p[2] for p in _postings()})
     words = F.regexp_extract_all(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
-    hit = F.transform("words", lambda w, i: F.when(w.isin(vocabulary), F.struct(i.alias("at"), w.alias("word"))))
+    after = lambda i: F.array_join(F.slice("words", i + 2, GAP), " ")
+    hit = F.transform("words", lambda w, i: F.when(w.isin(vocabulary), F.struct(i.alias("at"), w.alias("word"), after(i).alias("after"))))
     files = durable(
         docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("row"), words.alias("words"))
-        .select("doc_id", "row", F.size("words").cast("long").alias("n_words"), "words", F.filter(hit, lambda h: h.isNotNull()).alias("hits"))
-        .withColumn("begun", F.flatten(F.transform("hits", _begun))).drop("words"))
-    hits = durable(files.select("row", F.explode("hits").alias("h")).select("row", "h.at", "h.word"))
+        .select("doc_id", "row", F.size("words").cast("long").alias("n_words"), F.filter(hit, lambda h: h.isNotNull()).alias("hits")))
+    hits = files.select("row", F.explode("hits").alias("h")).select("row", "h.*")
 
     n = files.agg(F.count(F.lit(1)).alias("n"))
     idf = hits.select("row", "word").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("df")).crossJoin(n)
     idf = idf.select("word", F.log((F.col("n") + 1) / (F.col("df") + 0.5)).alias("idf"))
-    index = index.join(idf, "word", "left").fillna(0.0, ["idf"])  # a row per template word, a few hundred
-
-    begins = files.select("row", F.explode("begun").alias("b")).select("row", "b.template", "b.begin").distinct()
-
-    def matched(postings: DataFrame) -> DataFrame:
-        found = hits.join(F.broadcast(postings), "word").withColumn("begin", F.col("at") - F.col("place"))
-        return found.groupBy("row", "template", "label", "begin").agg(F.count_if("mandatory").alias("must"), F.sum("idf").alias("weight"))
-
-    whole = index.groupBy("template").agg(F.count_if("mandatory").alias("needed"), F.sum("idf").alias("all"))
-    verified = matched(index.where("not base")).join(begins, ["row", "template", "begin"], "left_semi").join(F.broadcast(whole), "template").where("must = needed")
-    verified = verified.withColumn("share", F.when(F.col("all") > 0, F.col("weight") / F.col("all")).otherwise(1.0)).where(F.col("share") >= share)
-    base = matched(index.where("base")).join(F.broadcast(whole), "template").where("must = needed")
-    both = base.select("row", "begin", "label", F.lit(1.0).alias("share"), F.lit(True).alias("base")).unionByName(
-        verified.select("row", "begin", "label", "share", F.lit(False).alias("base")))
+    index = durable(postings(spark).join(idf, "word", "left").fillna(0.0, ["idf"]))  # a row per template word, a few hundred
+
+    rarest = F.max_by(F.struct("word", "place"), F.struct("idf", -F.col("place")))
+    entry = index.where("mandatory").groupBy("template").agg(rarest.alias("e"), F.count_if("mandatory").alias("needed")).select("template", "e.word", "e.place", "needed")
+    whole = index.groupBy("template").agg(F.sum("idf").alias("all"))
+    begins = hits.join(F.broadcast(entry.join(whole, "template")), "word").select("row", "template", "needed", "all", (F.col("at") - F.col("place")).alias("begin"))
+    expected = begins.join(F.broadcast(index), "template").withColumn("at", F.col("begin") + F.col("place"))
+    met = expected.join(hits, ["row", "at", "word"])
+    follows = (F.col("then") == "") | F.concat("after", F.lit(" ")).startswith(F.concat("then", F.lit(" ")))
+    both = met.groupBy("row", "template", "label", "base", "needed", "all", "begin").agg(F.count_if(F.col("mandatory") & follows).alias("must"), F.sum("idf").alias("weight")).where("must = needed")
+    both = both.withColumn("share", F.when(F.col("base") | (F.col("all") <= 0), 1.0).otherwise(F.col("weight") / F.col("all"))).where(F.col("base") | (F.col("share") >= share))
     found = both.groupBy("row").agg(
         F.sort_array(F.collect_list(F.when(F.col("base"), F.col("begin")))).alias("base_places"),
         F.sort_array(F.collect_set(F.when(F.col("base"), F.col("label")))).alias("base_labels"),

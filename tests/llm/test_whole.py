@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import collections
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -76,6 +78,59 @@ def test_licenses_of_one_file_do_not_hide_each_other(spark):
     assert set(out[2]) >= {n for n, _, _ in licenses.TEMPLATES}
 
 
+def brute_licenses(texts: list[str], share: float) -> list[tuple[list[str], float]]:
+    """Every template at every place where its key phrase stands, by the words of the text."""
+    split = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t)) for t in texts]
+    content = lambda w: w not in licenses.FUNCTION_WORDS
+    known = {w for _, t, _ in licenses.TEMPLATES for w in t.split() if content(w)} | {w for t, _ in licenses.BASE for w in t.split()}
+    df = {w: sum(w in set(s) for s in split) for w in known}
+    idf = {w: math.log((len(texts) + 1) / (n + 0.5)) if n else 0.0 for w, n in df.items()}
+    out = []
+    for s in split:
+        labels, best = set(), 0.0
+        for phrase, label in licenses.BASE:
+            p = phrase.split()
+            if any(s[i : i + len(p)] == p for i in range(len(s))):
+                labels, best = labels | {label}, 1.0
+        for label, text, key in licenses.TEMPLATES:
+            t, k = text.split(), key.split()
+            at = next(i for i in range(len(t)) if t[i : i + len(k)] == k)
+            whole = sum(idf[w] for w in t if content(w))
+            for i in range(len(s)):
+                if s[i : i + len(k)] == k:
+                    met = sum(idf[w] for j, w in enumerate(t) if content(w) and 0 <= i - at + j < len(s) and s[i - at + j] == w)
+                    got = met / whole if whole > 0 else 1.0
+                    if got >= share:
+                        labels, best = labels | {label}, max(best, got)
+        out.append((sorted(labels), min(1.0, best)))
+    return out
+
+
+def test_licenses_against_brute_force(spark):
+    rng = random.Random(6)
+    parts = [t.split() for _, t, _ in licenses.TEMPLATES] + [p.split() for p, _ in licenses.BASE]
+    texts = [""]
+    for _ in range(250):
+        words = []
+        for _ in range(rng.randrange(1, 6)):
+            p = list(rng.choice(parts))
+            for _ in range(rng.randrange(4)):  # words lost, added, exchanged; also inside key phrases
+                at = rng.randrange(len(p))
+                p[at : at + 1] = rng.choice([[], [p[at], "of"], ["and"], ["License"], [p[at].upper()]]) or p[at : at + 1][:0]
+                p = p or ["the"]
+            words += p[rng.randrange(3) :] + ["filler"] * rng.randrange(3)
+        texts.append(", ".join(words))
+    rows = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], DOCS)
+    out = {r["doc_id"]: r for r in licenses.scan_licenses(rows).collect()}
+    for k, (labels, score) in enumerate(brute_licenses(texts, 0.6)):
+        assert out[k]["labels"] == labels and abs(out[k]["score"] - score) < 1e-9, texts[k]
+    assert len({x for r in out.values() for x in r["labels"]}) > 12
+
+
+def test_license_gaps_fit():
+    assert max(len(p[6].split()) for p in licenses._postings()) < licenses.GAP and all(k.split()[0] not in licenses.FUNCTION_WORDS for _, _, k in licenses.TEMPLATES)
+
+
 LABELS = "doc_id long, quality int, toxic int"
 
 
