@@ -459,10 +459,10 @@ def test_pii_of_a_text_with_many_matches(spark):
     assert {text[s["start"] : s["end"]] for s in out["id"]} >= {"ab1" * 700 + str(k) for k in range(7, 2500, 400) if f"ab1{k}\"" in text}
 
 
-@pytest.mark.parametrize("side", [0, 1])
-def test_pii_patterns_find_what_no_rule_has_seeded(spark, side):
+@pytest.mark.parametrize(("sf", "side", "least"), [("sf0.1", 0, 60), ("sf0.01", 1, 4)])
+def test_pii_patterns_find_what_no_rule_has_seeded(spark, sf, side, least):
     """With the secrets of half of the documents as seeds, patterns find nine of ten of the others', and little else."""
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").where("doc_id is not null and text is not null")
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text").where("doc_id is not null and text is not null")
     planted = {}
     for r in docs.where("text rlike '(password|token|secret|key)[\"\\']?\\\\s?[=:]'").collect():
         for m in re.finditer(r"(?i)(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_ -]?key|access[_ -]?key)[\"']?\s?[=:]\s?[\"']?([A-Za-z0-9_-]{5,})", r["text"]):
@@ -474,7 +474,7 @@ def test_pii_patterns_find_what_no_rule_has_seeded(spark, side):
     unseen = {v for v, ids in planted.items() if not ids & seeded}
     out = pii.find_pii(docs, seeded=half).where("size(id) > 0").join(docs.groupBy("doc_id").agg(F.first("text").alias("text")), "doc_id").collect()
     found = {r["text"][s["start"] : s["end"]] for r in out for s in r["id"]}
-    assert len(unseen) >= 20 and len(found & unseen) >= 0.9 * len(unseen), (len(unseen), len(found & unseen))
+    assert len(unseen) >= least and len(found & unseen) >= 0.9 * len(unseen), (len(unseen), len(found & unseen))
     assert len(found & set(planted)) >= 0.9 * len(found), sorted(found - set(planted))[:20]
 
 
