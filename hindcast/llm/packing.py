@@ -22,6 +22,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -155,7 +156,8 @@ class Ids:
     same vocabulary, which merges short ones about three times as fast.
     """
 
-    def __init__(self, path: str, fast: bool = False) -> None:
+    def __init__(self, path: str, fast: bool = False, most: int = CACHE_RUNS) -> None:
+        self.most = most
         self.path, self.tokenizer = path, None  # loaded when the first text needs it
         self.known: dict[str, bytes] = {}
         self.fast, self.added = (rank_encoder(path) if fast else None), added_tokens(path)
@@ -170,11 +172,11 @@ class Ids:
         return self.slowly(texts)
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > CACHE_RUNS:
+        if len(self.known) > self.most:
             self.known.clear()
         known = self.known
         runs = [None if ODD.search(t) or any(x in t for x in self.added) else RUNS.findall(t) for t in texts]
-        new = list({r for rs in runs if rs for r in rs if r not in known})
+        new = [r for r in set(chain.from_iterable(rs for rs in runs if rs)) if r not in known]
         known.update(zip(new, self.encode(new), strict=True))
         for t, rs in zip(texts, runs, strict=True):
             yield self.slowly([t])[0] if rs is None else b"".join(map(known.__getitem__, rs))
@@ -255,9 +257,12 @@ def pack_documents(
     open_windows: int = 32,
     fan_in: int = 32,
     with_ids: bool = True,
+    cache: int = CACHE_RUNS,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids.
 
+    cache is how many encoded runs a worker keeps, about 220 bytes each: more of them cost memory and save time.
+
     tokenizer_path must be readable on every executor; ids are little-endian
     unsigned 32-bit.  sequence_id is round * 2^56 + partition * 2^32 + number.
     """
@@ -266,7 +271,7 @@ def pack_documents(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        ids_of, end = Ids(tokenizer_path, fast), np.array([end_id], dtype="<u4").tobytes()
+        ids_of, end = Ids(tokenizer_path, fast, cache), np.array([end_id], dtype="<u4").tobytes()
         out = Out(part << 32, with_ids)
         windows = Windows(size, open_windows, out)
         for b in text_rows(batches):
@@ -306,4 +311,4 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False, cache=500_000)
