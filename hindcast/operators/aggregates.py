@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hindcast.functions.scalars import ratio_of
 from hindcast.functions.sizes import few
 from hindcast.operators.joins import horizon_rows
+from hindcast.operators.windows import rolling_days
 
 
 def n_rows(name: str = "n") -> Column:
@@ -146,11 +147,10 @@ def independent_seasons(evals: DataFrame, by: Sequence[str], season: str = "seas
     return evals.groupBy(*by).agg(F.count_distinct(season).alias("seasons"), n_rows("forecasts"))
 
 
-def bullpen_usage(logs: DataFrame, part: Sequence[str], ts: str, load: str, days: int) -> DataFrame:
-    """Load of the last days before each appearance, the day itself left out."""
-    day = F.unix_date(F.col(ts).cast("date"))
-    w = Window.partitionBy(*part).orderBy(day).rangeBetween(-days, -1)
-    return logs.withColumn("recent_load", F.coalesce(F.sum(load).over(w), F.lit(0)).cast("long"))
+def bullpen_usage(logs: DataFrame, part: Sequence[str], ts: str, load: str, days: int, *, by_day: bool = False) -> DataFrame:
+    """Load of the last days before each appearance, the day itself left out; by_day as in rolling_days, for keys with very many rows."""
+    rows = rolling_days(logs, part, ts, days, [load], by_day=by_day)
+    return rows.withColumn("recent_load", F.coalesce(f"{load}_{days}d", F.lit(0)).cast("long")).drop(f"{load}_{days}d")
 
 
 def team_strength(team_games: DataFrame, cut: Column, date: str = "game_date") -> DataFrame:

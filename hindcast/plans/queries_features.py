@@ -166,6 +166,12 @@ def _(t):
     return aggregates.bullpen_usage(t.log, ["player_id"], "ts", "outs", 3).select("event_id", "recent_load")
 
 
+@query("bullpen_usage_by_day", "SELECT event_id, coalesce(sum(outs) OVER (PARTITION BY player_id ORDER BY day RANGE BETWEEN INTERVAL 3 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING), 0)::BIGINT AS recent_load FROM {log}")
+def _(t):
+    """As bullpen_usage, over totals of days."""
+    return aggregates.bullpen_usage(t.log, ["player_id"], "ts", "outs", 3, by_day=True).select("event_id", "recent_load")
+
+
 _STRENGTH = "SELECT team::BIGINT AS team, count(*) AS games, round(avg(CASE WHEN runs > allowed THEN 1.0 WHEN runs = allowed THEN 0.5 ELSE 0.0 END), 6) AS win_share, round(avg(runs - allowed), 6) AS run_diff FROM {team_game} WHERE status = 'F' AND game_date < DATE '1998-01-01' GROUP BY 1"
 
 
