@@ -58,6 +58,8 @@ BROADCAST_IDS = 2_000_000
 JUMPS = 3
 #: Similarity with the root from which a document is compared inside the family.
 NEAR = 0.2
+#: Shingles in a set's sample, those of the smallest hashes, and the share of it that a document has in common with a hub on its way to the root.
+SAMPLE, ALIKE = 32, 0.1
 SECOND = np.uint64(0xA0761D6478BD642F)
 
 
@@ -155,6 +157,12 @@ def prefixes(s: np.ndarray, sketch: np.ndarray, classes: np.ndarray, percent: in
     return int(counts[one].sum()), s[one], s[np.argsort(two, kind="stable")[:k]]
 
 
+def sample(s: np.ndarray) -> np.ndarray:
+    """The SAMPLE smallest hashes, 32 bits each: whatever is frequent, two sets share about as much of them as of all."""
+    h = (mix(s ^ SECOND) >> np.uint64(32)).astype(np.uint32)
+    return (np.partition(h, SAMPLE)[:SAMPLE] if len(h) > SAMPLE else h).view(np.int32)
+
+
 def histogram(s: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((s >> np.uint64(50)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 65535).astype(np.uint16)
 
@@ -289,8 +297,8 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     shared_sketch = spark.sparkContext.broadcast((np.minimum(sketch, (1 << 24) - 1).astype(np.uint32), frequency_class(sketch)))
 
     def prefix_rows(ids, texts, hashes_of):
-        kept = [(d, len(s), *prefixes(s, *shared_sketch.value, percent)) for d, s in zip(ids, sets_of(texts, n, hashes_of), strict=True) if len(s) > 1]
-        return [[x[0] for x in kept], [x[1] for x in kept], [x[2] for x in kept], [x[3].view(np.int64) for x in kept], [(x[4] >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in kept]]
+        kept = [(d, len(s), *prefixes(s, *shared_sketch.value, percent), sample(s)) for d, s in zip(ids, sets_of(texts, n, hashes_of), strict=True) if len(s) > 1]
+        return [[x[0] for x in kept], [x[1] for x in kept], [x[2] for x in kept], [x[3].view(np.int64) for x in kept], [(x[4] >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in kept], [x[5] for x in kept]]
 
     # Copies of a set stand for one node, the smallest doc_id; a set of one shingle links with its copies only.
     first = sizes.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("node"))
@@ -299,8 +307,8 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     odd = durable(nodes.groupBy("doc").agg(F.bool_or(F.col("doc") == F.col("node")).alias("own"), F.min("node").alias("a"), F.max("node").alias("most")).where("not own or a <> most"))
     copies, several = odd.where("not own").select("doc"), odd.where("a <> most").select("doc", "a")
     few = copies.count() <= BROADCAST_IDS
-    arrow = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("w", pa.int64()), ("p1", pa.list_(pa.int64())), ("p2", pa.list_(pa.int32()))])
-    sets = _over(docs.join(F.broadcast(copies), "doc", "left_anti") if few else docs, prefix_rows, "doc long, n long, w long, p1 array<long>, p2 array<int>", arrow)
+    arrow = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("w", pa.int64()), ("p1", pa.list_(pa.int64())), ("p2", pa.list_(pa.int32())), ("sample", pa.list_(pa.int32()))])
+    sets = _over(docs.join(F.broadcast(copies), "doc", "left_anti") if few else docs, prefix_rows, "doc long, n long, w long, p1 array<long>, p2 array<int>, sample array<int>", arrow)
     sets = durable(sets if few else sets.join(copies, "doc", "left_anti"))
 
     # A doc_id with several texts is one node: the nodes of its texts are linked.  It is in no family.
@@ -321,16 +329,26 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
         a, b = (sets.select(F.col("doc").alias(x), F.col("p2").alias(f"p{x}")) for x in ("a", "b"))
         return pairs.join(a, "a").join(b, "b").where(F.arrays_overlap("pa", "pb")).select("a", "b").distinct()
 
+    def told(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) with may_link, what filtered tells, and alike, if they share ALIKE of the smaller sample at least; those with neither are left out."""
+        a, b = (sets.select(F.col("doc").alias(x), F.col("p2").alias(f"p{x}"), F.col("sample").alias(f"s{x}")) for x in ("a", "b"))
+        alike = F.size(F.array_intersect("sa", "sb")) >= ALIKE * F.least(F.size("sa"), F.size("sb"))
+        both = pairs.join(a, "a").join(b, "b").select("a", "b", F.arrays_overlap("pa", "pb").alias("may_link"), alike.alias("alike")).where("may_link or alike")
+        return both.groupBy("a", "b").agg(F.bool_or("may_link").alias("may_link"), F.bool_or("alike").alias("alike"))
+
     def verified(pairs: DataFrame) -> DataFrame:
-        return durable(_verified(_possible(filtered(pairs), docs, n, percent).distinct(), docs, n, percent))
+        return durable(_verified(_possible(pairs, docs, n, percent).distinct(), docs, n, percent))
 
     # The hub of a prefix shingle is the document whose shingles are shared most; a document's hub is the one of most of its shingles.
     top = rows.groupBy("token").agg(F.max(F.struct("w", "doc")).alias("hub"))
     hubs = rows.join(top, "token").where("doc <> hub.doc").groupBy("doc", F.col("hub.doc").alias("hub")).agg(F.count(F.lit(1)).alias("shared"), F.max("hub.w").alias("w"))
-    hubs = durable(hubs.groupBy("doc").agg(F.max_by("hub", F.struct("shared", "w", "hub")).alias("b")).select(F.col("doc").alias("a"), "b"))
+    hubs = hubs.groupBy("doc").agg(F.max_by("hub", F.struct("shared", "w", "hub")).alias("b")).select(F.col("doc").alias("a"), "b")
+
+    # Hubs met by chance have little else in common, and their number grows faster than the documents': no way to a root leads over them.
+    hubs = durable(told(hubs))
 
     # A hub's shingles are shared more than those of what it is the hub of, so the way from hub to hub ends, at the root of a family.
-    roots = hubs
+    roots = hubs.where("alike").select("a", "b")
     for _ in range(JUMPS):
         roots = roots.join(roots.select(F.col("a").alias("b"), F.col("b").alias("further")), "b", "left").select("a", F.coalesce("further", "b").alias("b"))
     pairs = roots.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -345,10 +363,10 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     nearest = differs.groupBy("hub", "token").agg(F.min(F.struct("d", "doc")).alias("rep"), F.count(F.lit(1)).alias("m")).where("m > 1")
     inner = differs.where("not linked").join(nearest.select("hub", "token", F.col("rep.doc").alias("rep")), ["hub", "token"]).where("doc <> rep")
     inner = inner.groupBy("doc", "rep").agg(F.count(F.lit(1)).alias("shared")).groupBy("doc").agg(F.max_by("rep", F.struct("shared", -F.col("rep"))).alias("b"))
-    stars = inner.select(F.col("doc").alias("a"), "b").union(hubs.select("a", "b"))
     tried = ordered(members.select("a", "b"))
-    stars = durable(ordered(stars).join(tried, ["a", "b"], "left_anti"))
-    tried = tried.union(stars)
+    inner = durable(ordered(inner.select(F.col("doc").alias("a"), "b")).join(tried, ["a", "b"], "left_anti"))
+    stars = durable(ordered(filtered(inner).union(hubs.where("may_link").select("a", "b"))).join(tried, ["a", "b"], "left_anti"))
+    tried = tried.union(inner).union(stars).distinct()
     links = links.union(members.where("linked").select("a", "b")).union(verified(stars))
 
     part = only.join(components(spark, links).withColumnRenamed("id", "doc"), "doc", "left").join(family, "doc", "left")
@@ -372,7 +390,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     inside = x.join(y, ["hub", "token"]).where((F.col("doc_x") < F.col("doc_y")) & (F.col("part_x") != F.col("part_y")) & (need > 0)
                                                & (F.least("left_x", "left_y") * 2 * (100 + percent) >= need) & similar_sizes("n_x", "n_y"))
     rest = rest.union(inside.select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))).distinct().join(tried, ["a", "b"], "left_anti")
-    linked = components(spark, part.select(F.col("doc").alias("a"), F.col("part").alias("b")).union(verified(rest)))
+    linked = components(spark, part.select(F.col("doc").alias("a"), F.col("part").alias("b")).union(verified(filtered(rest))))
     out = sizes.groupBy("doc").agg(F.max("n").alias("n_shingles"))
     smallest = nodes.join(linked, nodes["node"] == linked["id"], "left").select("doc", F.coalesce("component", "node").alias("c"))
     smallest = smallest.groupBy("doc").agg(F.min("c").alias("c"))

@@ -254,6 +254,23 @@ def test_jaccard_components(spark):
     assert got == want
 
 
+def test_jaccard_passages_met_by_chance(spark, monkeypatch):
+    """Texts that have one passage in common and little else are compared by their prefixes and samples, not set by set."""
+    rng, pairs = random.Random(4), []
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    passages = [" ".join(word() for _ in range(8)) for _ in range(30)]
+    texts = [" ".join([*(word() for _ in range(80)), rng.choice(passages), *(word() for _ in range(80))]) for _ in range(240)]
+    texts += [t + " end" for t in texts[:20]]
+    members = jaccard._members
+    for name in ("SKETCH", "CHUNK"):  # as full as that of a large corpus, which tells no rare shingle from one met twice
+        monkeypatch.setattr(jaccard, name, 1 << 8)
+    monkeypatch.setattr(jaccard, "_members", lambda p, *rest: (pairs.append(p.count()), members(p, *rest))[1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs, n=4, percent=85).collect()}
+    assert got == {k: k - 240 if k >= 240 else k for k in range(260)}
+    assert pairs[0] <= 60
+
+
 def test_jaccard_empty(spark):
     assert jaccard.jaccard_components(table(spark, ["a"]).where("false")).count() == 0
 
