@@ -42,6 +42,8 @@ BLOCK = 32
 CHAIN = 64
 SHARDS = 8
 CACHE_WORDS = 250_000
+#: Words whose features are summed at once: their number and three characters of 18 bits make a key.
+WORDS = 1 << 10
 
 
 def words_of(text: str | None) -> list[str]:
@@ -59,6 +61,87 @@ def features_of(word: str, lexicon: dict[str, int]) -> list[int]:
     return [first, *(zlib.crc32(g.encode()) % FEATURES for g in sorted(grams))]
 
 
+def _table() -> np.ndarray:
+    t = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        t = np.where(t & 1, np.uint32(0xEDB88320), np.uint32(0)) ^ (t >> np.uint32(1))
+    return t
+
+
+CRC = _table()
+
+
+def _fed(state: np.ndarray, byte: np.ndarray | int) -> np.ndarray:
+    return CRC[(state ^ np.uint32(byte)) & np.uint32(255)] ^ (state >> np.uint32(8))
+
+
+def _fed_point(state: np.ndarray, point: np.ndarray) -> np.ndarray:
+    """CRC states after the UTF-8 bytes of one more character each."""
+    out = _fed(state, point)
+    wide = np.flatnonzero(point >= 0x80)
+    if len(wide):
+        p, s = point[wide], state[wide]
+        s = _fed(s, np.where(p < 0x800, 0xC0 | p >> 6, np.where(p < 0x10000, 0xE0 | p >> 12, 0xF0 | p >> 18)).astype(np.uint32))
+        for least, shift in ((0x10000, 12), (0x800, 6), (0, 0)):
+            at = p >= least
+            s[at] = _fed(s[at], 0x80 | p[at] >> np.uint32(shift) & np.uint32(63))
+        out[wide] = s
+    return out
+
+
+def summed_features(words: list[str], lexicon: dict[str, int], weights: np.ndarray) -> np.ndarray:
+    """The sum of weights of features_of each word, all words at once: n-grams share the checksums of their beginnings."""
+    marked = [f"^{w}$" for w in words]
+    points = np.frombuffer("".join(marked).encode("utf-32-le"), dtype=np.uint32)
+    if not len(words) or points.max() >= 1 << 18:  # letters of planes yet without any
+        lists = [features_of(w, lexicon) for w in words]
+        return np.array([weights[[f for f in fs if f >= 0]].sum(axis=0) for fs in lists]).reshape(len(words), weights.shape[1])
+    sizes = np.array([len(m) for m in marked])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    of = lambda state: weights[((state ^ np.uint32(0xFFFFFFFF)) % np.uint32(FEATURES)).astype(np.int64)]
+    fresh = lambda n: np.full(n, 0xFFFFFFFF, dtype=np.uint32)
+    sums = weights[np.array([zlib.crc32(m.encode()) % FEATURES for m in marked])]
+    entries = np.array([lexicon.get(w, -1) for w in words])
+    at = np.flatnonzero(entries >= 0)
+    kinds, place = np.unique(entries[at], return_inverse=True)
+    sums[at] += weights[np.array([zlib.crc32(b"lexicon %d" % e) % FEATURES for e in kinds], dtype=np.int64)[place]]
+
+    word, inside = np.repeat(np.arange(len(words)), sizes), np.arange(len(points)) - np.repeat(starts, sizes)
+    state, code, first = fresh(len(points)), np.zeros(len(points), dtype=np.uint64), np.arange(len(points))
+    for n in (1, 2, 3):  # n-grams that stand anywhere, each once a word
+        keep = inside[first] + n <= sizes[word[first]]
+        first, state, code = first[keep], state[keep], code[keep]
+        p = points[first + n - 1]
+        state, code = _fed_point(state, p), code << np.uint64(18) | p
+        if n > 1:
+            once = np.ones(len(first), dtype=bool)
+            key = code | word[first].astype(np.uint64) << np.uint64(54)
+            seen = np.sort(key)
+            again = np.unique(seen[1:][seen[1:] == seen[:-1]])  # few
+            if len(again):
+                at = np.flatnonzero(np.isin(key, again))
+                once[at] = False
+                once[at[np.unique(key[at], return_index=True)[1]]] = True
+            rows = of(_fed(state, ord(str(n)))) * once[:, None]
+            sums += np.add.reduceat(rows, np.flatnonzero(np.append(True, np.diff(word[first]) > 0)))
+
+    state, at = fresh(len(words)), np.arange(len(words))
+    for n in range(1, 6):  # beginnings shorter than the word with its marks
+        keep = sizes[at] > n
+        at, state = at[keep], state[keep]
+        state = _fed_point(state, points[starts[at] + n - 1])
+        if n > 1:
+            sums[at] += of(state)
+    for n in range(2, 6):  # ends
+        at = np.flatnonzero(sizes >= n)
+        state = fresh(len(at))
+        for k in range(n, 0, -1):
+            state = _fed_point(state, points[ends[at] - k])
+        sums[at] += of(_fed(state, ord("<")))
+    return sums
+
+
 class Crf:
     """Weights of features (FEATURES x L), transitions (L x L) and beginnings (L)."""
 
@@ -74,10 +157,7 @@ class Crf:
             place.clear()
         new = [w for w in dict.fromkeys(words) if w not in place]
         if new:
-            lists = [features_of(w, self.lexicon) for w in new]
-            flat = np.array([f for fs in lists for f in fs])
-            rows = self.weights[flat] * (flat >= 0)[:, None]
-            sums = np.add.reduceat(rows, np.cumsum([0, *map(len, lists[:-1])]))
+            sums = np.concatenate([summed_features(new[k : k + WORDS], self.lexicon, self.weights) for k in range(0, len(new), WORDS)])
             start = len(place)
             while start + len(new) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])

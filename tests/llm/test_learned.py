@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import itertools
 import math
+import random
 
 import numpy as np
 import pytest
@@ -178,3 +179,14 @@ def test_pipeline(spark, data):
             assert len(junk & {r["doc_id"] for r in kept.select("doc_id").collect()}) <= 0.1 * len(junk)
     out = corpus_pipeline.STAGES[-1][1](spark, kept, sf)
     assert {r["doc_id"] for r in out.select("doc_id").distinct().collect()} == {r["doc_id"] for r in kept.select("doc_id").collect()}
+
+
+def test_features_of_many_words_at_once():
+    rng = random.Random(3)
+    letters = "abcdefgh\u00e9\u00df\u0416\u65e5\u8a9e\U00010400"
+    words = ["a", "ab", "abc", "abcd", "anananan", *{"".join(rng.choices(letters, k=rng.randrange(1, 14))) for _ in range(800)}]
+    lexicon = {w: k % 16 for k, w in enumerate(words[::3])}
+    weights = np.random.default_rng(3).normal(size=(language.FEATURES, 4))
+    want = np.array([weights[[f for f in language.features_of(w, lexicon) if f >= 0]].sum(axis=0) for w in words])
+    assert np.allclose(language.summed_features(words, lexicon, weights), want, atol=1e-12)
+    assert language.summed_features([], lexicon, weights).shape == (0, 4)
