@@ -35,13 +35,18 @@ def brier_multi(preds: DataFrame, truth: DataFrame, key: Sequence[str], by: Sequ
 
 
 def joint_and_marginal_loss(joint: DataFrame, truth: DataFrame, key: Sequence[str], a: str, b: str, eps: float = 1e-12) -> DataFrame:
-    """Joint loss and each marginal's, apart: joint (key, a, b, p), truth (key, a, b)."""
-    out = None
-    for name, cols in (("joint", [a, b]), (a, [a]), (b, [b])):
-        p = joint.groupBy(*key, *cols).agg(F.sum("p").alias("p"))
-        row = truth.join(p, [*key, *cols], "left").agg(n_rows(), F.avg(neg_log(F.coalesce("p", F.lit(0.0)), eps)).alias("log_loss")).select(F.lit(name).alias("part"), "n", "log_loss")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Joint loss and each marginal's, apart: joint (key, a, b, p), truth (key, a, b).
+
+    One pass: cells meet the sample's truth as they come, and a sample keeps three sums, so no task holds the cells of its samples.
+    """
+    samples = truth.groupBy(*key, a, b).agg(F.count(F.lit(1)).alias("__n"))
+    cells = joint.select(*key, F.col(a).alias("__a"), F.col(b).alias("__b"), "p")
+    hit_a, hit_b = F.col(a) == F.col("__a"), F.col(b) == F.col("__b")
+    hits = {"joint": hit_a & hit_b, a: hit_a, b: hit_b}
+    per = samples.join(cells, list(key), "left").groupBy(*key, a, b, "__n").agg(*[F.sum(F.when(hit, F.col("p"))).alias(f"__p{k}") for k, hit in enumerate(hits.values())])
+    losses = [F.sum(F.col("__n") * neg_log(F.coalesce(f"__p{k}", F.lit(0.0)), eps)) / F.sum("__n") for k in range(len(hits))]
+    row = per.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n"), F.array(*[F.struct(F.lit(name).alias("part"), loss.alias("log_loss")) for name, loss in zip(hits, losses)]).alias("parts"))
+    return row.select("n", F.explode("parts").alias("x")).select("x.part", "n", "x.log_loss")
 
 
 def confusion(preds: DataFrame, truth: DataFrame, key: Sequence[str]) -> DataFrame:

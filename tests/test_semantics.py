@@ -261,3 +261,17 @@ def test_empty_tables(spark):
     assert aggregates.horizon_counts(none, "ts", 28, ["k"], ["hits"]).count() == 0
     assert windows.rolling_days(none, ["k"], "ts", 7, ["hits"]).count() == 0
     assert aggregates.ratio(none, ["k"], "hits", "exposure").count() == 0
+
+
+def test_joint_loss_in_one_pass(spark):
+    """Repeated and null samples count each; the joint cells are read once, and grouped by sample only."""
+    joint = spark.range(98).selectExpr("id div 49 as g", "id % 49 div 7 as h", "id % 7 as a", "(1 + id % 5) / 100.0D as p")
+    truth = spark.createDataFrame([(0, 1, 2), (0, 1, 2), (1, 6, 6), (1, None, 3), (7, 1, 1)], "g long, h long, a long")
+    out = scoring.joint_and_marginal_loss(joint, truth, ["g"], "h", "a")
+    cells = {(r["g"], r["h"], r["a"]): r["p"] for r in joint.collect()}
+    rows = [tuple(r) for r in truth.collect()]
+    for part, hit in (("joint", lambda c, t: c == t), ("h", lambda c, t: c[:2] == t[:2]), ("a", lambda c, t: (c[0], c[2]) == (t[0], t[2]))):
+        p = [sum(v for c, v in cells.items() if hit(c, t)) for t in rows]
+        (row,) = out.where(F.col("part") == part).collect()
+        assert row["n"] == 5 and row["log_loss"] == pytest.approx(sum(-math.log(max(x, 1e-12)) for x in p) / 5)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
