@@ -29,7 +29,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hindcast.llm.common import durable, text_rows
+from hindcast.llm.common import durable, give_back, text_rows
 from hindcast.llm.packing import Ids, same_ids
 
 #: Above all ids of the vocabulary; the last begins a text.
@@ -52,7 +52,10 @@ def pairs_of(ids: bytes) -> np.ndarray:
 
 
 def bucket_of(pairs: np.ndarray, buckets: int) -> np.ndarray:
-    return (((pairs * np.uint32(0x9E3779B1)).astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+    code = (pairs * np.uint32(0x9E3779B1)).astype(np.uint64)
+    code *= np.uint64(buckets)
+    code >>= np.uint64(32)
+    return code.astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
 
 
 def buckets_for(docs: DataFrame) -> int:
@@ -98,7 +101,11 @@ def deal(docs: DataFrame, path: str, buckets: int, *, merged: bool = False, shar
         code.sort()
         first = np.flatnonzero(np.append(True, code[1:] != code[:-1])).astype(np.int32)
         code, times = code[first], np.diff(np.append(first, np.int32(len(code))))
-        pair, doc = (code >> np.uint64(16)).astype(np.uint32), code.astype(np.uint16)
+        times = times.astype(np.uint32)
+        doc = code.astype(np.uint16)
+        code >>= np.uint64(16)
+        pair = code.astype(np.uint32)
+        del code, first
         flags, rows = np.packbits(np.array(trusted, dtype=bool)).tobytes(), []
         if not merged:
             sums = None
@@ -106,17 +113,18 @@ def deal(docs: DataFrame, path: str, buckets: int, *, merged: bool = False, shar
                 hot, counts = shared.value["hot"], shared.value["hot_counts"]
                 at = np.minimum(np.searchsorted(hot, pair), max(0, len(hot) - 1))
                 met = hot[at] == pair if len(hot) else np.zeros(len(pair), dtype=bool)
-                own = np.where(np.array(trusted, dtype=bool)[doc[met]], times[met], 0)
+                own = np.where(np.array(trusted, dtype=bool)[doc[met]], times[met], np.uint32(0)).astype(np.int64)
                 sums = _document_sums(shared.value, pair[met], counts[at[met]], own, doc[met], times[met])
                 pair, doc, times = pair[~met], doc[~met], times[~met]
             rows.append((number % buckets, number, keys, sizes, flags, None, None, None, sums))
         bucket = bucket_of(pair, buckets)
-        order = np.argsort(bucket, kind="stable")
-        for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-            if not len(at):
-                continue
+        order = np.argsort(bucket, kind="stable").astype(np.int32)
+        bucket = bucket[order]
+        ends = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True)) + 1 if len(bucket) else []
+        for begin, end in zip([0, *ends], ends):
+            at = order[begin:end]
             some = pair[at]
-            rows.append((int(bucket[at[0]]), number, None, None, flags, _packed(np.diff(some, prepend=np.uint32(0))), _packed(doc[at]), _packed(times[at].astype(np.uint32)), None))
+            rows.append((int(bucket[begin]), number, None, None, flags, _packed(np.diff(some, prepend=np.uint32(0))), _packed(doc[at]), _packed(times[at]), None))
             if len(rows) == 8:
                 yield batch(rows)
                 rows = []
@@ -140,9 +148,12 @@ def deal(docs: DataFrame, path: str, buckets: int, *, merged: bool = False, shar
                 n += len(pairs[-1])
                 if n >= LOT or len(keys) == LOT_DOCS:
                     yield from lot(number, keys, trusted, pairs)
+                    give_back()
                     number, keys, trusted, pairs, n = number + 1, [], [], [], 0
         if keys:
             yield from lot(number, keys, trusted, pairs)
+        del ids
+        give_back()
 
     return docs.select("key", "text", "trusted").mapInArrow(run, PARTS)
 
