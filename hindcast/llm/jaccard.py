@@ -14,7 +14,7 @@ Links are needed up to what they connect, so the join goes in two rounds, over
 one document of each set (copies of a set are one node throughout).
 First each document is compared with its hub, of those it shares prefix shingles
 with the one that shares most with others, and with its root, where following hubs
-ends; the documents of one root are a family, and in a family one more is chosen by
+ends, as far as samples of both sets say that they are alike; the documents of one root are a family, and in a family one more is chosen by
 the differences from the root.  What that links is merged; after that only pairs
 across merged components can add anything, and all of those are compared.  Across families they come from shared
 prefix shingles.  In a family nearly all would share the root's shingles, so there
