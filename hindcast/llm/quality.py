@@ -86,12 +86,18 @@ def grams(s: np.ndarray) -> np.ndarray:
     """Codes of the n-grams that end at each symbol; the text begins with symbol 0."""
     s = np.concatenate([np.zeros(ORDER - 1, dtype=np.uint8), s])
     n = len(s) - ORDER + 1
-    code = np.zeros(n, dtype=np.int64)
-    for k in range(ORDER):
-        code = code * SYMBOLS + s[k : k + n]
+    code = s[:n].astype(np.int32)  # SYMBOLS ** ORDER codes
+    for k in range(1, ORDER):
+        code *= SYMBOLS
+        code += s[k : k + n]
     return code
 
 
+def repeated(s: np.ndarray) -> float:
+    """The largest share of symbols that equal the one some 2 to 40 places before."""
+    return max((np.count_nonzero(s[k:] == s[:-k]) / (len(s) - k) for k in range(2, min(41, len(s)))), default=0.0)
+
+
 def count_grams(trusted: DataFrame) -> DataFrame:
     """(gram, n) over all trusted text, summed by n-gram."""
 
@@ -161,7 +167,7 @@ def perplexities(docs: DataFrame, model: np.ndarray | None) -> DataFrame:
                     continue
                 s = symbols(t, table)
                 out.append(float(2.0 ** -logs[grams(s)].mean(dtype=np.float64)))
-                again.append(float(max((s[k:] == s[:-k]).mean() for k in range(2, min(41, len(s)))) if len(s) > 2 else 0.0))
+                again.append(repeated(s))
             yield pa.RecordBatch.from_arrays([*(c for k, c in enumerate(b.columns) if k != at), pa.array(out, pa.float64()), pa.array(again, pa.float64()), pa.array(sizes, pa.int64())], names=schema.names)
 
     return docs.mapInArrow(run, schema)

@@ -6,6 +6,7 @@ import collections
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -154,6 +155,24 @@ def test_kneser_ney_against_brute_force(spark):
     assert np.allclose(sums, 1, atol=1e-3)
 
 
+def test_repeats_take_few_cpu_seconds(data):
+    """The same shares as by means of 39 comparisons, which took most of the time that symbols did."""
+    texts = [r["text"] for r in data[0].where("length(text) > 0").orderBy("doc_id").limit(400).collect()]
+    table = quality.symbol_table()
+    found = [quality.symbols(t, table) for t in [*texts, "a", "ab", "aba", "abab", "ab" * 5000]]
+    means = lambda s: max((s[k:] == s[:-k]).mean() for k in range(2, min(41, len(s)))) if len(s) > 2 else 0.0
+    took = {f: [] for f in (quality.repeated, means)}
+    for _ in range(3):
+        for f, spent in took.items():
+            began = time.process_time()
+            got = [f(s) for s in found]
+            spent.append(time.process_time() - began)
+            assert got == [means(s) for s in found]
+    assert min(took[quality.repeated]) < 0.6 * min(took[means])
+    padded = [0] * (quality.ORDER - 1) + found[0].tolist()
+    assert quality.grams(found[0]).tolist() == [int(np.dot(padded[k : k + quality.ORDER], quality.SYMBOLS ** np.arange(quality.ORDER)[::-1])) for k in range(len(found[0]))]
+
+
 def test_quality(spark, data):
     docs, labels = data
     out = quality.judge(docs, labels).join(labels, "doc_id").toPandas()
