@@ -8,10 +8,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from hindcast.llm import jaccard, language, licenses, line_dedup, ogg, packing, pieces, pii, quality, tiling, toxicity
+from hindcast.llm import common, jaccard, language, licenses, line_dedup, ogg, packing, pieces, pii, quality, tiling, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -134,6 +135,26 @@ def test_license_gaps_fit():
 LABELS = "doc_id long, quality int, toxic int"
 
 
+def test_texts_reach_python_in_bounded_batches(spark):
+    """A worker and its executor hold 1 MB of rows at once, or one row more, whatever the texts' length; by itself Spark hands over 10,000 rows or 64 MB."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    texts = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', cast(if(id = 7, 3000000, 2000) as int)) AS text")
+    found = common.durable(texts.mapInArrow(sizes, "n long, bytes long")).collect()
+    assert sum(r["n"] for r in found) == 3000 and len(found) > 5
+    assert sorted(r["bytes"] for r in found)[-2] < 1.1 * common.BATCH_BYTES and max(r["bytes"] for r in found) < 3_000_000 + 1.1 * common.BATCH_BYTES
+    assert spark.conf.get(common.BATCH, None) is None
+    spark.conf.set(common.BATCH, "200000")
+    try:  # what the session says holds, and stays
+        assert len(common.durable(texts.mapInArrow(sizes, "n long, bytes long")).collect()) > 25
+        assert spark.conf.get(common.BATCH) == "200000"
+    finally:
+        spark.conf.unset(common.BATCH)
+
+
 def test_empty_tables(spark):
     import public_tokenizers
 
