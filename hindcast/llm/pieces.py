@@ -209,11 +209,11 @@ def fit(trusted: DataFrame, path: str, buckets: int) -> dict | None:
 
     dealt = deal(trusted.withColumn("trusted", F.lit(True)), path, buckets, merged=True).groupBy("bucket")
     figured = durable(dealt.applyInArrow(figures, "code long, n long, total long"))
-    found = figured.where(F.col("code") < PAIR).groupBy("code").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).toPandas()  # 5 * PIECES rows at most
-    if found.empty:
+    found = figured.where(F.col("code") < PAIR).groupBy("code").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).toArrow()  # 5 * PIECES rows at most, 24 bytes each
+    if not found.num_rows:
         return None
-    hot = figured.where((F.col("code") >= PAIR) & (F.col("total") * HOT >= int(found["total"].sum()))).orderBy("code").toPandas()  # HOT rows at most
-    code, n, total = (found[c].to_numpy(np.int64) for c in ("code", "n", "total"))
+    code, n, total = (found[c].to_numpy() for c in ("code", "n", "total"))
+    hot = figured.where((F.col("code") >= PAIR) & (F.col("total") * HOT >= int(total.sum()))).orderBy("code").toArrow()  # HOT rows at most
     piece, kind = code // 8, code % 8
     of = lambda k: np.bincount(piece[kind == k], n[kind == k], PIECES)
     kinds = [of(k) for k in range(5)]
@@ -221,7 +221,7 @@ def fit(trusted: DataFrame, path: str, buckets: int) -> dict | None:
     context = kind > 0
     sums = np.bincount(piece[context], total[context], PIECES)
     held = kinds[1] * d[1] + kinds[2] * d[2] + (kinds[3] + kinds[4]) * d[3]
-    return {"hot": (hot["code"].to_numpy(np.int64) - PAIR).astype(np.uint32), "hot_counts": hot["total"].to_numpy(np.int64), "d": d, "sums": sums, "held": held, "follows": kinds[0], "d1": discounts([int((kinds[0] == k).sum()) for k in (1, 2, 3, 4)])}
+    return {"hot": (hot["code"].to_numpy() - PAIR).astype(np.uint32), "hot_counts": hot["total"].to_numpy(), "d": d, "sums": sums, "held": held, "follows": kinds[0], "d1": discounts([int((kinds[0] == k).sum()) for k in (1, 2, 3, 4)])}
 
 
 def costs(model: dict, pairs: np.ndarray, counts: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -136,16 +136,16 @@ def fit(trusted: DataFrame) -> np.ndarray | None:
         return None
     levels = []
     for order in range(ORDER, 0, -1):
-        levels.append([t.toPandas() for t in _order_tables(counts, order)])  # SYMBOLS ** order rows at most
+        levels.append([t.toArrow() for t in _order_tables(counts, order)])  # SYMBOLS ** order rows at most, 16 bytes each
         if order > 1:  # how many symbols each shorter n-gram follows
             counts = durable(counts.groupBy((F.col("gram") % SYMBOLS ** (order - 1)).alias("gram")).agg(F.count(F.lit(1)).alias("n")))
     p = np.full(SYMBOLS, 1.0 / SYMBOLS)
     for k, (shares, backs) in enumerate(reversed(levels)):
         back = np.ones(SYMBOLS**k)
-        back[backs["context"].to_numpy(np.int64)] = backs["back"].to_numpy()
-        p = (back[:, None] * np.tile(p, SYMBOLS if k else 1).reshape(SYMBOLS**k, SYMBOLS)).ravel()
-        p[shares["gram"].to_numpy(np.int64)] += shares["share"].to_numpy()
-    return np.log2(p).astype(np.float32)
+        back[backs["context"].to_numpy()] = backs["back"].to_numpy()
+        p = (back.reshape(SYMBOLS if k else 1, -1, 1) * p.reshape(-1, SYMBOLS)).ravel()
+        p[shares["gram"].to_numpy()] += shares["share"].to_numpy()
+    return np.log2(p, out=p).astype(np.float32)
 
 
 def perplexities(docs: DataFrame, model: np.ndarray | None) -> DataFrame:

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -155,6 +156,21 @@ def test_kneser_ney_against_brute_force(spark):
     assert np.allclose(sums, 1, atol=1e-3)
 
 
+def test_fit_holds_its_table_about_twice(spark):
+    """The driver's peak of the interpolation, 33 MB a table of doubles, which were four and more; fetched rows are columns, not objects."""
+    counts = spark.range(0, 150_000, 1, 4).select((F.col("id") * 27 + 1).alias("gram"), (F.col("id") % 5 + 1).alias("n"))
+    before, quality.count_grams = quality.count_grams, lambda trusted: trusted
+    try:
+        quality.fit(counts)
+        tracemalloc.start()
+        assert len(quality.fit(counts)) == quality.SYMBOLS**quality.ORDER
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        quality.count_grams = before
+    assert peak < 2.5 * 8 * quality.SYMBOLS**quality.ORDER
+
+
 def test_repeats_take_few_cpu_seconds(data):
     """The same shares as by means of 39 comparisons, which took most of the time that symbols did."""
     texts = [r["text"] for r in data[0].where("length(text) > 0").orderBy("doc_id").limit(400).collect()]
