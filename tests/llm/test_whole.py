@@ -155,6 +155,26 @@ def test_texts_reach_python_in_bounded_batches(spark):
         spark.conf.unset(common.BATCH)
 
 
+def test_what_the_drivers_jvm_freed_goes_back(spark):
+    jvm = spark._jvm
+    pid = jvm.java.lang.ProcessHandle.current().pid()
+
+    def held():
+        with open(f"/proc/{pid}/smaps_rollup") as f:
+            return next(int(x.split()[1]) for x in f if x.startswith("Anonymous:")) / 1024
+
+    common.durable(spark.range(1))  # what a first job takes
+    allocator = jvm.io.netty.buffer.UnpooledByteBufAllocator.DEFAULT
+    blocks = [allocator.directBuffer(100_000).writeZero(100_000) for _ in range(1500)]  # 143 MB in blocks that malloc does not map one by one
+    before = held()
+    for b in blocks[:-1]:  # the last keeps the heap from being cut at its end
+        b.release()
+    common.durable(spark.range(1))
+    after = held()
+    blocks[-1].release()
+    assert after < before - 70
+
+
 def test_empty_tables(spark):
     import public_tokenizers
 
