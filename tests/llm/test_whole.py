@@ -175,6 +175,19 @@ def test_what_the_drivers_jvm_freed_goes_back(spark):
     assert after < before - 70
 
 
+def test_the_drivers_garbage_is_collected_now_and_then(spark, monkeypatch):
+    beans = spark._jvm.java.lang.management.ManagementFactory
+    runs = lambda: sum(b.getCollectionCount() for b in beans.getGarbageCollectorMXBeans() if b.getName() == "G1 Old Generation")
+    before = runs()
+    monkeypatch.setattr(common, "COLLECT_S", 0)
+    common.durable(spark.range(1))
+    assert runs() > before
+    monkeypatch.setattr(common, "COLLECT_S", 1e9)
+    before = runs()
+    common.durable(spark.range(1))
+    assert runs() == before
+
+
 def test_empty_tables(spark):
     import public_tokenizers
 
